@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.batches import repeated_postings
+from tidemark.llm.places import link_places
 from tidemark.runtime import table
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_places(table(spark, sf_dir, "jobs"), table(spark, sf_dir, "places"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_postings(table(spark, sf_dir, "jobs"), table(spark, sf_dir, "source_config"))
 
 
-QUERIES = {"p5_found": p5_found}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found}
 
 SQL = {
     "p5_found": r"""
