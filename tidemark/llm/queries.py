@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.batches import repeated_postings
+from tidemark.llm.leaks import find_leaks
+from tidemark.llm.packing import fill_report, pack
 from tidemark.llm.places import link_places
 from tidemark.runtime import table
 
@@ -17,7 +19,19 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_postings(table(spark, sf_dir, "jobs"), table(spark, sf_dir, "source_config"))
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found}
+def p8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "bins"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(p8_packing(spark, sf_dir), table(spark, sf_dir, "bins"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found}
 
 SQL = {
     "p5_found": r"""
