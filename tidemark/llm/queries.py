@@ -9,6 +9,7 @@ from tidemark.llm.encoding import restore_encoding, restored_digest
 from tidemark.llm.leaks import find_leaks
 from tidemark.llm.packing import fill_report, pack
 from tidemark.llm.places import link_places
+from tidemark.llm.residue import find_residue
 from tidemark.runtime import table
 
 
@@ -24,6 +25,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_digest(restore_encoding(table(spark, sf_dir, "jobs"), ["title", "description_html"]))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_residue(table(spark, sf_dir, "jobs"))
+
+
 def p8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "bins"))
 
@@ -36,7 +41,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found}
 
 SQL = {
     "p5_found": r"""
