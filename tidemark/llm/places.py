@@ -112,18 +112,19 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     every row. Other columns don't matter.
     """
     asked = rows.where("location is not null").select("row_id", "location", "country")
-    pairs = asked.select("location", "country").distinct()
+    pairs = checkpoint(asked.select("location", "country").distinct())
     split = pairs.select("location").distinct().withColumn("segs", segments(F.col("location")))
     segs = checkpoint(split.select("location", F.posexplode_outer("segs").alias("seg", "words")))
 
     # reference names
     named = places.select("place_id", "country_code", fold("admin_area").alias("admin"), F.explode(F.array("city", "alt_name")).alias("name")).where("name is not null")
     named = named.withColumn("tokens", F.flatten(segments(F.col("name")))).where(F.size("tokens") > 0).withColumn("key", F.array_join("tokens", " "))
+    named = checkpoint(named)
     # how much the words of the reference names tell
     n_names = named.select("key").distinct().agg(F.count("*").alias("total"))
     df_tok = named.select("key", "tokens").distinct().select("key", F.explode(F.array_distinct("tokens")).alias("entry")).groupBy("entry").agg(F.count("*").alias("df"))
     idf = df_tok.join(F.broadcast(n_names)).select("entry", F.log(1 + F.col("total") / F.col("df")).alias("idf"), F.log(1 + F.col("total")).alias("top"))
-    names = (
+    names = checkpoint(
         named.select("key", F.explode(F.array_distinct("tokens")).alias("entry")).distinct().join(idf, "entry")
         .groupBy("key").agg(F.max_by("entry", F.struct("idf", "entry")).alias("rarest"), F.collect_list(F.struct("entry", "idf")).alias("parts"), F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"), F.first("top").alias("top"))
     )
@@ -143,7 +144,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     codes = checkpoint(country_codes(phrase_of.select("word").union(fields.select("word")).distinct(), places, named.select(F.col("key").alias("word")).union(fixed.where("d <= 1").select("word")).distinct()))
     field_code = fields.join(codes, "word").select("country", F.col("code").alias("field_code"))
     exact_tail = codes.join(codes.sparkSession.createDataFrame([(a,) for a, _ in country_aliases()], "word string").unionByName(places.select(fold("country_name").alias("word"))).distinct(), "word", "left_semi")
-    said = phrase_of.where("k = n").join(codes, "word").unionByName(phrase_of.where("k < n").join(exact_tail, "word")).groupBy("location", "seg").agg(F.max_by("code", "k").alias("code"), F.max("k").alias("k"))
+    said = checkpoint(phrase_of.where("k = n").join(codes, "word").unionByName(phrase_of.where("k < n").join(exact_tail, "word")).groupBy("location", "seg").agg(F.max_by("code", "k").alias("code"), F.max("k").alias("k")))
     loc_codes = said.groupBy("location").agg(F.collect_set("code").alias("loc_codes"))
 
     # the words of the segments, without those that name a country
@@ -169,7 +170,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     chosen = scored.join(best, ["location", "seg"]).where("score = best").select("location", "seg", "key")
     entries = chosen.join(named.select("key", "place_id", "country_code", "admin").distinct(), "key")
     areas = segs.where("words is not null").groupBy("location").agg(F.collect_set(F.array_join("words", " ")).alias("areas"))
-    entries = entries.join(areas, "location")
+    entries = checkpoint(entries.join(areas, "location"))
 
     full = pairs.join(field_code, "country", "left").join(loc_codes, "location", "left").join(entries, "location")
     fits = (F.col("field_code").isNull() | (F.col("field_code") == F.col("country_code"))) & (F.col("loc_codes").isNull() | F.array_contains("loc_codes", F.col("country_code")))
