@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.batches import repeated_postings
 from tidemark.llm.encoding import restore_encoding, restored_digest
 from tidemark.llm.leaks import find_leaks
+from tidemark.llm.markup import convert
 from tidemark.llm.packing import fill_report, pack
 from tidemark.llm.places import link_places
 from tidemark.llm.residue import find_residue
 from tidemark.runtime import table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convert(table(spark, sf_dir, "jobs"), keep_text=False).drop("markup")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_places(table(spark, sf_dir, "jobs"), table(spark, sf_dir, "places"))
 
@@ -41,7 +46,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found}
 
 SQL = {
     "p5_found": r"""
