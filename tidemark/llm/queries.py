@@ -9,6 +9,7 @@ from tidemark.llm.encoding import restore_encoding, restored_digest
 from tidemark.llm.leaks import find_leaks
 from tidemark.llm.markup import convert
 from tidemark.llm.packing import fill_report, pack
+from tidemark.llm.pii import find_personal
 from tidemark.llm.places import link_places
 from tidemark.llm.residue import find_residue
 from tidemark.runtime import table
@@ -46,7 +47,11 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 SQL = {
     "p5_found": r"""
