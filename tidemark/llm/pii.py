@@ -91,23 +91,60 @@ FILES = {"png", "jpg", "jpeg", "gif", "svg", "js", "css", "py", "zip", "pdf", "m
 POSTCODE = re.compile(r"\d{5}|[A-Z]{1,2}\d[A-Z\d]? \d[A-Z]{2}|-\d{5}")
 
 
+AT_MARK = re.compile(r"@|＠|&#64;|[(\[{]at[)\]}]|<at>|\(a\)| (?:at|AT|arobase) (?=\S+ (?:dot|DOT|point) )", re.I)
+DIGITS = re.compile(r"\d(?:[\d() ./+-]|[A-Z](?![a-z])){3,}")
+#: Words of which one stands in every postal address.
+PLACES = set("box plot house hse flat apartment apt unit suite block street st road rd lane ln close drive dr avenue ave court ct way crescent gardens place terrace highway boulevard blvd square hill row walk grove park".split()) | set(
+    "rue chemin impasse allée quai route calle avenida avda av paseo plaza carrera c rua travessa praça largo estrada".split()
+)
+GERMAN_STREET = ("straße", "strasse", "weg", "gasse", "platz", "allee", "ring", "damm", "ufer")
+
+
+def _spans(marks: list[int], before: int, after: int, length: int) -> list[tuple[int, int]]:
+    """The marks' surroundings, merged where they meet."""
+    out: list[tuple[int, int]] = []
+    for m in sorted(marks):
+        lo, hi = max(0, m - before), min(length, m + after)
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of all spans that could be personal information; spans may overlap."""
-    out = {("email", m.start(), m.end()) for m in EMAIL.finditer(text)}
-    for p in PHONE_FORMS:
-        for m in p.finditer(text):
-            if not (m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] in "+-./@(" or re.search(r"\d[ .-]$", text[max(0, m.start() - 2) : m.start()]))) and 7 <= sum(c.isdigit() for c in m.group()) <= 16:
-                out.add(("phone", m.start(), m.end()))
-    out |= {("id_number", m.start(), m.end()) for p in IDS for m in p.finditer(text)}
-    out |= {("address", m.start(), m.end()) for p in ADDRESSES for m in p.finditer(text)}
-    for lo, hi in _regions(text, [a for _, a, _ in out]):
+    """(kind, start, end) of all spans that could be personal information; spans may overlap.
+
+    The costly patterns only run around marks that every span of their kind has: an at sign, four
+    characters of a number, a word for a street or the like, a name or a cue for one.
+    """
+    out = set()
+    for lo, hi in _spans([m.start() for m in AT_MARK.finditer(text)], 90, 120, len(text)):
+        out |= {("email", m.start(), m.end()) for m in EMAIL.finditer(text, lo, hi)}
+    runs = [m.span() for m in DIGITS.finditer(text)]
+    for lo, hi in _spans([x for a, b in runs for x in (a, b)], 12, 45, len(text)):
+        for p in PHONE_FORMS:
+            for m in p.finditer(text, lo, hi):
+                a = m.start()
+                if not (a and (text[a - 1].isalnum() or text[a - 1] in "+-./@(" or re.search(r"\d[ .-]$", text[max(0, a - 2) : a]))) and 7 <= sum(c.isdigit() for c in m.group()) <= 16:
+                    out.add(("phone", a, m.end()))
+        out |= {("id_number", m.start(), m.end()) for p in IDS for m in p.finditer(text, lo, hi)}
+    people, places = _marks(text)
+    if runs or any(c.isdigit() for c in text):
+        for lo, hi in _spans(places, 90, 110, len(text)):
+            out |= {("address", m.start(), m.end()) for p in ADDRESSES for m in p.finditer(text, lo, hi)}
+    for lo, hi in _spans(people + [a for _, a, _ in out], REACH, REACH, len(text)):
+        lo = text.rfind(" ", 0, lo) + 1
         for p in PERSONS:
             at = lo
             while (m := p.search(text, at, hi + 40)) and m.start() < hi:
                 a, b = m.span(1)
                 words = text[a:b].split()
                 at = a + max(1, len(words[0]))
-                if not any(w.strip(".,").lower() in STOP and not (len(w) == 2 and w[1] == ".") for w in words):
+                bare = [w.strip(".,").lower() for w in words]
+                if any(w in STOP and len(w) > 1 for w in bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
+                    continue
+                if any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for w in bare for q in w.split("-")) or CUE["person_left"].search(text[max(0, a - 40) : a]):
                     out.add(("person", a, b))
     return sorted(out, key=lambda c: (c[1], c[2], c[0]))
 
@@ -115,27 +152,21 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
 #: Words, and pairs of words, beside which a person may be named.
 BESIDE = set("recruiter reference interviewer joindre kontakt contact regards cheers dr ms mr mrs attn phone telefon simu reachable rated starts applied lead thank strong took".split())
 BESIDE_PAIRS = {tuple(x.split()) for x in "ask for|signed as|pregunte por|wasiliana na|go to|over from|cuidado de|call with|ansprechpartner ist|ansprechpartnerin ist|reporting line|badge request".split("|")}
-TOKEN = re.compile(rf"[{U}{L}]+")
+TOKEN = re.compile(r"[^\W\d_]+")
 REACH = 60
 
 
-def _regions(text: str, others: list[int]) -> list[tuple[int, int]]:
-    """Where a person may be named: around given names and family endings after capitals, beside cues and other spans."""
-    marks, before = list(others), ""
+def _marks(text: str) -> tuple[list[int], list[int]]:
+    """Where persons may be named (given names and cues), and where words of addresses stand."""
+    people, places, before = [m.start() for m in re.finditer("—", text)], [], ""
     for m in TOKEN.finditer(text):
         word = m.group().lower()
         if word in GIVEN or word in BESIDE or (before, word) in BESIDE_PAIRS:
-            marks.append(m.start())
+            people.append(m.start())
+        if word in PLACES or word.endswith(GERMAN_STREET):
+            places.append(m.start())
         before = word
-    marks += [m.end() for m in re.finditer("—", text)]
-    out: list[tuple[int, int]] = []
-    for m in sorted(marks):
-        lo, hi = text.rfind(" ", 0, max(0, m - REACH)) + 1, m + REACH
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], max(hi, out[-1][1]))
-        else:
-            out.append((lo, hi))
-    return out
+    return people, places
 
 
 def _person_words(span: str) -> list[str]:

@@ -8,6 +8,7 @@ from tidemark.llm.batches import repeated_postings
 from tidemark.llm.encoding import restore_encoding, restored_digest
 from tidemark.llm.leaks import find_leaks
 from tidemark.llm.markup import convert
+from tidemark.llm.names import link_names, name_pairs
 from tidemark.llm.packing import fill_report, pack
 from tidemark.llm.pii import find_personal
 from tidemark.llm.places import link_places
@@ -15,6 +16,10 @@ from tidemark.llm.residue import find_residue
 from tidemark.runtime import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_pairs(link_names(table(spark, sf_dir, "jobs")))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert(table(spark, sf_dir, "jobs"), keep_text=False).drop("markup")
 
@@ -51,7 +56,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 SQL = {
     "p5_found": r"""
