@@ -71,6 +71,7 @@ ADDRESSES = [re.compile(p) for p in (
 )]
 PERSONS = [re.compile(p) for p in (
     rf"(?<![\w@.+'’-])(?={NAME}(?: [{U}]\.)*(?: wa| WA| Wa| de| DE| van| von| da| el| bin)? {NAME})({NAME}(?: [{U}{L}]\.)*(?: wa| WA| Wa| de| DE| van| von| da| el| bin)? {NAME})(?![\w@'’-])",
+    rf"(?<![\w@.+'’-])((?:wa|WA|Wa) {NAME} {NAME})(?![\w@'’-])",
     rf"(?<![\w@.+'’-])((?:wa |WA |Wa )?{NAME}, {NAME}(?: [{U}]\.)*)(?![\w@'’-])",
     rf"(?<![\w@+'’-])([{U}{L}]\.(?: ?[{U}{L}]\.)*(?: wa| WA| Wa| de| van| von| da)? {NAME})(?![\w@'’-])",
     rf"(?<![\w@.+'’-])((?:wa )?{NAME}, [{U}]\.(?: [{U}]\.)*)(?![\w@])",
