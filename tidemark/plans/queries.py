@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.operators import briefs, diffusion, extraction, shares, store
 from tidemark.operators.timestamps import normalise_timestamps, not_canonical
-from tidemark.runtime import table
+from tidemark.runtime import shared_folder, table
 from tidemark.settings import HISTORY_SOURCES, DiffusionSettings
+from tidemark.sources import adapters, jsonld
+from tidemark.streaming import ingest
 
 FLAGSHIP = "share_year"
 SETTINGS = replace(DiffusionSettings(), min_cell=30)
@@ -414,3 +417,80 @@ def posting_terms(spark, sf_dir):
 def precision_gate(spark, sf_dir):
     found = extracted(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "segment"), "doc_id")
     return extraction.precision_gate(found, "segment")
+
+
+# ---------------------------------------------------------------- sources
+
+
+def payloads(rows: DataFrame, body, board: str) -> DataFrame:
+    """Postings as the payloads their board would send: pages of about 50 rows."""
+    page = F.floor(F.col("row_id") / 50).alias("page")
+    listed = rows.groupBy(page).agg(F.collect_list(body).alias("jobs"), F.min("segment").alias("segment"))
+    return listed.select(F.concat(F.lit("https://x.example/boards/"), F.lit(board)).alias("url"), F.lit(board).alias("source"), "segment", F.to_json(F.struct("jobs")).alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"))
+
+
+ADAPTED = "SELECT source, native_id, title, coalesce(description_html, '') AS description_html, {company} AS company, location, is_remote, date_posted FROM jobs WHERE source = '{source}' AND native_id <> '' AND trim(title) <> ''"
+COLUMNS = ("source", "native_id", "title", "description_html", "company", "location", "is_remote", "date_posted")
+
+
+@query(ADAPTED.format(source="stackhire", company="CAST(NULL AS VARCHAR)").replace("is_remote,", "coalesce(is_remote, false) AS is_remote,").replace("title,", "trim(title) AS title,"))
+def adapter_board_b(spark, sf_dir):
+    rows = table(spark, sf_dir, "jobs").where("source = 'stackhire'").withColumn("is_remote", F.coalesce("is_remote", F.lit(False)))
+    body = F.struct(F.col("native_id").alias("id"), "title", "location", F.col("is_remote").alias("isRemote"), F.lit(True).alias("isListed"), F.col("date_posted").alias("publishedAt"), F.col("description_html").alias("descriptionHtml"))
+    return adapters.ats_board_b(payloads(rows, body, "stackhire")).select(*COLUMNS)
+
+
+@query(ADAPTED.format(source="farposts", company="company").replace("is_remote,", "true AS is_remote,").replace("native_id,", "trim(native_id) AS native_id,").replace("title,", "trim(title) AS title,"))
+def adapter_remote_board(spark, sf_dir):
+    rows = table(spark, sf_dir, "jobs").where("source = 'farposts'")
+    body = F.struct(F.col("native_id").alias("id"), "title", F.col("location").alias("candidate_required_location"), F.col("company").alias("company_name"), F.col("date_posted").alias("publication_date"), F.col("description_html").alias("description"))
+    return adapters.REGISTRY["farposts"][1](payloads(rows, body, "farposts")).select(*COLUMNS)
+
+
+@query()
+def adapter_board_a(spark, sf_dir):
+    rows = table(spark, sf_dir, "jobs").where("source = 'leafboard'")
+    body = F.struct(F.col("native_id").alias("id"), "title", F.struct(F.col("location").alias("name")).alias("location"), F.col("date_posted").alias("first_published"), F.col("description_html").alias("content"), F.col("company").alias("company_name"))
+    return adapters.ats_board_a(payloads(rows, body, "leafboard")).select(*COLUMNS)
+
+
+@query()
+def adapter_threads(spark, sf_dir):
+    rows = table(spark, sf_dir, "jobs").where("source = 'threadwork'")
+    text = F.concat_ws(" ", F.concat_ws(" | ", "company", "title", "location"), F.lit("\n"), "description_html")
+    thread = rows.groupBy(F.floor(F.col("row_id") / 50).alias("id")).agg(F.collect_list(F.struct(F.col("native_id").alias("id"), F.lit("someone").alias("author"), F.col("date_posted").alias("created_at"), text.alias("text"))).alias("children"))
+    body = F.to_json(F.struct("id", F.lit("Who is hiring?").alias("title"), F.lit("2024-05-01").alias("created_at"), "children"))
+    return adapters.monthly_threads(thread.select(F.lit("items/1").alias("url"), F.lit("threadwork").alias("source"), F.lit("GLOBAL").alias("segment"), body.alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"))).select(*COLUMNS)
+
+
+@query("SELECT row_id, true AS found, nullif(trim(title), '') AS title, nullif(trim(company), '') AS company, nullif(trim(location), '') AS location FROM jobs WHERE title IS NOT NULL AND company IS NOT NULL AND location IS NOT NULL")
+def jsonld_postings(spark, sf_dir):
+    rows = table(spark, sf_dir, "jobs").where("title is not null and company is not null and location is not null")
+    org = F.struct(F.lit("#org").alias("@id"), F.lit("Organization").alias("@type"), F.col("company").alias("name"))
+    job = F.struct(F.lit("JobPosting").alias("@type"), "title", F.struct(F.lit("#org").alias("@id")).alias("hiringOrganization"), F.struct(F.col("location").alias("address")).alias("jobLocation"))
+    page = F.concat(F.lit('<html><script type="application/ld+json">'), F.to_json(F.struct(F.struct(org.alias("org"), job.alias("job")).alias("@graph"))), F.lit("</script></html>"))
+    return jsonld.parse_pages(rows.select("row_id", page.alias("html"))).select("row_id", "found", "title", "company", "location")
+
+
+@query("SELECT source, segment, count(*) AS n FROM jobs GROUP BY source, segment")
+def stream_counts(spark, sf_dir):
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    return ingest.stream_counts(ingest.landed(spark, f"{sf_dir}/jobs.parquet", 1), ["source", "segment"], f"{folder}/counts", f"{folder}/state")
+
+
+@query("SELECT job_id, row_id, title FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY row_id DESC) AS rn FROM jobs) WHERE rn = 1")
+def stream_upsert(spark, sf_dir):
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    rows = ingest.landed(spark, f"{sf_dir}/jobs.parquet", 1).select("job_id", "row_id", "title")
+    return ingest.stream_upsert(rows, f"{folder}/store", ["job_id"], ["row_id"], f"{folder}/state")
+
+
+@query("SELECT slug, ats, segment, open_jobs FROM companies WHERE open_jobs >= 5 AND slug NOT IN (SELECT board_slug FROM documents WHERE board_slug IS NOT NULL)")
+def new_boards(spark, sf_dir):
+    known = table(spark, sf_dir, "documents").where("board_slug is not null").select(F.col("board_slug").alias("slug")).distinct()
+    return adapters.confirmed_boards(table(spark, sf_dir, "companies"), known, 5)
+
+
+@query("SELECT d.doc_id, c.segment FROM documents d LEFT JOIN companies c ON lower(d.board_slug) = lower(c.slug)")
+def board_segment(spark, sf_dir):
+    return adapters.segment_of(table(spark, sf_dir, "documents").select("doc_id", F.col("board_slug").alias("slug")), table(spark, sf_dir, "companies")).select("doc_id", "segment")
