@@ -69,12 +69,10 @@ ADDRESSES = [re.compile(p) for p in (
     rf"\b{TOWN}(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|damm|ufer) \d+ ?[a-z]?, \d{{5}} {TOWN}", rf"(?<![\w,.-])\d{{1,4}}(?: ?(?:bis|ter))?,? (?:rue|avenue|boulevard|place|chemin|impasse|allée|quai|route|Rue|Avenue|Boulevard) (?:(?:de|du|des|de la|de l['’]|la|le|d['’])\s?)*{TOWN}(?: {TOWN})*, \d{{5}} {TOWN}",
     rf"\b(?:Calle|C/|Avenida|Avda\.?|Paseo|Plaza|Carrera) (?:(?:de|del|la|las|los) )*{TOWN}(?: {TOWN})*,? \d+(?:, \d+[ºª°](?: ?[A-Z](?![a-z]))?)?, \d{{5}} {TOWN}", rf"\b(?:Rua|Avenida|Av\.|Travessa|Praça|Largo|Estrada) (?:(?:de|do|da|dos|das) )*{TOWN}(?: {TOWN})*, \d+(?:, \d+[ºª°](?: ?\w+)?)?,(?: \d{{4,5}}-\d{{3}})? {TOWN}",
 )]
-PERSONS = [re.compile(p) for p in (
-    rf"(?<![\w@.+'’-])(?={NAME}(?: [{U}]\.)*(?: wa| WA| Wa| de| DE| van| von| da| el| bin)? {NAME})({NAME}(?: [{U}{L}]\.)*(?: wa| WA| Wa| de| DE| van| von| da| el| bin)? {NAME})(?![\w@'’-])",
-    rf"(?<![\w@.+'’-])((?:wa|WA|Wa) {NAME} {NAME})(?![\w@'’-])",
-    rf"(?<![\w@.+'’-])((?:wa |WA |Wa )?{NAME}, {NAME}(?: [{U}]\.)*)(?![\w@'’-])",
-    rf"(?<![\w@+'’-])([{U}{L}]\.(?: ?[{U}{L}]\.)*(?: wa| WA| Wa| de| van| von| da)? {NAME})(?![\w@'’-])",
-    rf"(?<![\w@.+'’-])((?:wa )?{NAME}, [{U}]\.(?: [{U}]\.)*)(?![\w@])",
+#: Overlapping matches: each looks ahead from a word's start.
+PERSONS = [re.compile(rf"(?<![\w@.+'’-])(?=({p})(?![\w@'’-]))") for p in (
+    rf"{NAME}(?: [{U}{L}]\.)*(?: wa| WA| Wa| de| DE| van| von| da| el| bin)? {NAME}", rf"(?:wa|WA|Wa) {NAME} {NAME}", rf"(?:wa |WA |Wa )?{NAME}, {NAME}(?: [{U}]\.)*",
+    rf"[{U}{L}]\.(?: ?[{U}{L}]\.)*(?: wa| WA| Wa| de| van| von| da)? {NAME}", rf"(?:wa )?{NAME}, [{U}]\.(?: [{U}]\.)*",
 )]
 # Words beside spans of each kind, and beside what only looks like one.
 CUES = {
@@ -92,12 +90,14 @@ FILES = {"png", "jpg", "jpeg", "gif", "svg", "js", "css", "py", "zip", "pdf", "m
 POSTCODE = re.compile(r"\d{5}|[A-Z]{1,2}\d[A-Z\d]? \d[A-Z]{2}|-\d{5}")
 
 
-AT_MARK = re.compile(r"@|＠|&#64;|[(\[{]at[)\]}]|<at>|\(a\)| (?:at|AT|arobase) (?=\S+ (?:dot|DOT|point) )", re.I)
+AT_MARKS = ("@", "＠", "&#64;", "(at)", "[at]", "{at}", "<at>", "(a)")
+AT_WORD = re.compile(r" (?:at|arobase) (?=\S+ (?:dot|point) )")
 DIGITS = re.compile(r"\d(?:[\d() ./+-]|[A-Z](?![a-z])){3,}")
 #: Words of which one stands in every postal address.
 PLACES = set("box plot house hse flat apartment apt unit suite block street st road rd lane ln close drive dr avenue ave court ct way crescent gardens place terrace highway boulevard blvd square hill row walk grove park".split()) | set(
-    "rue chemin impasse allée quai route calle avenida avda av paseo plaza carrera c rua travessa praça largo estrada".split()
+    "rue boulevard place chemin impasse allée quai route calle avenida avda av paseo plaza carrera c rua travessa praça largo estrada".split()
 )
+FRENCH = {"rue", "avenue", "boulevard", "chemin", "impasse", "allée", "quai", "route"}
 GERMAN_STREET = ("straße", "strasse", "weg", "gasse", "platz", "allee", "ring", "damm", "ufer")
 
 
@@ -120,9 +120,10 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     characters of a number, a word for a street or the like, a name or a cue for one.
     """
     out = set()
-    for lo, hi in _spans([m.start() for m in AT_MARK.finditer(text)], 90, 120, len(text)):
+    at_signs, people, places = marks(text)
+    for lo, hi in _spans(at_signs, 90, 120, len(text)):
         out |= {("email", m.start(), m.end()) for m in EMAIL.finditer(text, lo, hi)}
-    runs = [m.span() for m in DIGITS.finditer(text)]
+    runs = [m.span() for m in DIGITS.finditer(text) if sum(map(str.isdigit, m.group())) >= 6]
     for lo, hi in _spans([x for a, b in runs for x in (a, b)], 12, 45, len(text)):
         for p in PHONE_FORMS:
             for m in p.finditer(text, lo, hi):
@@ -130,18 +131,17 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
                 if not (a and (text[a - 1].isalnum() or text[a - 1] in "+-./@(" or re.search(r"\d[ .-]$", text[max(0, a - 2) : a]))) and 7 <= sum(c.isdigit() for c in m.group()) <= 16:
                     out.add(("phone", a, m.end()))
         out |= {("id_number", m.start(), m.end()) for p in IDS for m in p.finditer(text, lo, hi)}
-    people, places = _marks(text)
-    if runs or any(c.isdigit() for c in text):
+    if places:
         for lo, hi in _spans(places, 90, 110, len(text)):
             out |= {("address", m.start(), m.end()) for p in ADDRESSES for m in p.finditer(text, lo, hi)}
     for lo, hi in _spans(people + [a for _, a, _ in out], REACH, REACH, len(text)):
         lo = text.rfind(" ", 0, lo) + 1
         for p in PERSONS:
-            at = lo
-            while (m := p.search(text, at, hi + 40)) and m.start() < hi:
+            for m in p.finditer(text, lo, hi + 40):
                 a, b = m.span(1)
+                if a >= hi:
+                    break
                 words = text[a:b].split()
-                at = a + max(1, len(words[0]))
                 bare = [w.strip(".,").lower() for w in words]
                 if any(w in STOP and len(w) > 1 for w in bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
                     continue
@@ -152,22 +152,57 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
 
 #: Words, and pairs of words, beside which a person may be named.
 BESIDE = set("recruiter reference interviewer joindre kontakt contact regards cheers dr ms mr mrs attn phone telefon simu reachable rated starts applied lead thank strong took".split())
-BESIDE_PAIRS = {tuple(x.split()) for x in "ask for|signed as|pregunte por|wasiliana na|go to|over from|cuidado de|call with|ansprechpartner ist|ansprechpartnerin ist|reporting line|badge request".split("|")}
-TOKEN = re.compile(r"[^\W\d_]+")
+BESIDE_PAIRS = "ask for|signed as|pregunte por|wasiliana na|go to|over from|cuidado de|call with|ansprechpartner ist|ansprechpartnerin ist|reporting line|badge request".split("|")
 REACH = 60
 
 
-def _marks(text: str) -> tuple[list[int], list[int]]:
-    """Where persons may be named (given names and cues), and where words of addresses stand."""
-    people, places, before = [m.start() for m in re.finditer("—", text)], [], ""
-    for m in TOKEN.finditer(text):
-        word = m.group().lower()
-        if word in GIVEN or word in BESIDE or (before, word) in BESIDE_PAIRS:
-            people.append(m.start())
-        if word in PLACES or word.endswith(GERMAN_STREET):
-            places.append(m.start())
-        before = word
-    return people, places
+def lowered(text: str) -> str:
+    """Lower case, character by character, so that places stay the same."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+@lru_cache(1)
+def _finder():
+    """An automaton for all marks of at least three characters; each is known as at sign, person or place."""
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for kind, words in (("at", AT_MARKS), ("end", GERMAN_STREET), ("place", PLACES), ("person", GIVEN | BESIDE), ("pair", BESIDE_PAIRS), ("pair", ("—",)), ("dot", (" dot ", " point "))):
+        for w in words:
+            if len(w) > 2 or kind in ("at", "pair"):
+                a.add_word(w, (kind, len(w), w))
+    a.make_automaton()
+    return a
+
+
+SHORT_MARK = re.compile(r"(?<![^\W_])(?:(St|Rd|Ln|Dr|Ct|Av|C/)|(?:[DdMm][Rr]|[Mm][Ss])\b)")
+
+
+def marks(text: str) -> tuple[list[int], list[int], list[int]]:
+    """Where at signs, names or cues for them, and words of addresses stand (these with a capital, but for French ones)."""
+    low = lowered(text)
+    at_signs, people, places, dotted = [], [], [], False
+    for end, (kind, n, w) in _finder().iter(low):
+        a = end - n + 1
+        if kind == "at":
+            at_signs.append(a)
+        elif kind == "pair":
+            people.append(a)
+        elif kind == "end":
+            places.append(a)
+        elif kind == "dot":
+            dotted = True
+        elif not (a and low[a - 1].isalpha()) and not low[end + 1 : end + 2].isalpha():
+            if kind == "person":
+                people.append(a)
+            elif text[a].isupper() or w in FRENCH:
+                places.append(a)
+    for m in SHORT_MARK.finditer(text):
+        (places if m.group(1) else people).append(m.start())
+    if dotted:
+        at_signs += [m.start() for m in AT_WORD.finditer(low)]
+    return at_signs, people, places
 
 
 def _person_words(span: str) -> list[str]:
