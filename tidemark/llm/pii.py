@@ -85,7 +85,8 @@ CUES = {
     "id_left": r"(?:passport|reisepass|pasaporte|passeport|pasipoti|national id|id no\.?|id card|id number|identity card|personalausweis|ausweis|kitambulisho|nif|dni|ni number|nino|ssn|social security(?: number)?|insurance(?: number| no\.?)?|tax pin|tax id|steuer\w*|kra pin|\bpin|cpf|nie|nir)(?: (?:no\.?|number|namba|nummer|nr\.?|num[ée]ro))?[ :#]*$",
     "other_left": r"(?:order|requisition|ticket|invoice|lot|build|release|version|section|lib@|r-|from|to|no\.|pages?|batch|room|salar\w+|replaces|run of|grace period)[ :#-]*(?:no\.?)?[ :#-]*$",
 }
-CUE = {k: re.compile(v, re.I) for k, v in CUES.items()}
+#: For text in lower case.
+CUE = {k: re.compile(v) for k, v in CUES.items()}
 FILES = {"png", "jpg", "jpeg", "gif", "svg", "js", "css", "py", "zip", "pdf", "md", "txt", "json"}
 POSTCODE = re.compile(r"\d{5}|[A-Z]{1,2}\d[A-Z\d]? \d[A-Z]{2}|-\d{5}")
 
@@ -119,8 +120,8 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     The costly patterns only run around marks that every span of their kind has: an at sign, four
     characters of a number, a word for a street or the like, a name or a cue for one.
     """
-    out = set()
-    at_signs, people, places = marks(text)
+    out, low = set(), lowered(text)
+    at_signs, people, places = marks(text, low)
     for lo, hi in _spans(at_signs, 90, 120, len(text)):
         out |= {("email", m.start(), m.end()) for m in EMAIL.finditer(text, lo, hi)}
     runs = [m.span() for m in DIGITS.finditer(text) if sum(map(str.isdigit, m.group())) >= 6]
@@ -145,7 +146,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
                 bare = [w.strip(".,").lower() for w in words]
                 if any(w in STOP and len(w) > 1 for w in bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
                     continue
-                if any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for w in bare for q in w.split("-")) or CUE["person_left"].search(text[max(0, a - 40) : a]):
+                if any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for w in bare for q in w.split("-")) or CUE["person_left"].search(low[max(0, a - 30) : a]):
                     out.add(("person", a, b))
     return sorted(out, key=lambda c: (c[1], c[2], c[0]))
 
@@ -179,9 +180,8 @@ def _finder():
 SHORT_MARK = re.compile(r"(?<![^\W_])(?:(St|Rd|Ln|Dr|Ct|Av|C/)|(?:[DdMm][Rr]|[Mm][Ss])\b)")
 
 
-def marks(text: str) -> tuple[list[int], list[int], list[int]]:
+def marks(text: str, low: str) -> tuple[list[int], list[int], list[int]]:
     """Where at signs, names or cues for them, and words of addresses stand (these with a capital, but for French ones)."""
-    low = lowered(text)
     at_signs, people, places, dotted = [], [], [], False
     for end, (kind, n, w) in _finder().iter(low):
         a = end - n + 1
@@ -209,12 +209,13 @@ def _person_words(span: str) -> list[str]:
     return [w.strip(",.") for w in span.split() if w.strip(",.").lower() not in ("wa", "de", "van", "von", "da", "el", "bin")]
 
 
-def features(text: str, kind: str, start: int, end: int, beside: set[int]) -> list[float]:
-    """Format and context of a span as numbers; `beside` holds where surer spans of other kinds begin."""
+def features(text: str, low: str, kind: str, start: int, end: int, beside: set[int]) -> list[float]:
+    """Format and context of a span as numbers; `low` is the text in lower case, `beside` holds where surer spans of other kinds begin."""
     span, left, right = text[start:end], text[max(0, start - 40) : start], text[end : end + 40]
+    before, after = low[max(0, start - 30) : start], low[end : end + 40]
     digits = sum(c.isdigit() for c in span)
     near = float(any(p in beside for p in range(end, end + 5)))
-    cue = lambda name, side: float(bool(CUE[name].search(side)))
+    cue = lambda name, side: float(bool(CUE[name].search(before if side is left else after)))
     line = float(left[-1:] in ("\n", "") and right[:1] in ("\n", ""))
     if kind == "person":
         words = _person_words(span)
@@ -337,7 +338,8 @@ def training_texts(limit: int = TRAINING_SENTENCES, seed: int = 7) -> list[tuple
 def _rows(text: str) -> tuple[list[tuple[str, int, int]], list[list[float]]]:
     cands = candidates(text)
     beside = {a for k, a, _ in cands if k in ("email", "address")} | {a for k, a, b in cands if k == "phone" and b - a > 8}
-    return cands, [features(text, k, a, b, beside - {a}) for k, a, b in cands]
+    low = lowered(text)
+    return cands, [features(text, low, k, a, b, beside - {a}) for k, a, b in cands]
 
 
 @lru_cache(1)
