@@ -60,7 +60,7 @@ def edits(a: str, b: str, most: int = 3) -> int:
             row.append(d)
         if min(row) > most:
             return most + 1
-    return row[-1]
+    return min(row[-1], most + 1)
 
 
 @lru_cache(1 << 16)
@@ -180,7 +180,7 @@ def compare(a: tuple[list[str], str], b: tuple[list[str], str]) -> tuple[str, in
         d = min(token_edits(short[0], w) for w in long if not is_given(w) and not is_initial(w)) if any(not is_given(w) and not is_initial(w) for w in long) else 9
         return ("lossy", d) if d <= 1 else None
     best = None
-    for order in permutations(cb):
+    for order in permutations(cb) if len(cb) <= 5 else (tuple(cb),):
         total, initials, whole = 0, 0, 0
         for x, y in zip(ca, order, strict=True):
             if is_initial(x) != is_initial(y):
@@ -209,6 +209,21 @@ def one_deleted(word: str, two: bool) -> set[str]:
     return {word, *once, *({w[:i] + w[i + 1 :] for w in once for i in range(len(w))} if two else ())}
 
 
+LONG = 24
+
+
+def deletion_forms(word: str, two: bool) -> set[str]:
+    """Texts of which words within two edits (one, if not `two`) share at least one.
+
+    Short words: what is left without some letters. Words of more than LONG letters, where that grows
+    too much: eight letters from the start, the end and around the middle; two edits can't spoil all.
+    """
+    if len(word) <= LONG:
+        return one_deleted(word, two) | ({word[:8] + "<", ">" + word[-8:]} if len(word) >= LONG - 2 else set())
+    mid = len(word) // 2 - 4
+    return {word[:8] + "<", ">" + word[-8:], *(f"={word[mid + i : mid + i + 8]}" for i in range(-3, 4))}
+
+
 def rewritings(core: list[str]) -> set[str]:
     """The keys under which a name can meet another: each telling word without some letters, with the first letter of the word beside it.
 
@@ -222,9 +237,9 @@ def rewritings(core: list[str]) -> set[str]:
         marks = {"".join(sorted(r[0] for r in rest)) if rest else "*"}
         if len(rest) == 1 and (is_given(rest[0]) or is_initial(rest[0])):
             marks.add("*")
-        out |= {f"{d}|{m}" for d in one_deleted(w, len(w) >= 7) for m in marks}
+        out |= {f"{d}|{m}" for d in deletion_forms(w, len(w) >= 7) for m in marks}
     if len(core) != 1:
-        out |= {f"{d}|*" for d in one_deleted("".join(core), False)}
+        out |= {f"{d}|*" for d in deletion_forms("".join(core), False)}
     return out
 
 

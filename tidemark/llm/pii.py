@@ -320,7 +320,7 @@ def training_texts(limit: int = TRAINING_SENTENCES, seed: int = 7) -> list[tuple
     while made < limit:
         text, spans = "", set()
         for _ in range(rng.choice((2, 3, 4))):
-            text += rng.choice(("", " ", " ", " ", "\n")) if text else ""
+            text += rng.choice((" ", " ", " ", "\n")) if text else ""
             frame = rng.choice(FRAMES if rng.random() < 0.6 else PLAIN)
             made += 1
             for k, part in enumerate(re.split(r"\{(\w+)\}", frame)):

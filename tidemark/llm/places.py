@@ -45,7 +45,7 @@ def deletes(word: Column, two: Column | None = None) -> Column:
 
 
 def edits(a: Column, b: Column) -> Column:
-    """Edit distance in which two letters that changed places count as one edit."""
+    """Levenshtein distance, but 1 for words that differ only by a letter, or two, in another place."""
     lev = F.levenshtein(a, b)
     letters = lambda w: F.array_sort(F.split(w, ""))
     return F.when((lev == 2) & (F.length(a) == F.length(b)) & (letters(a) == letters(b)), 1).otherwise(lev)
@@ -60,7 +60,9 @@ def repair(words: DataFrame, vocabulary: DataFrame, two_edits: bool = True) -> D
     """
     w, e = F.col("word"), F.col("entry")
     exact = words.join(vocabulary, w == e).select("word", "entry", F.lit(0).alias("d"))
-    rest = words.where(F.length("word") >= MIN_REPAIRED).join(vocabulary, w == e, "left_anti")
+    # longer words than any entry with two letters more can't be near one
+    longest = vocabulary.agg(F.coalesce(F.max(F.length("entry")), F.lit(0)).alias("longest"))
+    rest = words.where(F.length("word") >= MIN_REPAIRED).crossJoin(F.broadcast(longest)).where(F.length("word") <= F.col("longest") + 2).drop("longest").join(vocabulary, w == e, "left_anti")
     long_w, long_e = (F.length("word") >= MIN_TWO_EDITS - 1, F.length("entry") >= MIN_TWO_EDITS - 1) if two_edits else (F.lit(False), F.lit(False))
     left = rest.select("word", F.explode(deletes(w, long_w)).alias("k"))
     right = vocabulary.where(F.length("entry") >= MIN_REPAIRED).select("entry", F.explode(deletes(e, long_e)).alias("k"))
