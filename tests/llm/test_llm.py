@@ -127,14 +127,14 @@ PLACES = "place_id int, city string, admin_area string, country_code string, cou
 
 @pytest.fixture(scope="module")
 def gazetteer(spark):
-    return spark.createDataFrame([(1, "São Bumenól", "Trust", "BR", "Brazil", None), (2, "Hevehold", "Prah", "FR", "France", None), (3, "Hevehold", "Maw", "DE", "Germany", None), (4, "Fort Kaskol", "X", "IE", "Ireland", "Old Kask"), (5, "Brasilt", "Y", "NL", "Netherlands", None), (6, "Gravat", "Z", "PL", "Poland", None), (7, None, "q", "PL", "Poland", None), (8, "São Teles", "Trust", "BR", "Brazil", None)], PLACES)
+    return spark.createDataFrame([(1, "São Bumenól", "Trust", "BR", "Brazil", None), (2, "Hevehold", "Prah", "FR", "France", None), (3, "Hevehold", "Maw", "DE", "Germany", None), (4, "Fort Kaskol", "X", "IE", "Ireland", "Old Kask"), (5, "Brasilt", "Y", "NL", "Netherlands", None), (6, "Gravat", "Z", "PL", "Poland", None), (7, None, "q", "PL", "Poland", None), (8, "São Teles", "Trust", "BR", "Brazil", None), (9, "Grüzüwölingen", "Gravit", "DE", "Germany", None)], PLACES)
 
 
 @pytest.mark.parametrize(
     ("location", "country", "want"),
     [
         ("Sao Bumenol", None, {1}), ("S. Bumenól - BR", None, {1}), ("Hevehold", "Frankreich", {2}), ("Hevehold", None, {2, 3}), ("Hevehold, Maw, Germnay", None, {3}), ("Hevehold", "PL", {0}), ("Ft. Kaskl, Éire", "ie", {4}), ("Brasilt", "NL", {5}), ("Brasit, NLD", None, {5}),
-        ("Greater Gravat Area / Remote or Hevehold", "POL", {6}), ("Gravat; Old Kask", None, {4, 6}), ("Poland", "PL", {0}), ("Remote", None, {0}), ("", None, {0}), ("-", "N/A", {0}), ("GRAAVAT (on-site)", "Rep. of Ireland", {0}), ("Gravatland", None, {0}), ("x" * 3000, None, {0}),
+        ("Greater Gravat Area / Remote or Hevehold", "POL", {6}), ("Gruezuewoelingen", None, {9}), ("Hevehold, Gravit", "FR", {2}), ("Sãão Bumenól", "br", {1}), ("So Bumenol", None, {1}), ("Gravat; Old Kask", None, {4, 6}), ("Poland", "PL", {0}), ("Remote", None, {0}), ("", None, {0}), ("-", "N/A", {0}), ("GRAAVAT (on-site)", "Rep. of Ireland", {0}), ("Gravatland", None, {0}), ("x" * 3000, None, {0}),
     ],
 )
 def test_link_places(spark, gazetteer, location, country, want):

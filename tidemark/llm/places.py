@@ -35,6 +35,14 @@ def fold(text: Column) -> Column:
     return F.regexp_replace(F.translate(F.lower(F.regexp_replace(text, r"\p{M}+", "")), MARKED, PLAIN), "ß", "ss")
 
 
+def two_letters(name: str) -> Column:
+    """A name as it is typed without umlauts: ä as ae, ö as oe, ü as ue."""
+    out = F.col(name)
+    for mark, pair in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("Ä", "Ae"), ("Ö", "Oe"), ("Ü", "Ue")):
+        out = F.replace(out, F.lit(mark), F.lit(pair))
+    return out
+
+
 def deletes(word: Column, two: Column | None = None) -> Column:
     """The word and what is left of it without any one letter (any two, where `two` holds)."""
     cut = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
@@ -119,7 +127,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     segs = checkpoint(split.select("location", F.posexplode_outer("segs").alias("seg", "words")))
 
     # reference names
-    named = places.select("place_id", "country_code", fold("admin_area").alias("admin"), F.explode(F.array("city", "alt_name")).alias("name")).where("name is not null")
+    named = places.select("place_id", "country_code", fold("admin_area").alias("admin"), F.explode(F.array_distinct(F.array("city", "alt_name", two_letters("city"), two_letters("alt_name")))).alias("name")).where("name is not null")
     named = named.withColumn("tokens", F.flatten(segments(F.col("name")))).where(F.size("tokens") > 0).withColumn("key", F.array_join("tokens", " "))
     named = checkpoint(named)
     # how much the words of the reference names tell
@@ -134,7 +142,11 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     # every distinct word of the locations, repaired once
     words = segs.where("words is not null").select(F.explode("words").alias("word")).distinct()
     initials = words.where(F.length("word") == 1).join(df_tok.where("df > 1").select("entry", F.substring("entry", 1, 1).alias("word")), "word").select("word", "entry", F.lit(1).alias("d"))
-    fixed = checkpoint(repair(words, idf.select("entry")).unionByName(initials).join(idf, "entry"))
+    # frequent words of names (`Port`, `São`) may be misspelt though short: what stands beside them decides
+    short = words.where(F.length("word").between(2, MIN_REPAIRED)).join(idf.select(F.col("entry").alias("word")), "word", "left_anti").select("word", F.explode(deletes(F.col("word"))).alias("k"))
+    common = df_tok.where("df > 1 and length(entry) > 2").select("entry", F.explode(deletes(F.col("entry"))).alias("k"))
+    short = short.join(common, "k").select("word", "entry").distinct().where(edits(F.col("word"), F.col("entry")) == 1).withColumn("d", F.lit(1))
+    fixed = checkpoint(repair(words, idf.select("entry")).unionByName(initials).unionByName(short).distinct().join(idf, "entry"))
 
     # countries: whole segments, their last words, and the country field
     w = F.col("words")
@@ -143,7 +155,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     fields = pairs.where("country is not null").select("country").distinct().withColumn("word", F.array_join(F.flatten(segments(F.col("country"))), " "))
     whole = F.array_join(F.filter(F.split(fold("country"), r"[^\p{L}\p{N}]+"), lambda x: x != ""), " ")
     fields = fields.withColumn("word", F.when(F.col("word") == "", whole).otherwise(F.col("word")))
-    codes = checkpoint(country_codes(phrase_of.select("word").union(fields.select("word")).distinct(), places, named.select(F.col("key").alias("word")).union(fixed.where("d <= 1").select("word")).distinct()))
+    codes = checkpoint(country_codes(phrase_of.select("word").union(fields.select("word")).distinct(), places, named.select(F.col("key").alias("word")).union(fixed.where("d <= 1 and length(word) > 4").select("word")).distinct()))
     field_code = fields.join(codes, "word").select("country", F.col("code").alias("field_code"))
     exact_tail = codes.join(codes.sparkSession.createDataFrame([(a,) for a, _ in country_aliases()], "word string").unionByName(places.select(fold("country_name").alias("word"))).distinct(), "word", "left_semi")
     said = checkpoint(phrase_of.where("k = n").join(codes, "word").unionByName(phrase_of.where("k < n").join(exact_tail, "word")).groupBy("location", "seg").agg(F.max_by("code", "k").alias("code"), F.max("k").alias("k")))
@@ -168,6 +180,10 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
         .withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("seg_norm")), 6))
         .where(F.col("score") >= threshold)
     )
+    # a segment that is an admin area as written is no misspelt city
+    regions = named.where("admin is not null").select(F.array_join(F.flatten(segments(F.col("admin"))), " ").alias("phrase")).distinct()
+    region = left.select("location", "seg", F.array_join("words", " ").alias("phrase")).join(regions, "phrase").select("location", "seg", F.lit(True).alias("is_region"))
+    scored = scored.join(region, ["location", "seg"], "left").where(F.col("is_region").isNull() | ~F.exists("hit", lambda h: h.sim < 1))
     best = scored.groupBy("location", "seg").agg(F.max("score").alias("best"))
     chosen = scored.join(best, ["location", "seg"]).where("score = best").select("location", "seg", "key")
     entries = chosen.join(named.select("key", "place_id", "country_code", "admin").distinct(), "key")
