@@ -23,8 +23,17 @@ def local_session(app: str = "tidemark", cpus: int = 8, memory: str = "16g") ->
     )
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the path of Python workers, whatever folder the session was started from."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
