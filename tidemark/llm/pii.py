@@ -28,7 +28,7 @@ GIVEN = set(
     "achieng aisha akinyi alejandro alice amara amina ana anders andrea anna antonio baraka beatriz brigid carlos carmen chidi chloe clara claire daniel david desta diego edith elena elizabeth emeka emil emma eva "
     "farida fatima felix francisco gabriel gabriela grace halima hamish hanna hanne hassan helena henrik ibrahim ines ingrid isabel jakob james jan jane joana joao john jonas jose juan juma julia kamau karim katarina "
     "kofi kwame lars laura leila lena lotte louise luca lucia lukas luis maria marek marie mario marta martin mary maria mateus matteo mercy michael miguel mirela mohammed moses mwangi nadia ngozi nia nikolai njeri noah "
-    "odile olek oliver olivia omar otieno pascal paul pedro peter petra pierre priya rahul rania rashid ravi robert rosa ruth samuel sara sarah sofia sophie stefan sunita susanna sven teodor teresa thomas tomas viktor wambui "
+    "odile olek oliver olivia omar otieno pascal paul pedro peter petra pierre priya rahul rania rashid ravi robert rosa ruth samuel sara sarah signe sofia sophie stefan sunita susanna sven teodor teresa thomas tomas viktor wambui "
     "wangari wanjiru wei yara yusuf zainab zuri christopher benjamin abigail edward william".split()
 )
 # Endings that are common in family names.
@@ -55,7 +55,7 @@ PHONE = re.compile(r"(?<![\w./-])(?:\+|00)?\(?\d[\d() ./-]{5,20}\d(?:\s?(?:ext\.
 PHONE_FORMS = [
     re.compile(p + r"(?:\s?(?:ext\.?|x|extension)\s?\d{1,5})?(?![\w@]|[.-]\d)")
     for p in (
-        r"(?:\+|00)\d{1,3}[ .-]?\(?0?\)?[ .-]?\d{1,4}(?:[ .-]?\d{2,8}){1,5}", r"\(0\d{1,4}\)[ .-]?\d{3,5}(?:[ .-]?\d{3,4}){1,2}", r"0\d{1,4}(?:[ .-]\d{3,8}){1,3}", r"0\d(?:[ .-]\d{2}){4}",
+        r"(?:\+|00)\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,5}(?:[ .-]?\d{2,8}){1,5}", r"\(0\d{1,4}\)[ .-]?\d{3,5}(?:[ .-]?\d{3,4}){1,2}", r"0\d{1,4}(?:[ .-]\d{3,8}){1,3}", r"0\d(?:[ .-]\d{2}){4}",
         r"(?:1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}", r"0\d{8,11}",
     )
 ]
@@ -129,7 +129,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
         for p in PHONE_FORMS:
             for m in p.finditer(text, lo, hi):
                 a = m.start()
-                if not (a and (text[a - 1].isalnum() or text[a - 1] in "+-./@(" or re.search(r"\d[ .-]$", text[max(0, a - 2) : a]))) and 7 <= sum(c.isdigit() for c in m.group()) <= 16:
+                if not (a and (text[a - 1].isalnum() or text[a - 1] in "+-./@(" or re.search(r"\d[ .-]$", text[max(0, a - 2) : a]))) and 7 <= sum(c.isdigit() for c in m.group()) <= 20:
                     out.add(("phone", a, m.end()))
         out |= {("id_number", m.start(), m.end()) for p in IDS for m in p.finditer(text, lo, hi)}
     if places:
@@ -267,6 +267,9 @@ def _name(rng: random.Random) -> str:
     return out.upper() if r < 0.1 else out.lower() if r < 0.2 and form < 0.55 else out
 
 
+SKILLS = ("Python", "SQL", "Java", "Go", "Rust", "Kotlin", "Docker", "Excel", "Linux", "Scala", "Figma", "React", "Power BI", "Spring Boot", "Google Cloud", "Prompt engineering", "Penetration testing", "Machine learning", "REST APIs")
+
+
 def _fill(slot: str, rng: random.Random) -> str:
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     w = lambda n=2: (_syllables(rng, n) + rng.choice("lrntkx")).title()
@@ -288,7 +291,7 @@ def _fill(slot: str, rng: random.Random) -> str:
     if slot == "address":
         return rng.choice((f"P.O. Box {d(4)}-00{d(3)}, {w()}", f"Plot {d(2)}, {w()} Road, {w()}", f"House No. {d(2)}, {w()} Close, off {w()} Road, {w()}", f"Flat {d(1)}, {d(3)} {w()} Lane, {w()}", f"{d(2)} {w()} {rng.choice(('St.', 'Street', 'Rd', 'Lane', 'Close'))}, {w()} {letter()}{letter()}{d(1)} {d(1)}{letter()}{letter()}",
                            f"{d(4)} {w()} {rng.choice(('Ave', 'Drive', 'Avenue', 'Blvd'))} Apt {d(2)}B, {w()}, {rng.choice(('TX', 'OH', 'CA'))} 00{d(3)}", f"{w()}straße {d(2)}, {d(5)} {w()}", f"{w()}weg {d(2)}b, {d(5)} {w()}", f"{d(2)} rue de {w()}, {d(5)} {w()}", f"Calle {w()} {d(2)}, 2º B, {d(5)} {w()}", f"Rua {w()}, {d(2)}, {w()}"))
-    return {"n": lambda: str(rng.randrange(2, 999)), "w": w, "given": lambda: rng.choice(sorted(GIVEN)).title(), "d2": lambda: d(2), "d3": lambda: d(3), "d4": lambda: d(4), "skill": lambda: rng.choice("Python SQL Java Go Rust Kotlin Docker Excel Linux Scala Figma React".split()),
+    return {"n": lambda: str(rng.randrange(2, 999)), "w": w, "given": lambda: rng.choice(sorted(GIVEN)).title(), "d2": lambda: d(2), "d3": lambda: d(3), "d4": lambda: d(4), "skill": lambda: rng.choice(SKILLS),
             "group": lambda: rng.choice("billing risk data mobile search growth claims fleet".split()), "label": lambda: rng.choice(("passport", "passport no", "national ID", "ID No.", "tax PIN", "PIN:", "NIF", "NI number", "SSN", "social security number:", "kitambulisho namba", "Personalausweis"))}[slot]()
 
 
