@@ -42,9 +42,9 @@ def build_share(docs: DataFrame, tags: DataFrame, keys: list[str], min_cell: int
     """
     known = docs.dropna(subset=keys)
     totals = known.groupBy(*keys).agg(F.count("*").alias("n_jobs_total"))
-    one = slots(tags.dropna(subset=["skill", "track", "category"]), known, keys).groupBy(*keys, "skill", "track", "category", "job_id").agg(F.count("*").alias("rows"))
-    mentions = one.groupBy(*keys, "skill", "track", "category").agg(F.count("*").alias("n_mentions"))
-    tagged = slots(tags, known, keys).groupBy(*keys, "job_id").agg(F.count("*").alias("rows")).groupBy(*keys).agg(F.count("*").alias("n_tech_jobs"), F.sum("rows").alias("n_slots"))
+    one = slots(tags, known, keys).groupBy(*keys, "skill", "track", "category", "job_id").agg(F.count("*").alias("rows"))
+    mentions = one.dropna(subset=["skill", "track", "category"]).groupBy(*keys, "skill", "track", "category").agg(F.count("*").alias("n_mentions"))
+    tagged = one.groupBy(*keys, "job_id").agg(F.sum("rows").alias("rows")).groupBy(*keys).agg(F.count("*").alias("n_tech_jobs"), F.sum("rows").alias("n_slots"))
     cells = totals.join(tagged, keys, "left")
     out = mentions.join(cells, keys, "left")
     per = lambda n: F.try_divide(F.col("n_mentions"), F.col(n))

@@ -44,8 +44,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- documents, tags and shares
 
 
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current postings' keys: the texts don't travel through the upsert's shuffle."""
+    return shares.current_postings(table(spark, sf_dir, "jobs").select("job_id", "row_id", "source", "native_id", "segment", "year", "month"))
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shares.drop_replays(shares.current_postings(table(spark, sf_dir, "jobs")))
+    return shares.drop_replays(postings(spark, sf_dir))
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,18 +259,18 @@ def counts_by_source(spark, sf_dir):
 
 @query(f"WITH {LAST} SELECT segment, year, count(*) AS n FROM last WHERE year IS NOT NULL GROUP BY 1, 2")
 def counts_by_group_year(spark, sf_dir):
-    return store.counts(shares.current_postings(table(spark, sf_dir, "jobs")).where("year is not null"), "segment", "year")
+    return store.counts(postings(spark, sf_dir).where("year is not null"), "segment", "year")
 
 
 @query(f"WITH {LAST} SELECT source, segment, year, count(*) AS n FROM last WHERE year IS NOT NULL AND (source = 'threadwork' OR starts_with(source, 'threadwork_') OR source = 'wayback' OR starts_with(source, 'wayback_')) GROUP BY 1, 2, 3")
 def history_counts(spark, sf_dir):
-    rows = shares.current_postings(table(spark, sf_dir, "jobs"))
+    rows = postings(spark, sf_dir)
     return store.counts(rows.where("year is not null").where(store.history_predicate(F.col("source"), HISTORY_SOURCES)), "source", "segment", "year")
 
 
 @query(f"WITH {LAST} SELECT segment, {DATED} AS dated, count(*) AS n FROM last GROUP BY 1, 2")
 def history_mask(spark, sf_dir):
-    rows = shares.current_postings(table(spark, sf_dir, "jobs"))
+    rows = postings(spark, sf_dir)
     return store.counts(rows.withColumn("dated", store.history_mask(F.col("source"), HISTORY_SOURCES)), "segment", "dated")
 
 
