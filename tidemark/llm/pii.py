@@ -114,13 +114,13 @@ def _spans(marks: list[int], before: int, after: int, length: int) -> list[tuple
     return out
 
 
-def candidates(text: str) -> list[tuple[str, int, int]]:
+def candidates(text: str, low: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all spans that could be personal information; spans may overlap.
 
     The costly patterns only run around marks that every span of their kind has: an at sign, four
     characters of a number, a word for a street or the like, a name or a cue for one.
     """
-    out, low = set(), lowered(text)
+    out = set()
     at_signs, people, places = marks(text, low)
     for lo, hi in _spans(at_signs, 90, 120, len(text)):
         out |= {("email", m.start(), m.end()) for m in EMAIL.finditer(text, lo, hi)}
@@ -152,8 +152,8 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
 
 
 #: Words, and pairs of words, beside which a person may be named.
-BESIDE = set("recruiter reference interviewer joindre kontakt contact regards cheers dr ms mr mrs attn phone telefon simu reachable rated starts applied lead thank strong took".split())
-BESIDE_PAIRS = "ask for|signed as|pregunte por|wasiliana na|go to|over from|cuidado de|call with|ansprechpartner ist|ansprechpartnerin ist|reporting line|badge request".split("|")
+BESIDE = set("recruiter reference interviewer joindre kontakt contact regards cheers dr ms mr mrs attn phone telefon simu reachable rated".split())
+BESIDE_PAIRS = "ask for|signed as|pregunte por|wasiliana na|go to|over from|cuidado de|call with|ansprechpartner ist|ansprechpartnerin ist|reporting line|badge request|starts on|strong on|thank you|took over|applied twice".split("|")
 REACH = 60
 
 
@@ -339,9 +339,9 @@ def training_texts(limit: int = TRAINING_SENTENCES, seed: int = 7) -> list[tuple
 
 
 def _rows(text: str) -> tuple[list[tuple[str, int, int]], list[list[float]]]:
-    cands = candidates(text)
-    beside = {a for k, a, _ in cands if k in ("email", "address")} | {a for k, a, b in cands if k == "phone" and b - a > 8}
     low = lowered(text)
+    cands = candidates(text, low)
+    beside = {a for k, a, _ in cands if k in ("email", "address")} | {a for k, a, b in cands if k == "phone" and b - a > 8}
     return cands, [features(text, low, k, a, b, beside - {a}) for k, a, b in cands]
 
 
