@@ -49,21 +49,17 @@ def could_be_garbled(word: str) -> bool:
     return bool(suspect().search(word))
 
 
-def _classes() -> list[tuple[str, str]]:
-    """For each encoding the characters of UTF-8's lead bytes and of its continuation bytes."""
-    return [("".join(byte_chars(c)[0xC2:0xF5]), "".join(byte_chars(c)[0x80:0xC0])) for c in CODECS]
-
-
 @lru_cache(None)
 def suspect() -> re.Pattern:
     """Two characters as a wrong reading of UTF-8 leaves them: for a lead byte as many continuation bytes as it needs."""
-    parts = []
+    cls = lambda chars: "[" + "".join(f"\\u{ord(x):04x}" for x in sorted(set(chars))) + "]"
+    parts, leads = [], set()
     for c in CODECS:
         at = byte_chars(c)
-        cls = lambda lo, hi, at=at: "[" + "".join(f"\\u{ord(x):04x}" for x in dict.fromkeys(at[lo:hi])) + "]"
-        cont = cls(0x80, 0xC0)
-        parts += [cls(0xC2, 0xE0) + cont, cls(0xE0, 0xF0) + cont + cont, cls(0xF0, 0xF5) + cont * 3]
-    return re.compile("|".join(parts))
+        cont = cls(at[0x80:0xC0])
+        parts += [cls(at[0xC2:0xE0]) + cont, cls(at[0xE0:0xF0]) + cont + cont, cls(at[0xF0:0xF5]) + cont * 3]
+        leads |= set(at[0xC2:0xF5])
+    return re.compile(f"(?={cls(leads)})(?:{'|'.join(parts)})")  # a glance at the first character settles most places
 
 
 def _words(texts: Column) -> Column:
@@ -137,8 +133,10 @@ def restore_encoding(rows: DataFrame, fields: list[str]) -> DataFrame:
     by_sign = odd.join(by_word, "word", "left_anti").mapInPandas(_by_sign(signs), "word string, original string")
     fixes = by_word.unionByName(by_sign)
 
-    held = checkpoint(long.where(F.col("text").rlike(suspect().pattern) | F.col("text").contains("�")).withColumn("key", F.monotonically_increasing_id()))
-    hits = held.select("key", F.explode(_words(F.col("text"))).alias("word")).join(fixes, "word")
+    # only the words beyond ASCII are looked at, a small part of the texts
+    odd_words = F.filter(_words(F.col("text")), lambda w: w.rlike(suspect().pattern) | w.contains("�"))
+    held = checkpoint(long.withColumn("odd", odd_words).where(F.size("odd") > 0).withColumn("key", F.monotonically_increasing_id()))
+    hits = held.select("key", F.explode("odd").alias("word")).join(fixes, "word")
     hits = hits.groupBy("key").agg(F.collect_list("word").alias("words"), F.collect_list("original").alias("originals"))
     lost = F.col("text").contains("�")
     whole = held.where(~lost).join(hits, "key").select("row_id", "field_name", F.pandas_udf(_substitute, "string")("text", "words", "originals").alias("restored"))
