@@ -292,3 +292,20 @@ def test_entry_without_llm():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 50
+
+
+def test_audit_dates_and_seeds(spark):
+    from tidemark.functions import instants
+    from tidemark.operators import audit
+
+    docs = spark.createDataFrame([(f"d{i}", "KE", "x" * 500) for i in range(9)] + [("s", "KE", "x"), ("g", "GLOBAL", "x" * 500), ("n", "KE", None)], "job_id string, segment string, description_html string")
+    a, b = (rows(audit.audit_sample(docs, "KE", 4, 1), "job_id") for _ in range(2))
+    assert a == b and len(a) == 4 and set(a) <= {(f"d{i}",) for i in range(9)}
+    assert audit.in_track(spark.createDataFrame([("Data Path",), (None,)], "track string"), "data").count() == 1
+    for raw, want in (("2026-01-02T03:04:05.678901Z", "2026-01-02 03:04:05.678901"), ("2026-03-01T00:30:00+03:00", "2026-02-28 21:30:00"), ("1757000000", "2025-09-04 15:33:20"), ("Sep 6, 2026", "2026-09-06 00:00:00"), ("1999-01-01", None), ("2031-01-01", None), ("0", None), ("", None), (None, None), ("garbage", None)):
+        got = value(spark, instants.parse_datetime(F.col("x")).cast("timestamp_ntz").cast("string"), x=raw)
+        assert got == want
+    assert value(spark, instants.year_month(instants.parse_datetime(F.col("x"))), x="2026-03-01T00:30:00+03:00") == "2026-02"
+    boards = spark.createDataFrame([("Acme", "KE", 1), ("acme", "GLOBAL", 0), (None, "KE", 0)], "slug string, segment string, batch int")
+    assert rows(adapters.seeds(boards)) == [("acme", "GLOBAL")]
+    assert value(spark, adapters.segment_of_url(F.col("u")), u="https://x/kenya/jobs/1") == "KE"

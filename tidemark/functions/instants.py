@@ -156,3 +156,19 @@ def to_utc(local_us: Column, zone: Column) -> Column:
     before the change.
     """
     return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(local_us), zone))
+
+
+def parse_datetime(raw: Column) -> Column:
+    """A timestamp of free-form text: without zone it is UTC; unreadable values and years outside 2015 to 2030 are null."""
+
+    def at(p: Column) -> Column:
+        us = p.local_us - F.coalesce(p.offset_min, F.lit(0)).cast("bigint") * 60_000_000
+        return F.when(in_range(us) & p.zone.isNull(), F.timestamp_micros(us))
+
+    return let(parse(raw, F.lit(True)), at)
+
+
+def year_month(at: Column) -> Column:
+    """`YYYY-MM` of an instant in UTC; in this form text order is time order."""
+    days = F.expr("date '1970-01-01'") + F.floor(F.unix_micros(at) / DAY_US).cast("int")
+    return F.date_format(days, "yyyy-MM")

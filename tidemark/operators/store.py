@@ -74,7 +74,12 @@ def history_predicate(source: Column, names: tuple[str, ...]) -> Column:
 
 def cache_lookup(cache: DataFrame, now: Column, ttl_seconds: float) -> DataFrame:
     """The newest entry of each url that isn't older than the time to live."""
-    return keep_last(cache.where(F.col("fetched_at") >= now - F.make_dt_interval(secs=F.lit(float(ttl_seconds)))), ["url"], ["fetched_at"])
+    return keep_last(cache_purge(cache, now, ttl_seconds), ["url"], ["fetched_at"])
+
+
+def cache_purge(cache: DataFrame, now: Column, ttl_seconds: float) -> DataFrame:
+    """The entries that are still alive; what falls away is the difference of the counts."""
+    return cache.where(F.col("fetched_at") >= now - F.make_dt_interval(secs=F.lit(float(ttl_seconds))))
 
 
 def cache_stats(cache: DataFrame) -> DataFrame:

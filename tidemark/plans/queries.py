@@ -8,8 +8,9 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import instants
 from tidemark.functions import text as T
-from tidemark.operators import briefs, diffusion, extraction, shares, store
+from tidemark.operators import audit, briefs, diffusion, extraction, shares, store
 from tidemark.operators.timestamps import normalise_timestamps, not_canonical
 from tidemark.runtime import shared_folder, table
 from tidemark.settings import HISTORY_SOURCES, DiffusionSettings
@@ -499,3 +500,34 @@ def new_boards(spark, sf_dir):
 @query("SELECT d.doc_id, c.segment FROM documents d LEFT JOIN companies c ON lower(d.board_slug) = lower(c.slug)")
 def board_segment(spark, sf_dir):
     return adapters.segment_of(table(spark, sf_dir, "documents").select("doc_id", F.col("board_slug").alias("slug")), table(spark, sf_dir, "companies")).select("doc_id", "segment")
+
+
+# ---------------------------------------------------------------- audits and dates
+
+
+@query(f"WITH {LAST} SELECT source, segment, year, count(*) AS n, count(*) >= 30 AS usable FROM last WHERE year IS NOT NULL AND (source = 'threadwork' OR starts_with(source, 'threadwork_') OR source = 'wayback' OR starts_with(source, 'wayback_')) GROUP BY 1, 2, 3")
+def trend_usability(spark, sf_dir):
+    return audit.trend_usability(postings(spark, sf_dir), HISTORY_SOURCES, SETTINGS.min_cell)
+
+
+@query("SELECT job_id, skill, track FROM job_skills WHERE regexp_matches(track, '(?i)data')")
+def track_filter(spark, sf_dir):
+    return audit.in_track(tags(spark, sf_dir), "data").select("job_id", "skill", "track")
+
+
+@query()
+def audit_sample(spark, sf_dir):
+    return audit.audit_sample(table(spark, sf_dir, "jobs"), "KE", 50, 7).select("job_id", "row_id", "title")
+
+
+@query("""SELECT row_id, at_utc, strftime(at_utc, '%Y-%m') AS month FROM (SELECT row_id, CASE WHEN regexp_matches(fetched_at, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z$') AND year(try_cast(replace(rtrim(fetched_at, 'Z'), 'T', ' ') AS TIMESTAMP)) BETWEEN 2015 AND 2030
+    THEN epoch_us(try_cast(replace(rtrim(fetched_at, 'Z'), 'T', ' ') AS TIMESTAMP)) END AS us, make_timestamp(us) AS at_utc FROM jobs WHERE fetched_at LIKE '____-__-__T__:__:__Z')""")
+def parse_datetime(spark, sf_dir):
+    at = instants.parse_datetime(F.col("fetched_at"))
+    rows = table(spark, sf_dir, "jobs").where("fetched_at like '____-__-__T__:__:__Z'").select("row_id", at.alias("at"))
+    return rows.select("row_id", F.col("at").cast("timestamp_ntz").alias("at_utc"), instants.year_month(F.col("at")).alias("month"))
+
+
+@query("SELECT any_value(slug) AS slug, any_value(segment) AS segment FROM companies GROUP BY lower(slug)")
+def board_seeds(spark, sf_dir):
+    return adapters.seeds(table(spark, sf_dir, "companies").withColumn("batch", F.lit(0)))

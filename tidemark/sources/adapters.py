@@ -255,3 +255,14 @@ def segment_of(rows: DataFrame, companies: DataFrame, slug: str = "slug") -> Dat
 def confirmed_boards(probes: DataFrame, known: DataFrame, min_open: int = 1) -> DataFrame:
     """Probed boards with open postings that aren't known yet, most postings first."""
     return probes.where(F.col("open_jobs") >= min_open).join(known.select("slug"), "slug", "left_anti").orderBy(F.desc("open_jobs"), "slug")
+
+
+def segment_of_url(url: Column, home: str = "kenya", segment: str = "KE", other: str = "REGION") -> Column:
+    """The segment of a board that covers several countries, from the country in its addresses."""
+    return F.when(F.lower(url).contains(f"/{home}/"), segment).otherwise(other)
+
+
+def seeds(candidates: DataFrame) -> DataFrame:
+    """(slug, segment): candidate boards once each, whatever their case; of several segments the first by `batch` wins."""
+    first = F.min_by(F.struct("slug", "segment"), F.struct("batch", "slug", "segment")).alias("r")
+    return candidates.where("slug is not null").groupBy(F.lower("slug").alias("k")).agg(first).select("r.*")
