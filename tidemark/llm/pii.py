@@ -190,7 +190,8 @@ def marks(text: str, low: str) -> tuple[list[int], list[int], list[int]]:
         elif kind == "pair":
             people.append(a)
         elif kind == "end":
-            places.append(a)
+            if low[end + 1 : end + 2] == " " and low[end + 2 : end + 3].isdigit():
+                places.append(a)
         elif kind == "dot":
             dotted = True
         elif not (a and low[a - 1].isalpha()) and not low[end + 1 : end + 2].isalpha():
