@@ -309,3 +309,18 @@ def test_audit_dates_and_seeds(spark):
     boards = spark.createDataFrame([("Acme", "KE", 1), ("acme", "GLOBAL", 0), (None, "KE", 0)], "slug string, segment string, batch int")
     assert rows(adapters.seeds(boards)) == [("acme", "GLOBAL")]
     assert value(spark, adapters.segment_of_url(F.col("u")), u="https://x/kenya/jobs/1") == "KE"
+
+
+# ------------------------------------------------------------- queries that read every row
+
+
+def test_every_value_of_the_time_columns_is_read(spark, tmp_path):
+    from tidemark.plans.queries import QUERIES
+
+    cells = [(1, "Sep 6, 2026", "20260407", "1757000000"), (2, None, "garbage", "2026-01-02T03:04:05Z")]
+    spark.createDataFrame(cells, "row_id bigint, date_posted string, valid_through string, fetched_at string").write.parquet(str(tmp_path / "jobs.parquet"))
+    got = rows(QUERIES["parse_datetime_columns"](spark, str(tmp_path)).select("row_id", "field_name", F.col("at_utc").cast("string"), "month"))
+    assert got == [
+        (1, "date_posted", "2026-09-06 00:00:00", "2026-09"), (1, "fetched_at", "2025-09-04 15:33:20", "2025-09"), (1, "valid_through", "2026-04-07 00:00:00", "2026-04"),
+        (2, "fetched_at", "2026-01-02 03:04:05", "2026-01"), (2, "valid_through", None, None),
+    ]

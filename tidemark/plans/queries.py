@@ -528,6 +528,16 @@ def parse_datetime(spark, sf_dir):
     return rows.select("row_id", F.col("at").cast("timestamp_ntz").alias("at_utc"), instants.year_month(F.col("at")).alias("month"))
 
 
+@query()
+def parse_datetime_columns(spark, sf_dir):
+    """Every value of the three time columns, whatever its shape; SQL can't read free-form text."""
+    fields = ("date_posted", "valid_through", "fetched_at")
+    values = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("raw")) for f in fields])).alias("v")
+    rows = table(spark, sf_dir, "jobs").select("row_id", values).select("row_id", "v.*").where("raw is not null")
+    rows = rows.select("row_id", "field_name", instants.parse_datetime(F.col("raw")).alias("at"))
+    return rows.select("row_id", "field_name", F.col("at").cast("timestamp_ntz").alias("at_utc"), instants.year_month(F.col("at")).alias("month"))
+
+
 @query("SELECT any_value(slug) AS slug, any_value(segment) AS segment FROM companies GROUP BY lower(slug)")
 def board_seeds(spark, sf_dir):
     return adapters.seeds(table(spark, sf_dir, "companies").withColumn("batch", F.lit(0)))
