@@ -324,3 +324,17 @@ def test_every_value_of_the_time_columns_is_read(spark, tmp_path):
         (1, "date_posted", "2026-09-06 00:00:00", "2026-09"), (1, "fetched_at", "2025-09-04 15:33:20", "2025-09"), (1, "valid_through", "2026-04-07 00:00:00", "2026-04"),
         (2, "fetched_at", "2026-01-02 03:04:05", "2026-01"), (2, "valid_through", None, None),
     ]
+
+
+def test_all_remote_boards_come_out(spark, tmp_path):
+    from tidemark.plans.queries import QUERIES
+
+    schema = "row_id bigint, source string, segment string, native_id string, url string, title string, description_html string, company string, location string, is_remote boolean, date_posted string, valid_through string, employment_type string, salary_min double, salary_max double, salary_currency string, industry string"
+    cell = lambda i, source, **kw: {"row_id": i, "source": source, "segment": "GLOBAL", "native_id": f" n{i} ", "title": "t", "location": "KE, UG", "is_remote": False, "valid_through": "v", "employment_type": "full", "industry": "it", "salary_min": 0.0, "salary_max": 9.5, "salary_currency": "KES"} | kw
+    cells = [cell(1, "farposts"), cell(2, "isleroles"), cell(3, "isleroles", is_remote=None), cell(4, "reefjobs"), cell(5, "reefjobs", industry="Sea"), cell(6, "lagoonwork", location=" "), cell(7, "stackhire"), cell(8, "isleroles", employment_type=None)]
+    spark.createDataFrame(cells, schema).write.parquet(str(tmp_path / "jobs.parquet"))
+    got = rows(QUERIES["adapter_remote_boards"](spark, str(tmp_path)), "native_id", "source", "location", "is_remote", "description_html", "valid_through", "employment_type", "industry", "salary_min", "salary_max")
+    assert got == [
+        ("n1", "farposts", "KE, UG", True, "", None, "full", "it", None, None), ("n2", "isleroles", "KE, UG", False, "", None, "full", None, None, None), ("n3", "isleroles", "KE, UG", None, "", None, "full", None, None, None),
+        ("n4", "reefjobs", "KE, UG", True, "", None, "full", "it", None, 9.5), ("n5", "reefjobs", "KE, UG", True, "", None, "full", "Sea", None, 9.5), ("n6", "lagoonwork", None, True, "", "v", "full", None, None, 9.5), ("n8", "isleroles", "KE, UG", False, "", None, None, None, None, None),
+    ]

@@ -93,7 +93,7 @@ def url_last_segment(url: Column) -> Column:
 
 def first_of(value: Column) -> Column:
     """The first entry of a JSON text that is a list or a scalar."""
-    entry = F.get_json_object(value, "$[0]")
+    entry = F.get(F.from_json(value, "array<string>"), F.lit(0))
     return F.when(value.startswith("["), entry).otherwise(value)
 
 

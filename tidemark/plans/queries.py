@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -428,11 +429,11 @@ def precision_gate(spark, sf_dir):
 # ---------------------------------------------------------------- sources
 
 
-def payloads(rows: DataFrame, body, board: str) -> DataFrame:
-    """Postings as the payloads their board would send: pages of about 50 rows."""
+def payloads(rows: DataFrame, body, board: str, key: str = "jobs") -> DataFrame:
+    """Postings as the payloads their board would send: pages of about 50 rows, listed under `key`."""
     page = F.floor(F.col("row_id") / 50).alias("page")
-    listed = rows.groupBy(page).agg(F.collect_list(body).alias("jobs"), F.min("segment").alias("segment"))
-    return listed.select(F.concat(F.lit("https://x.example/boards/"), F.lit(board)).alias("url"), F.lit(board).alias("source"), "segment", F.to_json(F.struct("jobs")).alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"))
+    listed = rows.groupBy(page).agg(F.collect_list(body).alias(key), F.min("segment").alias("segment"))
+    return listed.select(F.concat(F.lit("https://x.example/boards/"), F.lit(board)).alias("url"), F.lit(board).alias("source"), "segment", F.to_json(F.struct(key)).alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"))
 
 
 ADAPTED = "SELECT source, native_id, title, coalesce(description_html, '') AS description_html, {company} AS company, location, is_remote, date_posted FROM jobs WHERE source = '{source}' AND native_id <> '' AND trim(title) <> ''"
@@ -453,6 +454,27 @@ def adapter_remote_board(spark, sf_dir):
     return adapters.REGISTRY["farposts"][1](payloads(rows, body, "farposts")).select(*COLUMNS)
 
 
+def remote_fields(name: str):
+    """A posting as the remote board `name` would list it: its own field names, a list or by turns a scalar where it may send either."""
+
+    def sent(c: str, f: str):
+        if f.endswith("*"):
+            return F.when(F.col("row_id") % 2 == 0, F.to_variant_object(F.array(c, F.lit("other")))).otherwise(F.col(c).cast("variant"))
+        return F.split(c, ", ") if f.endswith("+") else F.col(c)
+
+    return F.struct(*[sent(c, f).alias(f.rstrip("*+")) for c, f in adapters.REMOTE_BOARDS[name][1].items()])
+
+
+@query("""SELECT source, trim(native_id) AS native_id, trim(title) AS title, coalesce(description_html, '') AS description_html, company, CASE WHEN source = 'lagoonwork' THEN nullif(trim(location), '') ELSE location END AS location,
+    CASE WHEN source = 'isleroles' THEN is_remote ELSE true END AS is_remote, date_posted, CASE WHEN source = 'lagoonwork' THEN valid_through END AS valid_through, employment_type, CASE WHEN source IN ('farposts', 'reefjobs') THEN industry END AS industry,
+    CASE WHEN source IN ('reefjobs', 'lagoonwork') AND salary_min <> 0 THEN salary_min END AS salary_min, CASE WHEN source IN ('reefjobs', 'lagoonwork') AND salary_max <> 0 THEN salary_max END AS salary_max, CASE WHEN source IN ('reefjobs', 'lagoonwork') THEN salary_currency END AS salary_currency
+    FROM jobs WHERE source IN ('farposts', 'isleroles', 'reefjobs', 'lagoonwork') AND trim(native_id) <> '' AND trim(title) <> ''""")
+def adapter_remote_boards(spark, sf_dir):
+    jobs = table(spark, sf_dir, "jobs")
+    boards = [adapters.REGISTRY[n][1](payloads(jobs.where(F.col("source") == n), remote_fields(n), n, adapters.REMOTE_BOARDS[n][0])) for n in adapters.REMOTE_BOARDS]
+    return reduce(DataFrame.unionByName, boards).select(*COLUMNS, "valid_through", "employment_type", "industry", "salary_min", "salary_max", "salary_currency")
+
+
 @query()
 def adapter_board_a(spark, sf_dir):
     rows = table(spark, sf_dir, "jobs").where("source = 'leafboard'")

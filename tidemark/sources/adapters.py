@@ -164,7 +164,7 @@ def remote_board(name: str) -> Callable[[DataFrame], DataFrame]:
                 raw = T.first_of(raw)
             elif field.endswith("+"):
                 raw = nonempty(F.array_join(F.from_json(raw, "array<string>"), ", "))
-            columns[column] = T.as_amount(raw) if column.startswith("salary_m") else raw.cast("boolean") if column == "is_remote" else F.trim(raw) if column in ("title", "native_id") else raw
+            columns[column] = T.as_amount(raw) if column.startswith("salary_m") else raw.cast("boolean") if column == "is_remote" else F.trim(raw) if column in ("title", "native_id") else F.coalesce(raw, F.lit("")) if column == "description_html" else raw
         return posting(rows, **({"is_remote": F.lit(True)} | columns))
 
     return run
