@@ -269,6 +269,26 @@ def test_labels_spread_through_components(spark):
     assert residue.find_residue(spark.createDataFrame([], "row_id bigint, description_html string")).count() == 0
 
 
+def test_labels_reach_every_similar_unit_like_brute_force(spark):
+    r = random.Random(7)
+    units = {}
+    for size in (6, 9, 12, 20, 30, 50, 80):
+        for k in range(12):
+            seed = [f"s{size}k{k}w{r.randrange(40)}" for _ in range(size)]
+            units[" ".join(seed)] = "filler"
+            for i in (0, size // 2, size - 1):
+                for other in (seed + ["more"], seed[:i] + ["else"] + seed[i + 1 :], seed[:i] + seed[i + 1 :]):
+                    units.setdefault(" ".join(other), None)
+    grams = {u: set(simhash.shingles(u.split())) for u in units}
+    want = {u for u, kind in units.items() if kind}
+    new = set(want)
+    while new:
+        new = {u for u in units if u not in want and any(len(grams[u] & grams[v]) >= 0.8 * len(grams[u] | grams[v]) for v in new)}
+        want |= new
+    df = spark.createDataFrame([("paragraph", u, kind, simhash.simhash(u.split()), simhash.shingles(u.split())) for u, kind in units.items()], "scope string, unit string, kind string, fp bigint, grams array<string>")
+    assert len(want) > 200 and {u.unit for u in residue.propagate(df).collect()} == want
+
+
 # ------------------------------------------------------------- p8 packing
 
 
