@@ -338,3 +338,24 @@ def test_all_remote_boards_come_out(spark, tmp_path):
         ("n1", "farposts", "KE, UG", True, "", None, "full", "it", None, None), ("n2", "isleroles", "KE, UG", False, "", None, "full", None, None, None), ("n3", "isleroles", "KE, UG", None, "", None, "full", None, None, None),
         ("n4", "reefjobs", "KE, UG", True, "", None, "full", "it", None, 9.5), ("n5", "reefjobs", "KE, UG", True, "", None, "full", "Sea", None, 9.5), ("n6", "lagoonwork", None, True, "", "v", "full", None, None, 9.5), ("n8", "isleroles", "KE, UG", False, "", None, None, None, None, None),
     ]
+
+
+def test_pages_of_all_rows_are_read(spark, tmp_path):
+    from tidemark.plans.queries import QUERIES
+
+    schema = "row_id bigint, source string, segment string, native_id string, url string, title string, description_html string, company string, location string, country string, is_remote boolean, date_posted string, valid_through string, employment_type string, salary_min double, salary_max double, salary_currency string, industry string"
+    cell = lambda i, **kw: {"row_id": i, "source": "mtaaroles", "segment": "KE", "url": f"https://m.example/view/{i}?a=1", "title": " t ", "description_html": "a<script>x</script>b", "company": "Acme", "location": "Nairobi", "employment_type": "full"} | kw
+    cells = [cell(1), cell(2), cell(3, company=None, location=None, country="KE", title="Dev, fully remote", employment_type=None), cell(4, company=None, location=None, is_remote=True, salary_min=0.0, salary_max=5.5, salary_currency="KES"), cell(5, title=None, source="leafboard", date_posted=" d", valid_through="v", industry="it")]
+    spark.createDataFrame(cells, schema).write.parquet(str(tmp_path / "jobs.parquet"))
+    text = "a<script>x</script>b"
+    assert rows(QUERIES["jsonld_pages"](spark, str(tmp_path)), "row_id", "title", "description", "company", "location", "applicant_location", "is_remote", "date_posted", "valid_through", "employment_type", "salary_min", "salary_max", "salary_currency", "industry") == [
+        (1, "t", text, "Acme", "Nairobi", None, False, None, None, "full", None, None, None, None), (2, "t", text, "Acme", "Nairobi", None, False, None, None, "full", None, None, None, None),
+        (3, "Dev, fully remote", text, None, None, "KE", None, None, None, None, None, None, None, None), (4, "t", text, None, None, None, True, None, None, "full", None, 5.5, "KES", None), (5, None, text, "Acme", "Nairobi", None, False, "d", "v", "full", None, None, None, "it"),
+    ]
+    got = rows(QUERIES["html_boards"](spark, str(tmp_path)), "native_id", "title", "location", "is_remote", "salary_max")
+    assert got == [("1", "t", "Nairobi", False, None), ("2", "t", "Nairobi", False, None), ("3", "Dev, fully remote", "KE", True, None), ("4", "t", None, True, 5.5)]
+
+
+def test_item_list_links(spark):
+    page = spark.createDataFrame([("u", '<script type="application/ld+json">{"@type": "ItemList", "itemListElement": [{"url": "/jobs/b"}, {"url": "/jobs/a"}, {"url": "/jobs/b"}]}</script><script type="application/ld+json">{"url": "/x"}</script>')], "url string, body string")
+    assert rows(adapters.item_list_links(page), "link") == [("/jobs/a",), ("/jobs/b",)]

@@ -500,6 +500,39 @@ def jsonld_postings(spark, sf_dir):
     return jsonld.parse_pages(rows.select("row_id", page.alias("html"))).select("row_id", "found", "title", "company", "location")
 
 
+def pages(rows: DataFrame) -> DataFrame:
+    """`rows` with the page `html` of each posting: a graph with references or, by turns, one nested object after a block that can't be read."""
+    org = lambda *more: F.struct(*more, F.lit("Organization").alias("@type"), F.col("company").alias("name"))
+    pay = F.struct(F.col("salary_currency").alias("currency"), F.struct(F.col("salary_min").alias("minValue"), F.col("salary_max").alias("maxValue")).alias("value"))
+    job = lambda company, kind: F.struct(
+        F.lit("JobPosting").alias("@type"), "title", F.col("description_html").alias("description"), company.alias("hiringOrganization"), F.when(F.col("location").isNotNull(), F.struct(F.col("location").alias("address"))).alias("jobLocation"),
+        F.when(F.col("country").isNotNull(), F.struct(F.col("country").alias("name"))).alias("applicantLocationRequirements"), F.when(F.col("is_remote"), "TELECOMMUTE").alias("jobLocationType"), F.col("date_posted").alias("datePosted"), F.col("valid_through").alias("validThrough"),
+        kind.alias("employmentType"), pay.alias("baseSalary"), "industry",
+    )
+    graph = F.to_json(F.struct(F.struct(org(F.lit("#org").alias("@id")).alias("org"), job(F.struct(F.lit("#org").alias("@id")), F.col("employment_type")).alias("job")).alias("@graph")))
+    nested = F.to_json(job(org(), F.array("employment_type", F.lit("OTHER"))))
+    block = lambda c: F.concat(F.lit('<script type="application/ld+json">'), c, F.lit("</script>"))
+    body = F.when(F.col("row_id") % 2 == 0, block(F.replace(graph, F.lit("</"), F.lit("<\\/")))).otherwise(F.concat(block(F.lit('{"broken": ')), block(F.replace(nested, F.lit("</"), F.lit("<\\/")))))
+    return rows.withColumn("html", F.concat(F.lit("<html>"), body, F.lit("</html>")))
+
+
+STRIPPED = r"nullif(regexp_replace({0}, '^[\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}]+|[\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}]+$', '', 'g'), '') AS {1}"
+PAGE_FIELDS = {"title": "title", "description_html": "description", "company": "company", "location": "location", "country": "applicant_location", "date_posted": "date_posted", "valid_through": "valid_through", "employment_type": "employment_type", "salary_currency": "salary_currency", "industry": "industry"}
+
+
+@query(f"SELECT row_id, true AS found, {', '.join(STRIPPED.format(c, f) for c, f in PAGE_FIELDS.items())}, CASE WHEN is_remote THEN true WHEN location IS NOT NULL THEN false END AS is_remote, nullif(salary_min, 0) AS salary_min, nullif(salary_max, 0) AS salary_max FROM jobs")
+def jsonld_pages(spark, sf_dir):
+    return jsonld.parse_pages(pages(table(spark, sf_dir, "jobs")).select("row_id", "html")).select("row_id", "found", *PAGE_FIELDS.values(), "is_remote", "salary_min", "salary_max")
+
+
+@query()
+def html_boards(spark, sf_dir):
+    """The detail pages of all boards that `html_board` reads."""
+    boards = [n for n in adapters.names() if adapters.REGISTRY[n][1] is adapters.html_board]
+    shown = pages(table(spark, sf_dir, "jobs").where(F.col("source").isin(boards)).withColumn("fetched_at", F.lit(None).cast("timestamp")))
+    return adapters.html_board(shown.withColumnRenamed("html", "body")).select("url", *COLUMNS, "valid_through", "employment_type", "industry", "salary_min", "salary_max", "salary_currency")
+
+
 @query("SELECT source, segment, count(*) AS n FROM jobs GROUP BY source, segment")
 def stream_counts(spark, sf_dir):
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
