@@ -386,6 +386,24 @@ def test_pii_spans(text, want):
     assert pii.redact("ab@c.de x", [("email", 0, 7)]) == "[EMAIL] x"
 
 
+@pytest.mark.parametrize(
+    ("kind", "spans"),
+    [
+        ("phone", [f"+254 7{i}2 345 67{i}" for i in range(6)]), ("address", ["Hauptstr. 12, 44135 Dortmund"]), ("address", ["12 place de Vosges, 75004 Paris"]),
+        *(("person", [cue, "Xolq Vrampt"]) for cue in ("by", "manager", "name:", "c/o", "attn:", "took over from")),
+    ],
+)
+def test_pii_marks_cover_the_patterns(kind, spans):
+    text = "x " * 70 + (" " if kind == "person" else " / ").join(spans) + " zz " * 40
+    found = {(k, text[a:b]) for k, a, b in pii.candidates(text, pii.lowered(text))}
+    assert {(kind, s) for s in (spans[1:] if kind == "person" else spans)} <= found
+
+
+def test_pii_cues_are_whole_words():
+    text = "Move surveys from Gricigind to Ruby without waking anybody at night."
+    assert not [c for c in pii.candidates(text, pii.lowered(text)) if c[0] == "person"]
+
+
 def test_pii_edges(spark):
     docs = spark.createDataFrame([(1, None, "k"), (2, "", "k"), (None, "Write to a.b@c.example", "k"), (3, "😀 Write to a.b@c.example. " + "filler words " * 40_000, "k"), (3, "😀 Write to a.b@c.example. " + "filler words " * 40_000, "k")], "doc_id bigint, text string, kind string")
     assert rows(pii.find_personal(docs)) == [(3, "email", 11, 24)]

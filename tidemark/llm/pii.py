@@ -76,7 +76,7 @@ PERSONS = [re.compile(rf"(?<![\w@.+'’-])(?=({p})(?![\w@'’-]))") for p in (
 )]
 # Words beside spans of each kind, and beside what only looks like one.
 CUES = {
-    "person_left": r"(?:recruiter|reference:|ansprechpartner(?:in)? ist|wasiliana na|pregunte por|ask for|signed as|joindre|questions go to|reporting line:|took over from|badge request:|interviewer|call with dr\.|call with|dear (?:ms|mr|mrs|dr)\.|dr\.|mr\.|ms\.|mrs\.|kontakt:|contact:|ao cuidado de|regards,\n|regards,|—|cheers,\n|name:|c/o|attn:?|manager|by) ?$",
+    "person_left": r"(?:recruiter|reference:|ansprechpartner(?:in)? ist|wasiliana na|pregunte por|ask for|signed as|joindre|questions go to|reporting line:|took over from|badge request:|interviewer|call with dr\.|call with|dear (?:ms|mr|mrs|dr)\.|dr\.|mr\.|ms\.|mrs\.|kontakt:|contact:|ao cuidado de|regards,\n|regards,|—|cheers,\n|name:|c/o|attn:?|\bmanager|\bby) ?$",
     "person_right": r"^ ?(?:,? who took over|is also reachable|, phone|, telefon|kwa simu|rated the|\((?:ni |nif|pass|national|id|tax|kitam|ssn|social|pin|perso)|starts on|: strong on|, thank you|, applied twice|, \w+ lead\b|in may\b| : |\(\S+ ?(?:@|\(at\)|\[at\]|at )|, (?:passport|nif|ni number|national id|id no|tax pin|pin|kitambulisho|ssn|social security|personalausweis)|\n|$)",
     "person_not": r"^ ?(?:street|st\.|road|lane|close|avenue|drive|brothers|group|ltd|inc|gmbh|station|team|engineer|carlo|\| )|^-\d",
     "place_left": r"(?:\bin|\bnear|\bsaint|\bto|\bat|\bof|\bthe|\blaunch of|\bmention|\bproject|\boff|\bfrom the|\bbetween|\btried|\d) ?$",
@@ -99,14 +99,14 @@ PLACES = set("box plot house hse flat apartment apt unit suite block street st r
     "rue boulevard place chemin impasse allée quai route calle avenida avda av paseo plaza carrera c rua travessa praça largo estrada".split()
 )
 FRENCH = {"rue", "avenue", "boulevard", "chemin", "impasse", "allée", "quai", "route"}
-GERMAN_STREET = ("straße", "strasse", "weg", "gasse", "platz", "allee", "ring", "damm", "ufer")
+GERMAN_STREET = ("straße", "strasse", "weg", "gasse", "platz", "allee", "ring", "damm", "ufer", "str.")
 
 
-def _spans(marks: list[int], before: int, after: int, length: int) -> list[tuple[int, int]]:
-    """The marks' surroundings, merged where they meet."""
+def _spans(marks: list, before: int, after: int, length: int) -> list[tuple[int, int]]:
+    """The surroundings of marks, which are places or (start, end), merged where they meet."""
     out: list[tuple[int, int]] = []
-    for m in sorted(marks):
-        lo, hi = max(0, m - before), min(length, m + after)
+    for a, b in sorted(m if isinstance(m, tuple) else (m, m) for m in marks):
+        lo, hi = max(0, a - before), min(length, b + after)
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(hi, out[-1][1]))
         else:
@@ -121,11 +121,11 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int]]:
     characters of a number, a word for a street or the like, a name or a cue for one.
     """
     out = set()
-    at_signs, people, places = marks(text, low)
+    at_signs, people, places, cued = marks(text, low)
     for lo, hi in _spans(at_signs, 90, 120, len(text)):
         out |= {("email", m.start(), m.end()) for m in EMAIL.finditer(text, lo, hi)}
     runs = [m.span() for m in DIGITS.finditer(text) if sum(map(str.isdigit, m.group())) >= 6]
-    for lo, hi in _spans([x for a, b in runs for x in (a, b)], 12, 45, len(text)):
+    for lo, hi in _spans(runs, 12, 45, len(text)):
         for p in PHONE_FORMS:
             for m in p.finditer(text, lo, hi):
                 a = m.start()
@@ -135,25 +135,30 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int]]:
     if places:
         for lo, hi in _spans(places, 90, 110, len(text)):
             out |= {("address", m.start(), m.end()) for p in ADDRESSES for m in p.finditer(text, lo, hi)}
+    named = []
     for lo, hi in _spans(people + [a for _, a, _ in out], REACH, REACH, len(text)):
         lo = text.rfind(" ", 0, lo) + 1
         for p in PERSONS:
             for m in p.finditer(text, lo, hi + 40):
-                a, b = m.span(1)
-                if a >= hi:
+                if m.start() >= hi:
                     break
-                words = text[a:b].split()
-                bare = [w.strip(".,").lower() for w in words]
-                if any(w in STOP and len(w) > 1 for w in bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
-                    continue
-                if any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for w in bare for q in w.split("-")) or CUE["person_left"].search(low[max(0, a - 30) : a]):
-                    out.add(("person", a, b))
+                named.append(m.span(1))
+    named += [m.span(1) for at in cued for p in PERSONS if (m := p.match(text, at))]
+    for a, b in named:
+        words = text[a:b].split()
+        bare = [w.strip(".,").lower() for w in words]
+        if any(w in STOP and len(w) > 1 for w in bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
+            continue
+        if any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for w in bare for q in w.split("-")) or CUE["person_left"].search(low[max(0, a - 30) : a]):
+            out.add(("person", a, b))
     return sorted(out, key=lambda c: (c[1], c[2], c[0]))
 
 
 #: Words, and pairs of words, beside which a person may be named.
 BESIDE = set("recruiter reference interviewer joindre kontakt contact regards cheers dr ms mr mrs attn phone telefon simu reachable rated".split())
 BESIDE_PAIRS = "ask for|signed as|pregunte por|wasiliana na|go to|over from|cuidado de|call with|ansprechpartner ist|ansprechpartnerin ist|reporting line|badge request|starts on|strong on|thank you|took over|applied twice".split("|")
+#: Cues that stand in many texts; a name is only looked for where it would start, just behind them.
+BESIDE_ENDS = ("name:", "c/o", "manager", "by")
 REACH = 60
 
 
@@ -169,20 +174,21 @@ def _finder():
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    for kind, words in (("at", AT_MARKS), ("end", GERMAN_STREET), ("place", PLACES), ("person", GIVEN | BESIDE), ("pair", BESIDE_PAIRS), ("pair", ("—",)), ("dot", (" dot ", " point "))):
+    for kind, words in (("at", AT_MARKS), ("end", GERMAN_STREET), ("place", PLACES), ("person", GIVEN | BESIDE), ("pair", BESIDE_PAIRS), ("pair", ("—",)), ("cue", BESIDE_ENDS), ("dot", (" dot ", " point "))):
         for w in words:
-            if len(w) > 2 or kind in ("at", "pair"):
+            if len(w) > 2 or kind in ("at", "pair", "cue"):
                 a.add_word(w, (kind, len(w), w))
     a.make_automaton()
     return a
 
 
+HOUSE = re.compile(r"\d(?: ?(?:bis|ter))?,? $")
 SHORT_MARK = re.compile(r"(?<![^\W_])(?:(St|Rd|Ln|Dr|Ct|Av|C/)|(?:[DdMm][Rr]|[Mm][Ss])\b)")
 
 
-def marks(text: str, low: str) -> tuple[list[int], list[int], list[int]]:
-    """Where at signs, names or cues for them, and words of addresses stand (these with a capital, but for French ones)."""
-    at_signs, people, places, dotted = [], [], [], False
+def marks(text: str, low: str) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Where at signs, names or cues for them, and words of addresses stand (these with a capital, but for French ones), and where a name would start after one of BESIDE_ENDS."""
+    at_signs, people, places, cued, dotted = [], [], [], [], False
     for end, (kind, n, w) in _finder().iter(low):
         a = end - n + 1
         if kind == "at":
@@ -192,18 +198,21 @@ def marks(text: str, low: str) -> tuple[list[int], list[int], list[int]]:
         elif kind == "end":
             if low[end + 1 : end + 2] == " " and low[end + 2 : end + 3].isdigit():
                 places.append(a)
+        elif kind == "cue":
+            if not (a and low[a - 1].isalpha()):
+                cued.append(end + 1 + (low[end + 1 : end + 2] == " "))
         elif kind == "dot":
             dotted = True
         elif not (a and low[a - 1].isalpha()) and not low[end + 1 : end + 2].isalpha():
             if kind == "person":
                 people.append(a)
-            elif text[a].isupper() or w in FRENCH:
+            elif text[a].isupper() or w in FRENCH or w == "place" and HOUSE.search(text, max(0, a - 9), a):
                 places.append(a)
     for m in SHORT_MARK.finditer(text):
         (places if m.group(1) else people).append(m.start())
     if dotted:
         at_signs += [m.start() for m in AT_WORD.finditer(low)]
-    return at_signs, people, places
+    return at_signs, people, places, cued
 
 
 def _person_words(span: str) -> list[str]:
