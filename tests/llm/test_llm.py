@@ -199,6 +199,15 @@ def test_repeated_postings_and_incremental_index(spark, tmp_path):
     assert batches.repeated_postings(jobs.limit(0), config, str(tmp_path / "e")).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [1.0, 0.8])
+def test_equal_keys_meet_across_batches_however_they_are_cut(spark, tmp_path, threshold):
+    ids = ["KX-12-AB34", "kx12ab34", "KX12-ab34", "kx-12-ab35"]
+    jobs = spark.createDataFrame([(i, i, "s", x) for i, x in enumerate(ids)], "row_id bigint, batch_no int, source string, native_id string")
+    config = spark.createDataFrame([], "source string, board string")
+    got = rows(batches.repeated_postings(jobs, config, str(tmp_path), threshold=threshold))
+    assert got == [(0, 1), (0, 2)]
+
+
 def test_near_duplicates_like_brute_force(spark, tmp_path):
     rng = random.Random(3)
     sets = [frozenset(rng.sample("abcdefghij", rng.choice((4, 5, 6)))) for _ in range(60)]
