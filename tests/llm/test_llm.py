@@ -338,6 +338,14 @@ def test_pack(spark):
 # ------------------------------------------------------------- p9 leaks
 
 
+def test_shingle_similarity_counts_repeats(spark):
+    a, b = "a a a a a a a b", "a a a a a b"
+    x, y = (Counter(" ".join(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for t in (a, b))
+    want = sum((x & y).values()) / sum((x | y).values())
+    df = spark.createDataFrame([(a, b), (a, a), ("p q", "r s")], "a string, b string")
+    assert [r.s for r in df.select(leaks.shingle_similarity(F.col("a"), F.col("b")).alias("s")).collect()] == [want, 1.0, 0.0] and want == 0.5
+
+
 def test_leaks_like_brute_force(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
