@@ -63,3 +63,43 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return df.repartition(parts, *keys) if keys else df.repartition(parts)
+
+
+class SharedFiles:
+    """Small files in a folder that driver and executors share, over whatever file system its address names."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.jvm, self.conf, self.folder = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), folder.rstrip("/")
+        self.fs = self._path("").getFileSystem(self.conf)
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+
+    def names(self, folder: str = "") -> list[str]:
+        """What lies in a folder, in order; nothing where there is none."""
+        at = self._path(folder)
+        return sorted(f.getPath().getName() for f in self.fs.listStatus(at)) if self.fs.exists(at) else []
+
+    def write(self, name: str, text: str) -> None:
+        """The file appears whole or not at all."""
+        draft, at = self._path(f"{name}.draft"), self._path(name)
+        out = self.fs.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        self.fs.delete(at, False)
+        if not self.fs.rename(draft, at):
+            raise OSError(f"{at} could not be written")
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self._path(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._path(name), True)
+
+    def bytes_in(self, name: str) -> int:
+        at = self._path(name)
+        return self.fs.getContentSummary(at).getLength() if self.fs.exists(at) else 0
