@@ -213,14 +213,87 @@ def test_near_duplicates_like_brute_force(spark, tmp_path):
     sets = [frozenset(rng.sample("abcdefghij", rng.choice((4, 5, 6)))) for _ in range(60)]
     df = spark.createDataFrame([(i, f"k{i}", sorted(s)) for i, s in enumerate(sets)], "row_id bigint, key string, tokens array<string>")
     index = batches.BatchIndex(spark, str(tmp_path / "n"), threshold=0.8)
-    for b in range(3):
+    for b in (0, 1, 0, 2, 1):  # batches that come again change nothing
         index.add_batch(df.where(F.col("row_id").between(20 * b, 20 * b + 19)), b)
-        index.add_batch(df.where(F.col("row_id").between(20 * b, 20 * b + 19)), b) if b == 0 and False else None
     got = {r.key: r.first_row_id for r in index.verdicts().collect()}
     like = lambda a, b: len(a & b) / len(a | b) >= 0.8
+    assert len(got) == 60
     for i, s in enumerate(sets):
-        near = [j for j in range(i) if like(s, sets[j])]
-        assert (got[f"k{i}"] < i) == bool(near)
+        assert got[f"k{i}"] == min(j for j in range(i + 1) if like(s, sets[j]))
+
+
+BATCHES = [[(1, "a"), (2, "b"), (3, "a")], [(4, "b"), (5, "c")], [(6, "a"), (7, "c"), (8, "d")], [(9, "d"), (10, "e")], [(11, "e"), (12, "a")]]
+
+
+def add(spark, index, *numbers):
+    for n in numbers:
+        index.add_batch(spark.createDataFrame([(i, k, [k]) for i, k in BATCHES[n]], "row_id bigint, key string, tokens array<string>"), n)
+
+
+def first_rows(index):
+    return {(r.batch, r.key): r.first_row_id for r in index.verdicts().collect()}
+
+
+def expected(numbers):
+    return {(n, k): min(i for m in range(n + 1) for i, x in BATCHES[m] if x == k) for n in numbers for _, k in BATCHES[n]}
+
+
+def test_a_batch_added_again_replaces_itself(spark, tmp_path):
+    index = batches.BatchIndex(spark, str(tmp_path))
+    add(spark, index, 0, 0, 1, 0, 2, 1)
+    assert first_rows(index) == expected(range(3)) and index.batches == [0, 1, 2]
+    assert {k for (b, k) in first_rows(index)} == set("abcd")
+
+
+def test_an_index_goes_on_when_it_is_opened_again(spark, tmp_path):
+    add(spark, batches.BatchIndex(spark, str(tmp_path)), 0, 1)
+    for t in spark.catalog.listTables():
+        if t.name.startswith("tidemark_"):
+            spark.sql(f"DROP TABLE {t.name}")  # as in a new session
+    (tmp_path / "postings-0" / "run=77").mkdir()  # what a failed attempt left
+    again = batches.BatchIndex(spark, str(tmp_path))
+    assert again.batches == [0, 1]
+    add(spark, again, 2, 3)
+    assert first_rows(again) == expected(range(4))
+    with pytest.raises(ValueError):
+        batches.BatchIndex(spark, str(tmp_path), threshold=0.8)
+
+
+def test_runs_are_merged_and_buckets_grow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "FAN", 2)
+    index = batches.BatchIndex(spark, str(tmp_path), bucket_bytes=1500)
+    start = index.state["buckets"]
+    add(spark, index, 0, 1, 2)
+    add(spark, index, 1, 3, 4)  # batch 1 lies in a merged run by then
+    assert first_rows(index) == expected(range(5))
+    assert index.state["buckets"] > start and len(index.state["runs"]) <= 3
+    assert len([n for n in index.files.names() if n.startswith("postings-")]) == 1
+    again = batches.BatchIndex(spark, str(tmp_path))
+    add(spark, again, 4)
+    assert first_rows(again) == expected(range(5))
+
+
+def test_a_small_batch_opens_only_its_buckets(spark, tmp_path, monkeypatch):
+    index = batches.BatchIndex(spark, str(tmp_path))
+    index.state["buckets"] = 64
+    add(spark, index, 0, 1)
+    probes = spark.createDataFrame([("=a",)], "token string")
+    plan = probes.repartition(64, "token").hint("merge").join(index._touched(index._held(index.state["runs"]), probes), "token")._jdf.queryExecution().toString()
+    assert "SelectedBucketsCount: 1 out of 64" in plan
+    add(spark, index, 2)
+    assert first_rows(index) == expected(range(3))
+
+
+def test_repeated_postings_adds_only_new_batches(spark, tmp_path, monkeypatch):
+    jobs = spark.createDataFrame([(i, n, "s", k) for n, rows_ in enumerate(BATCHES) for i, k in rows_], "row_id bigint, batch_no int, source string, native_id string")
+    config = spark.createDataFrame([], "source string, board string")
+    added = []
+    add_batch = batches.BatchIndex.add_batch
+    monkeypatch.setattr(batches.BatchIndex, "add_batch", lambda self, rows, n: (added.append(n), add_batch(self, rows, n)))
+    batches.repeated_postings(jobs.where("batch_no < 3"), config, str(tmp_path))
+    got = rows(batches.repeated_postings(jobs, config, str(tmp_path)))
+    assert added == [0, 1, 2, 3, 4] and got == rows(batches.repeated_postings(jobs, config))
+    assert got == [(1, 3), (1, 6), (1, 12), (2, 4), (5, 7), (8, 9), (10, 11)]
 
 
 # ------------------------------------------------------------- p6 encoding
