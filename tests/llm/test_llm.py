@@ -2,6 +2,7 @@
 
 import html
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -463,6 +464,44 @@ def test_pii_held_out_accuracy():
         assert len(truth & got) >= least * len(truth) and len(truth & got) >= 0.97 * len(got), kind
 
 
+#: Sentences that share no frame with the training table; spans in tags named by their kind.
+OUTSIDE = [
+    "Anyone in doubt may ring <phone>(020) 7946-0123</phone> until Friday.", "I met <person>Ingrid Solberg</person> at the fair and liked the stand.", "The lease names <person>Tendai Moyo</person> and <person>Farai Moyo</person> as tenants.",
+    "Her new place is <address>12 Marlow Road, Oakham LE15 6QT</address>.", "Letters reach us at <address>P.O. Box 4471-00100, Nairobi</address>.", "Questions? <person>Kwabena Asante</person> has answers.", "<person>Siobhan O'Rourke</person> took notes during the call.",
+    "I owe <person>Mei Tan</person> an answer.", "As <person>Olumide Bakare</person> told me, the doors open at nine.", "<person>Zanele Khumalo</person> is our newest trainer.", "Ask at the desk for <person>Ravi Menon</person>.", "Regards from <person>Lindiwe Sithole</person>.",
+    "Ticket raised by <person>Hannah Becker</person>, phone <phone>+49 30 23125778</phone>.", "The visa of <person>Dmitri Volkov</person> runs out in June.", "<person>VARGAS, Elena</person> (<email>elena.vargas@firm.example</email>)", "Write to the address <email>jobs+north@people.example</email> only.",
+    "My passport number is <id_number>LX0471182</id_number>.", "Social security number <id_number>912-55-1840</id_number> goes on page two.", "NI number <id_number>QQ 12 34 56 C</id_number> was typed wrong.", "Tax PIN <id_number>A012345678Z</id_number> belongs to the firm's owner.", "SSN: <id_number>987-65-4320</id_number>",
+    "The chair, <person>Amahle Dube</person>, opened the meeting.", "Both <person>Peter Novak</person> and <person>Jana Novakova</person> passed the typing test.", "Handed to <person>Grace Wambui</person> on Monday.", "Drafted by <person>Luis Ortega</person>, checked by <person>Carmen Ruiz</person>.",
+    "Her cell is <phone>+1 (415) 555-0188</phone>.", "Landline <phone>030 23125 119</phone>.", "Mobile: <phone>0912 345 678</phone>", "Reachable at <phone>+254 912 004 118</phone> most evenings.", "Skype or <phone>+44 20 7946 0991</phone>.",
+    "Send samples to <address>Plot 9, Baobab Road, Kisumu</address> by courier.", "She moved to <address>44 Elm Street, Reading RG1 4AA</address> in May.", "Our lawyer sits at <address>Lindenstraße 18, 10969 Berlin</address>.", "The shop at <address>77 rue de Rivoli, 75001 Paris</address> has closed.", "Envíelo a <address>Calle Mayor 14, 28013 Madrid</address> esta semana.",
+    "Entreguem tudo em <address>Rua Augusta, 120, Lisboa</address>.", "Meine Anschrift: <address>Gartenweg 5b, 44135 Dortmund</address>", "Mail for <person>Tomasz Kowalski</person>: <email>t.kowalski@post.example</email>", "Forward it to <email>ada_lee(at)shop(dot)test</email>.", "cc <email>first.last@corp.example</email> on every mail",
+    "The Blue Nile Hotel opens in spring.", "We compared Apache Kafka with Google Pub Sub.", "Great Rift Valley tours start daily.", "Our Nairobi Office Park lease ends.", "The Silver Birch Group bought Marlow Partners.", "Error 5512-884 came back twice.", "Order 4471-00100 left the shop.", "Version 10.0.2.117 is out.", "Die Große Halle bleibt zu.",
+    "Senior Data Engineer wanted.", "The Peter Principle is a book.", "Room 120 holds 40 chairs.", "Call centre staff work in shifts.", "The price rose from 120 000 to 150 000.", "Grace had no time.", "See chapter 12.4 of the guide.", "May Day is a holiday.", "Use logo@3x.png there.", "Central Bank rules apply.", "Mount Kenya Trail Race starts soon.",
+    "Please get in touch with <person>Xiomara Quispe</person>", "<person>Thandiwe Mokoena</person>, she sits on the second floor.", "<person>Priyanka Raghunathan</person> will interview you", "our manager <person>Hiroshi Nakamura</person>", "<person>Chen Wei</person> leads the team",
+    "Send it to <address>1600 Pennsylvania Avenue NW, Washington, DC 20500</address>.", "Personalausweis <id_number>L01X00T471</id_number> liegt vor", "phone: <phone>555-2671</phone>",
+]
+
+
+def untagged(text):
+    plain, spans = "", set()
+    for part in re.split(r"(</?(?:person|email|phone|id_number|address)>)", text):
+        if part.startswith("</"):
+            spans.add((part[2:-1], begun, len(plain)))
+        elif part.startswith("<") and part[1:-1] in pii.KINDS:
+            begun = len(plain)
+        else:
+            plain += part
+    return plain, spans
+
+
+def test_pii_outside_the_training_frames():
+    texts, truths = zip(*map(untagged, OUTSIDE), strict=True)
+    found = [set(s) for s in pii.find_in(list(texts), pii.models())]
+    for kind in pii.KINDS:
+        truth, got = ({(i, s) for i, spans in enumerate(x) for s in spans if s[0] == kind} for x in (truths, found))
+        assert len(truth & got) >= 0.9 * len(truth) and len(truth & got) >= 0.9 * len(got), (kind, truth ^ got)
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [

@@ -2,11 +2,13 @@
 
 Generators with high recall propose overlapping spans of each kind; boosted trees judge them by format
 and context; thresholds set on held-out rows select. The trees are trained on sentences written from
-the frames below: at most TRAINING_SENTENCES, drawn by a fixed seed, a bounded sample by design.
+the frames below: at most TRAINING_SENTENCES, drawn by a fixed seed, a bounded sample by design. The
+frames are general; none is taken from the texts the operator is run on.
 """
 
 from __future__ import annotations
 
+import base64
 import random
 import re
 from collections.abc import Iterator
@@ -21,7 +23,10 @@ from tidemark.llm.boost import Boost, best_threshold
 from tidemark.runtime import spread
 
 KINDS = ("email", "phone", "id_number", "address", "person")
-TRAINING_SENTENCES = 9_000
+TRAINING_SENTENCES = 14_000
+
+#: A public tokenizer's vocabulary, of which the words in lower case serve as the common words.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # Given names that people in the corpus's regions bear.
 GIVEN = set(
@@ -41,7 +46,7 @@ STOP = set(
     "monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december starts team rated task signed form lead took reachable noon "
     "na kwa ya wa za la cha ni katika kama au hii hiyo wasiliana und oder der die das ist im am zu zur zum mit von für bei auf ein eine wir sie ihr de la le les des du et ou est en un une au aux vous nous pour par sur avec que qui "
     "el los las del al y o es por con para una su se lo ao da do dos das e em os as um uma à não pregunte escriba llame joindre merci envie contrato cuidado ansprechpartner plot flat house box street road lane close drive avenue ave "
-    "ltd inc llc gmbh group brothers company co saint station office city town python java sql go rust kotlin engineer remote full time sent posted copy applied twice year moved kept candidate gave payroll needs background check hold "
+    "ltd inc llc gmbh group brothers company co saint station office city town python java sql go rust kotlin engineer remote full time sent posted copy applied twice year moved kept candidate gave payroll needs api apis between mention score share bring tried node host ujuzi dein deine unser unsere büro gute guter gutes meine mein finish nobody background check hold "
     "would could should will can may might must shall have has had do does did".split()
 ) - {"wa", "de", "la", "da", "may", "april", "june", "august"}
 STREET_WORDS = "Street|St\\.?|Road|Rd\\.?|Lane|Ln\\.?|Close|Drive|Dr\\.?|Avenue|Ave\\.?|Court|Ct\\.?|Way|Crescent|Gardens|Place|Terrace|Highway|Boulevard|Blvd\\.?|Square|Hill|Row|Walk|Grove|Park"
@@ -56,16 +61,16 @@ PHONE_FORMS = [
     re.compile(p + r"(?:\s?(?:ext\.?|x|extension)\s?\d{1,5})?(?![\w@]|[.-]\d)")
     for p in (
         r"(?:\+|00)\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,5}(?:[ .-]?\d{2,8}){1,5}", r"\(0\d{1,4}\)[ .-]?\d{3,5}(?:[ .-]?\d{3,4}){1,2}", r"0\d{1,4}(?:[ .-]\d{3,8}){1,3}", r"0\d(?:[ .-]\d{2}){4}",
-        r"(?:1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}", r"0\d{8,11}",
+        r"(?:1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}", r"0\d{8,11}", r"[2-9]\d{2}[ .-]\d{4}",
     )
 ]
 IDS = [re.compile(p) for p in (
-    r"\b[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]\b", r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])", r"\b[A-Z]\d{9}[A-Z]\b", r"(?<![\w-])\d{8}-?[A-Z]\b", r"\b[A-Z]\d{2}[A-Z]\d{4,6}\b", r"\b[A-Z]{1,3}\d{6,9}\b",
+    r"\b[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]\b", r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])", r"\b[A-Z]\d{9}[A-Z]\b", r"(?<![\w-])\d{8}-?[A-Z]\b", r"\b[A-Z]\d{2}[A-Z]\d{4,6}\b", r"\b[CFGHJKLMNPRTVWXYZ](?=[A-Z]*\d[A-Z]*\d)[CFGHJKLMNPRTVWXYZ0-9]{8}\d?\b", r"\b[A-Z]{1,3}\d{6,9}\b",
     r"(?<![\w+.-])\d{4} \d{4}(?![\w-]| \d)", r"(?<![\w+./-])\d{7,11}(?![\w-]|\.\d)", r"(?<![\w-])\d{3}\.\d{3}\.\d{3}-\d{2}\b", r"(?<![\w+])[12] ?\d{2} ?\d{2} ?\d{2} ?\d{3} ?\d{3}(?: ?\d{2})?\b",
 )]
 ADDRESSES = [re.compile(p) for p in (
     rf"\bP\.? ?O\.? ?Box \d+(?:[ -]\d+)?, {TOWN}", rf"\b(?:Plot|House|Hse|Flat|Apartment|Apt|Unit|Suite|Block)\.?(?: No\.?)? \d+[A-Za-z]?, (?:\d+[A-Za-z]? )?{TOWN}(?: {TOWN})*? (?:{STREET_WORDS})(?:, off {TOWN}(?: {TOWN})*? (?:{STREET_WORDS}))?, {TOWN}(?: [A-Z]{{1,2}}\d[A-Z\d]? \d[A-Z]{{2}}\b)?",
-    rf"(?<![\w,.-])\d{{1,5}}[A-Za-z]? {TOWN}(?: {TOWN})*? (?:{STREET_WORDS})(?:,? (?:Apt|Suite|Unit|Flat|#)\.? ?\w+)?, {TOWN}(?:,? [A-Z]{{2}} \d{{5}}(?:-\d{{4}})?| [A-Z]{{1,2}}\d[A-Z\d]? \d[A-Z]{{2}}\b)?",
+    rf"(?<![\w,.-])\d{{1,5}}[A-Za-z]? {TOWN}(?: {TOWN})*? (?:{STREET_WORDS})(?: (?:NW|NE|SW|SE|N\.?|S\.?|E\.?|W\.?))?(?:,? (?:Apt|Suite|Unit|Flat|#)\.? ?\w+)?, {TOWN}(?:,? [A-Z]{{2}} \d{{5}}(?:-\d{{4}})?| [A-Z]{{1,2}}\d[A-Z\d]? \d[A-Z]{{2}}\b)?",
     rf"\b{TOWN}(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|damm|ufer) \d+ ?[a-z]?, \d{{5}} {TOWN}", rf"(?<![\w,.-])\d{{1,4}}(?: ?(?:bis|ter))?,? (?:rue|avenue|boulevard|place|chemin|impasse|allée|quai|route|Rue|Avenue|Boulevard) (?:(?:de|du|des|de la|de l['’]|la|le|d['’])\s?)*{TOWN}(?: {TOWN})*, \d{{5}} {TOWN}",
     rf"\b(?:Calle|C/|Avenida|Avda\.?|Paseo|Plaza|Carrera) (?:(?:de|del|la|las|los) )*{TOWN}(?: {TOWN})*,? \d+(?:, \d+[ºª°](?: ?[A-Z](?![a-z]))?)?, \d{{5}} {TOWN}", rf"\b(?:Rua|Avenida|Av\.|Travessa|Praça|Largo|Estrada) (?:(?:de|do|da|dos|das) )*{TOWN}(?: {TOWN})*, \d+(?:, \d+[ºª°](?: ?\w+)?)?,(?: \d{{4,5}}-\d{{3}})? {TOWN}",
 )]
@@ -74,10 +79,15 @@ PERSONS = [re.compile(rf"(?<![\w@.+'’-])(?=({p})(?![\w@'’-]))") for p in (
     rf"{NAME}(?: [{U}{L}]\.)*(?: wa| WA| Wa| de| DE| van| von| da| el| bin)? {NAME}", rf"(?:wa|WA|Wa) {NAME} {NAME}", rf"(?:wa |WA |Wa )?{NAME}, {NAME}(?: [{U}]\.)*",
     rf"[{U}{L}]\.(?: ?[{U}{L}]\.)*(?: wa| WA| Wa| de| van| von| da)? {NAME}", rf"(?:wa )?{NAME}, [{U}]\.(?: [{U}]\.)*",
 )]
+NAMES, INITIALS = PERSONS[:3] + PERSONS[4:], PERSONS[3:4]
+#: The same in lower case, for which words with a capital aren't looked at.
+SMALL = [re.compile(rf"(?<![\w@.+'’-])(?=({p})(?![\w@'’-]))") for p in (
+    rf"[{L}]{NAME}(?: [{L}]\.)*(?: wa| de| van| von| da| el| bin)? {NAME}", rf"wa {NAME}(?:,| [{L}]\.)? {NAME}(?: [{U}{L}]\.)*", rf"[{L}]{NAME}, {NAME}(?: [{L}]\.)*", rf"[{L}]\.(?: ?[{L}]\.)* {NAME}",
+)]
 # Words beside spans of each kind, and beside what only looks like one.
 CUES = {
-    "person_left": r"(?:recruiter|reference:|ansprechpartner(?:in)? ist|wasiliana na|pregunte por|ask for|signed as|joindre|questions go to|reporting line:|took over from|badge request:|interviewer|call with dr\.|call with|dear (?:ms|mr|mrs|dr)\.|dr\.|mr\.|ms\.|mrs\.|kontakt:|contact:|ao cuidado de|regards,\n|regards,|—|cheers,\n|name:|c/o|attn:?|\bmanager|\bby) ?$",
-    "person_right": r"^ ?(?:,? who took over|is also reachable|, phone|, telefon|kwa simu|rated the|\((?:ni |nif|pass|national|id|tax|kitam|ssn|social|pin|perso)|starts on|: strong on|, thank you|, applied twice|, \w+ lead\b|in may\b| : |\(\S+ ?(?:@|\(at\)|\[at\]|at )|, (?:passport|nif|ni number|national id|id no|tax pin|pin|kitambulisho|ssn|social security|personalausweis)|\n|$)",
+    "person_left": r"(?:in touch with|talk to|spoke to|speak to|speak with|meet with|according to|referred by|signed:|applicant:|candidate|interview with|hello|thanks,|sincerely,\n|wishes,\n|regards\n|sir|frau|herr|madame|monsieur|señora?|senhora?|bwana|bi\.|cc|wrote to|reach|contactez|hable con|fale com|bei|recruiter|reference:|ansprechpartner(?:in)? ist|wasiliana na|pregunte por|ask for|signed as|joindre|questions go to|reporting line:|took over from|badge request:|interviewer|call with dr\.|call with|dear (?:ms|mr|mrs|dr)\.|dr\.|mr\.|ms\.|mrs\.|kontakt:|contact:|ao cuidado de|regards,\n|regards,|—|cheers,\n|name:|c/o|attn:?|\bmanager|\bby) ?$",
+    "person_right": r"^ ?(?:,? (?:she|he|they)\b|will (?:meet|interview|call|join|be|show)|leads?\b|joined|manages|runs the|said|asked|wrote|reads|sits|signed|and [a-zà-ÿ’'-]+ [a-zà-ÿ’'-]+ sit| <|, our\b|, born|,? who took over|is also reachable|, phone|, telefon|kwa simu|rated the|\((?:ni |nif|pass|national|id|tax|kitam|ssn|social|pin|perso)|starts on|: strong on|, thank you|, applied twice|, \w+ lead\b|in may\b| : |\(\S+ ?(?:@|\(at\)|\[at\]|at )|, (?:passport|nif|ni number|national id|id no|tax pin|pin|kitambulisho|ssn|social security|personalausweis)|\n|$)",
     "person_not": r"^ ?(?:street|st\.|road|lane|close|avenue|drive|brothers|group|ltd|inc|gmbh|station|team|engineer|carlo|\| )|^-\d",
     "place_left": r"(?:\bin|\bnear|\bsaint|\bto|\bat|\bof|\bthe|\blaunch of|\bmention|\bproject|\boff|\bfrom the|\bbetween|\btried|\d) ?$",
     "phone_left": r"(?:phone|tel(?:efon|ephone|éfono)?\.?|simu|mobile|call|number is|fax|llame al|kept|appel\w*|whatsapp|/|handy|cell)[ :]*$",
@@ -94,6 +104,11 @@ POSTCODE = re.compile(r"\d{5}|[A-Z]{1,2}\d[A-Z\d]? \d[A-Z]{2}|-\d{5}")
 AT_MARKS = ("@", "＠", "&#64;", "(at)", "[at]", "{at}", "<at>", "(a)")
 AT_WORD = re.compile(r" (?:at|arobase) (?=\S+ (?:dot|point) )")
 DIGITS = re.compile(r"\d(?:[\d() ./+-]|[A-Z](?![a-z])){3,}")
+#: Runs of words with a capital, initials and particles among them, with at most commas between.
+INITIAL = rf"[{U}]\.(?![{L}])"
+CAPITAL = rf"[{U}][{U}{L}]*(?:['’-][{U}{L}]+)*"
+RUN = re.compile(rf"(?<![\w@.+'’-])(?:{INITIAL} ?|{CAPITAL})(?:(?:,? (?:(?:wa|de|van|von|da|el|bin) )?)(?:{INITIAL}|{CAPITAL})|(?<=\.){CAPITAL})+")
+RUN_WORD = re.compile(rf"(?<![\w.'’-])(?:{INITIAL}|{CAPITAL})")
 #: Words of which one stands in every postal address.
 PLACES = set("box plot house hse flat apartment apt unit suite block street st road rd lane ln close drive dr avenue ave court ct way crescent gardens place terrace highway boulevard blvd square hill row walk grove park".split()) | set(
     "rue boulevard place chemin impasse allée quai route calle avenida avda av paseo plaza carrera c rua travessa praça largo estrada".split()
@@ -118,7 +133,8 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all spans that could be personal information; spans may overlap.
 
     The costly patterns only run around marks that every span of their kind has: an at sign, four
-    characters of a number, a word for a street or the like, a name or a cue for one.
+    characters of a number, a word for a street or the like, and for persons two words with a capital
+    or a cue or given name.
     """
     out = set()
     at_signs, people, places, cued = marks(text, low)
@@ -138,18 +154,35 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int]]:
     named = []
     for lo, hi in _spans(people + [a for _, a, _ in out], REACH, REACH, len(text)):
         lo = text.rfind(" ", 0, lo) + 1
-        for p in PERSONS:
+        for p in SMALL:
             for m in p.finditer(text, lo, hi + 40):
                 if m.start() >= hi:
                     break
-                named.append(m.span(1))
-    named += [m.span(1) for at in cued for p in PERSONS if (m := p.match(text, at))]
-    for a, b in named:
+                named.append((*m.span(1), False))
+    named += [(*m.span(1), False) for at in cued for p in PERSONS if (m := p.match(text, at))]
+    common, starts = common_words(), {a for _, a, _ in out}
+    for run in RUN.finditer(text):
+        heads = [(w.start(), w.group().lower()) for w in RUN_WORD.finditer(text, run.start(), run.end())]
+        if all(w in STOP or w in common or w in TECH for _, w in heads):
+            continue
+        for at, first in heads:
+            if first not in STOP and first not in TECH or len(first) == 2:
+                named += [(*m.span(1), True) for p in (INITIALS if first[1:] == "." else NAMES) if (m := p.match(text, at)) and m.end(1) <= run.end()]
+    for a, b, shaped in dict.fromkeys(named):
         words = text[a:b].split()
         bare = [w.strip(".,").lower() for w in words]
-        if any(w in STOP and len(w) > 1 for w in bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
+        if any(q in STOP and len(q) > 1 for w in bare for q in (w, *w.replace("’", "'").split("'"), *w.split("-"))) or len(set(bare)) < len(bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
             continue
-        if any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for w in bare for q in w.split("-")) or CUE["person_left"].search(low[max(0, a - 30) : a]):
+        parts = [q for w in bare for q in w.split("-")]
+        known = any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for q in parts)
+        # by its shape alone a span is a name unless all its words are everyday ones; in lower case a name or a cue has to speak for it
+        if known and text[a:b].islower() and not any(q in GIVEN for q in parts):
+            known = bool(CUE["person_right"].search(low[b : b + 40])) or any(b < x <= b + 3 for x in starts)
+        if any(w.isupper() and len(w.strip(".,")) > 1 for w in words) and any(q in common and q not in GIVEN for q in parts) and not CUE["person_left"].search(low[max(0, a - 30) : a]):
+            continue  # a line in capitals, not a name
+        if all(w in TECH or w in common for w in bare) and any(w in TECH for w in bare):
+            continue
+        if known or shaped and not all(w in common or len(w) == 1 for w in bare) or CUE["person_left"].search(low[max(0, a - 30) : a]):
             out.add(("person", a, b))
     return sorted(out, key=lambda c: (c[1], c[2], c[0]))
 
@@ -168,6 +201,14 @@ def lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+@lru_cache(2)
+def common_words(path: str = VOCABULARY) -> frozenset[str]:
+    """The words that a public vocabulary holds whole in lower case: everyday words rather than names."""
+    with open(path, "rb") as f:
+        tokens = (base64.b64decode(line.split()[0]) for line in f)
+        return frozenset(t[1:].decode() for t in tokens if len(t) > 3 and t[:1] == b" " and t[1:].isalpha() and t.isascii() and t[1:].islower())
+
+
 @lru_cache(1)
 def _finder():
     """An automaton for all marks of at least three characters; each is known as at sign, person or place."""
@@ -215,6 +256,11 @@ def marks(text: str, low: str) -> tuple[list[int], list[int], list[int], list[in
     return at_signs, people, places, cued
 
 
+# What stands behind or ends the name of a firm, place or post.
+FIRMS = set("ltd inc llc gmbh ag sa plc corp group networks analytics capital consulting energy foods health insurance labs logistics media motors partners payments robotics security services software solutions studio systems technologies ventures bank bridge hall line market award report hospital university college school hotel airport valley lake river island engineer developer manager officer analyst designer director".split())
+FIRM = re.compile(r"^,? (?:Ltd|Inc|LLC|GmbH|AG|S\.?A\.?|plc|Corp|Group|& |Bridge|Hall|Line|Market|Award|Report|University|College|School|Hotel|Airport|Engineer|Developer|Manager|Analyst)\b")
+
+
 def _person_words(span: str) -> list[str]:
     return [w.strip(",.") for w in span.split() if w.strip(",.").lower() not in ("wa", "de", "van", "von", "da", "el", "bin")]
 
@@ -228,7 +274,7 @@ def features(text: str, low: str, kind: str, start: int, end: int, beside: set[i
     cue = lambda name, side: float(bool(CUE[name].search(before if side is left else after)))
     line = float(left[-1:] in ("\n", "") and right[:1] in ("\n", ""))
     if kind == "person":
-        words = _person_words(span)
+        words, common = _person_words(span), common_words()
         parts = [p for w in words for p in w.lower().replace("’", "'").split("-")]
         given = [p in GIVEN for p in parts]
         family = [any(len(q) > 3 and q.endswith(ENDINGS) for q in w.lower().split("-")) for w in words]
@@ -238,7 +284,8 @@ def features(text: str, low: str, kind: str, start: int, end: int, beside: set[i
             float(any(given)), float(given[0]), float(given[-1]), float(any(family)), float(family[-1]), float(family[0]), float(all(caps)), float(not any(caps)), float(all(w.isupper() for w in words)),
             float(words[0].isupper() and len(words[0]) > 1 and not words[-1].isupper()), float("," in span), float(bool(re.match(rf"[{U}{L}]\.", span))), float(len(words)), float(min(map(len, words))),
             cue("person_left", left), cue("person_right", right), cue("person_not", right), cue("place_left", left), near, start_s, line, float(bool(re.match(r"[\w'’-]*\w", right))), float(right[:1] in ".,:;)\n" or not right),
-            float(left[-2:] in (", ", "; ")), float(bool(re.search(r"[A-Z]\. ?$|\bDr\. ?$", left))),
+            float(left[-2:] in (", ", "; ")), float(bool(re.search(r"[A-Z]\. ?$|\bDr\. ?$", left))), float(sum(p in common for p in parts)), float(any(w.lower() in TECH for w in words)), float(text[max(0, start - 2) : start] == ". " or start == 0), float(parts[0] in common), float(parts[-1] in common),
+            float(bool(re.match(r" [a-zà-ÿ]+s\b", right))), float(bool(re.match(r" (?:[a-z]+ed|took|told|put|went|came|sent|gave|has|is|was|does|and|as|on|an?) ", right))), float(bool(re.search(r"(?:\b(?:by|with|from|to|for|and|names?|owe|thank|hi|as|both|was|chair|judge|is),? )$", before))), float(bool(re.match(r",? [A-ZÀ-Þ]", right))), float(bool(FIRM.search(right) or words[-1].lower() in FIRMS)),
         ]
     shape = {"email": [float(bool(re.search(r"@", span))), float(bool(re.search(r"\s", span))), float(re.split(r"\W", span.lower())[-1] in FILES), float(bool(re.match(r"\d", re.split(AT, span, flags=re.I)[-1]))), float(bool(re.search(r"\(at\)|\[at\]|\{at\}", span, re.I))), float(bool(re.search(r"\sat\s", span, re.I))), float(bool(re.search(r"dot", span, re.I)))],
              "phone": [float(span[0] == "+"), float(span.startswith("00")), float(span[0] == "0"), float(span[0] == "("), float(bool(re.fullmatch(r"(?:1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}.*", span))), float(span.count("-")), float(span.count(" ")), float(span.count("."))],
@@ -252,8 +299,8 @@ def _syllables(rng: random.Random, n: int) -> str:
 
 
 def _name(rng: random.Random) -> str:
-    given = rng.choice(sorted(GIVEN)) if rng.random() < 0.85 else _syllables(rng, 2) + rng.choice("ndrktlsm")
-    family = _syllables(rng, rng.choice((1, 2, 2))) + rng.choice("nrdlx") + rng.choice(ENDINGS[:13])
+    given = rng.choice(sorted(GIVEN)) if rng.random() < 0.6 else _syllables(rng, rng.choice((1, 2, 2))) + rng.choice(("n", "d", "r", "k", "t", "l", "a", "o", "i"))
+    family = _syllables(rng, rng.choice((1, 2, 2))) + (rng.choice("nrdlx") + rng.choice(ENDINGS[:13]) if rng.random() < 0.55 else rng.choice(("n", "k", "ra", "mi", "to", "la", "t")))
     given, family = given.title(), family.title()
     if rng.random() < 0.08:
         given += "-" + rng.choice(sorted(GIVEN)).title()
@@ -277,12 +324,19 @@ def _name(rng: random.Random) -> str:
     return out.upper() if r < 0.1 else out.lower() if r < 0.2 and form < 0.55 else out
 
 
-SKILLS = ("Python", "SQL", "Java", "Go", "Rust", "Kotlin", "Docker", "Excel", "Linux", "Scala", "Figma", "React", "Power BI", "Spring Boot", "Google Cloud", "Prompt engineering", "Penetration testing", "Machine learning", "REST APIs")
+# Names of tools and techniques that look like names.
+TECH = set(
+    "python sql java go golang rust kotlin docker excel linux unix scala figma react angular vue kafka git github gitlab swift typescript javascript php ruby perl matlab aws azure gcp cloud terraform ansible kubernetes jenkins hadoop spark "
+    "airflow dbt snowflake redis mongodb postgresql postgres mysql oracle sqlite graphql rest api apis django flask spring boot nodejs node html css sass tensorflow pytorch keras pandas numpy tableau bi looker jira confluence sap salesforce android ios "
+    "flutter dart unity siem selenium cypress photoshop r c dotnet bash windows macos wordpress drupal laravel symfony rails elixir haskell julia hive presto nginx apache grafana prometheus elasticsearch kibana rabbitmq m-pesa".split()
+)
+SKILLS = ("Power BI", "Spring Boot", "Google Cloud", "Prompt engineering", "Penetration testing", "Machine learning", "REST APIs", "M-Pesa API", "Payment APIs", "Unit testing", "Data modelling", "AWS", "CSS", "HTML", "PHP", "R", "SIEM", "C#", "TypeScript", "MongoDB", "GraphQL", "PostgreSQL", "TensorFlow", *sorted(w.title() for w in TECH if w.isalpha() and len(w) > 3))
 
 
 def _fill(slot: str, rng: random.Random) -> str:
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     w = lambda n=2: (_syllables(rng, n) + rng.choice("lrntkx")).title()
+    d1 = lambda: rng.choice("123456789")
     letter = lambda: rng.choice("ABCDEFGHJKLMNPRSTXZ")
     if slot == "person":
         return _name(rng)
@@ -294,36 +348,47 @@ def _fill(slot: str, rng: random.Random) -> str:
         return out.upper() if rng.random() < 0.12 else out
     if slot == "phone":
         base = rng.choice((f"+254 9{d(2)} {d(3)} {d(3)}", f"+2549{d(8)}", f"09{d(2)} {d(3)} {d(3)}", f"00254 9{d(2)} {d(6)}", f"+44 20 7946 0{d(3)}", f"(020) 7946-0{d(3)}", f"020 7946 0{d(3)}", f"07700 900{d(3)}", f"+447700900{d(3)}", f"+1 ({d(3)}) 555-01{d(2)}",
-                           f"{rng.choice('23456789')}{d(2)}-555-01{d(2)}", f"1.{d(3)}.555.01{d(2)}", f"+1 {d(3)} 555 01{d(2)}", f"+49 30 23125{d(3)}", f"030 23125 {d(3)}", f"+49 (0)30 23125-{d(3)}", f"01 99 00 {d(2)} {d(2)}", f"+33 1 99 00 {d(2)} {d(2)}", f"0491 570 {d(3)}", f"+61 491 570 {d(3)}", f"+254-9{d(2)}-{d(3)}-{d(3)}"))
+                           f"{rng.choice('23456789')}{d(2)}-555-01{d(2)}", f"1.{d(3)}.555.01{d(2)}", f"+1 {d(3)} 555 01{d(2)}", f"+49 30 23125{d(3)}", f"030 23125 {d(3)}", f"+49 (0)30 23125-{d(3)}", f"01 99 00 {d(2)} {d(2)}", f"+33 1 99 00 {d(2)} {d(2)}", f"0491 570 {d(3)}", f"+61 491 570 {d(3)}", f"+254-9{d(2)}-{d(3)}-{d(3)}", f"{rng.choice('23456789')}{d(2)}-{d(4)}"))
         return base + (f" ext. {d(3)}" if rng.random() < 0.08 else "")
     if slot == "id_number":
         return rng.choice((f"QQ {d(2)} {d(2)} {d(2)} C", f"9{d(2)}-{d(2)}-{d(4)}", f"9{d(2)} {d(2)} {d(4)}", f"{letter()}{d(9)}{letter()}", f"{d(8)}-{letter()}", f"L{d(2)}X{d(5)}", f"{letter()}{letter()}{d(7)}", f"{letter()}{d(8)}", f"{d(4)} {d(4)}", d(8)))
     if slot == "address":
-        return rng.choice((f"P.O. Box {d(4)}-00{d(3)}, {w()}", f"Plot {d(2)}, {w()} Road, {w()}", f"House No. {d(2)}, {w()} Close, off {w()} Road, {w()}", f"Flat {d(1)}, {d(3)} {w()} Lane, {w()}", f"{d(2)} {w()} {rng.choice(('St.', 'Street', 'Rd', 'Lane', 'Close'))}, {w()} {letter()}{letter()}{d(1)} {d(1)}{letter()}{letter()}",
-                           f"{d(4)} {w()} {rng.choice(('Ave', 'Drive', 'Avenue', 'Blvd'))} Apt {d(2)}B, {w()}, {rng.choice(('TX', 'OH', 'CA'))} 00{d(3)}", f"{w()}straße {d(2)}, {d(5)} {w()}", f"{w()}weg {d(2)}b, {d(5)} {w()}", f"{d(2)} rue de {w()}, {d(5)} {w()}", f"Calle {w()} {d(2)}, 2º B, {d(5)} {w()}", f"Rua {w()}, {d(2)}, {w()}"))
+        return rng.choice((f"P.O. Box {d(4)}-00{d(3)}, {w()}", f"Plot {d(2)}, {w()} Road, {w()}", f"House No. {d(2)}, {w()} Close, off {w()} Road, {w()}", f"Flat {d(1)}, {d(3)} {w()} Lane, {w()}", f"{rng.choice((d1(), d1() + d(1), d1() + d(2)))} {w()} {rng.choice(('St.', 'Street', 'Rd', 'Road', 'Lane', 'Close'))}, {w()} {letter()}{letter()}{d(1)} {d(1)}{letter()}{letter()}",
+                           f"{rng.randrange(1, 9999)} {w()} {rng.choice(('Ave', 'Drive', 'Avenue', 'Blvd'))}{rng.choice((f' Apt {d(2)}B', f' Apt {d(2)}B', ' NW', ''))}, {w()}, {rng.choice(('TX', 'OH', 'CA'))} 00{d(3)}", f"{w()}straße {d(2)}, {d(5)} {w()}", f"{w()}weg {d(2)}b, {d(5)} {w()}", f"{rng.choice((d1(), d1() + d(1), d1() + d(2)))} rue de {w()}, {d(5)} {w()}", f"Calle {w()} {d(2)}, 2º B, {d(5)} {w()}", f"Rua {w()}, {d(2)}, {w()}"))
     return {"n": lambda: str(rng.randrange(2, 999)), "w": w, "given": lambda: rng.choice(sorted(GIVEN)).title(), "d2": lambda: d(2), "d3": lambda: d(3), "d4": lambda: d(4), "skill": lambda: rng.choice(SKILLS),
-            "group": lambda: rng.choice("billing risk data mobile search growth claims fleet".split()), "label": lambda: rng.choice(("passport", "passport no", "national ID", "ID No.", "tax PIN", "PIN:", "NIF", "NI number", "SSN", "social security number:", "kitambulisho namba", "Personalausweis"))}[slot]()
+            "group": lambda: rng.choice("billing risk data mobile search growth claims fleet".split()), "d1": lambda: d(1), "label": lambda: rng.choice(("passport", "passport no", "national ID", "ID No.", "tax PIN", "PIN:", "NIF", "NI number", "SSN", "social security number:", "kitambulisho namba", "Personalausweis"))}[slot]()
 
 
 # The training table: labelled frames (slots named like kinds are labelled) and frames without personal information.
 FRAMES = (
-    "Our recruiter {person} can also be reached under {email}.|Our recruiter {person} is also reachable under {email}.|Reference: {person}, phone {phone}.|Ansprechpartner ist {person}, Telefon {phone}.|Wasiliana na {person} kwa simu {phone}.|My number is {phone}, ask for {person}.|"
-    "Escriba a {email} o llame al {phone}, pregunte por {person}.|Merci de joindre {person} : {email}.|Questions go to {person} ({email}).|Call {phone} before noon or write to {email}.|Contact: {email} / {phone}|Badge request: {person}, {label} {id_number}, {phone}.|"
-    "{person} ({label} {id_number}) starts on Monday in the {group} team.|Payroll needs {label} {id_number} and a bank letter before the 6th.|For the background check we hold {label} {id_number}.|The candidate gave {label} {id_number} on the form and signed as {person}.|"
-    "Reporting line: {person}, who took over from {person} in May.|Interviewer {person} rated the {skill} task {n} of 12.|Notes from the call with Dr. {person}: strong on {skill}, weak on {skill}.|Dear Ms. {person}, thank you for your note about the {group} role.|— {person}, {group} lead|"
-    "{person}, {address}, applied twice last year.|Kontakt: {person}, {address}|Send the signed copy to {address}.|He moved from {address} to {address} and kept {phone}.|The contract was posted to {address} on Tuesday.|Envie o contrato para {address} ao cuidado de {person}.|"
-    "\nRegards,\n{person}\n{phone}\n|\nRegards,\n{person}\n{address}\n{email}\n|\nRegards,\n{person}\n|cv by mail to {email}, no agencies please"
+    "Please get in touch with {person} by {email}.|{person} will meet you at the front door.|You can reach {person} on {phone} after lunch.|Your first talk is with {person}, our head of {group}.|{person} and {person} sit on the panel.|Mail {email} if the link is broken.|Text {phone} when you arrive.|"
+    "My manager, {person}, signed it off.|Applicant: {person}; mobile {phone}; mail {email}.|She wrote to {person} last week, no reply so far.|According to {person}, the {group} budget is gone.|{person} leads the {group} crew.|{person} joined us from {w} in spring.|Passport {id_number} was checked by {person}.|"
+    "{label} {id_number} is on file.|Her {label} reads {id_number}.|Copy of {label} {id_number} attached.|He lives at {address} these days.|Post goes to {address}, please.|Parcel for {person}, {address}.|{person}\n{address}\n{phone}\n|Best wishes,\n{person}\n{email}\n|Yours sincerely,\n{person}\n|Kind regards\n{person}\n{address}\n|"
+    "Thanks, {person}\n|Hello {person}, your visit is set for noon.|Mr. {person} asked for a second copy.|Dr. {person} reads the reports of the {group} unit.|Emergency contact {person} {phone}|Spoke to {person} ({phone}) about {group}.|{person} <{email}>|Signed: {person}|cc {person}, {person}|Interview with {person} went well.|"
+    "Referred by {person}.|Talk to {person} before you sign.|Candidate {person}, born in {w}, holds {label} {id_number}.|Applicant {person}, {label} {id_number}, {phone}.|{person} : {email}\n|{person}: {phone}\n|{person}, {phone}\n|{person} (tel. {phone}) answers questions about the post.|{person} (ID {id_number}) sits in room {n}.|Home address: {address}.|Deliver to {address} between nine and five.|"
+    "From {address} it is a short walk.|Her flat is at {address}; before that she had {address}.|We moved the desk of {person} to the third floor.|Fax {phone}, voice {phone}.|The number {phone} no longer works.|Ring {phone} and leave a note.|Those who may ring can use {phone}.|Dial {phone} for the door.|Office: {phone} / {email}|{email} or {phone}, whichever is easier.|Screening notes, {person}: good {skill}, little {skill}.|"
+    "{person} ({group}) marked the {skill} test.|We pay {person} by the hour, {label} {id_number}.|The form names {person} as next of kin.|{person}, {address}, wrote twice.|Herr {person}, {address}\n|{person}, {address}; {phone}\n|The {group} lead is {person}, successor of {person}.|{person} ({email}) keeps the list.|Reach out to {person}, {group} lead.\n|"
+    "{person} took the minutes.|{person} told us so at lunch.|{person} has all keys.|{person} is our oldest client.|{person} was late again.|{person} works from {w}.|{person} does the {skill} part.|I owe {person} a coffee.|The contract names {person} and {person} as owners.|Greetings from {person}.|The judge, {person}, closed the case.|As {person} put it, nobody asked.|Written by {person}, read by {person}.|Both {person} and {person} failed the {skill} test.|Given to {person} at noon.|We thank {person}.|No word from {person} yet.|It was {person} who found the bug.|Raised by {person}, closed in {w}.|The visa of {person} runs out soon.|Hi {person}, any news?|"
+    "Bitte melden Sie sich bei {person} unter {phone}.|Herr {person} ist per {email} zu sprechen.|Frau {person}, {address}\n|Unterlagen an {address} senden.|Ihre Fragen beantwortet {person} gern.|Mit freundlichen Grüßen\n{person}\n|Ausweis {id_number} liegt vor.|Contactez {person} au {phone}.|Madame {person} vous recevra.|"
+    "Écrivez à {email} avant lundi.|Dossier à envoyer au {address}.|Cordialement,\n{person}\n|Passeport {id_number} vérifié.|Hable con {person} en el {phone}.|Envíe su solicitud a {email}.|La señora {person} firma los contratos.|Mi dirección es {address}.|Saludos,\n{person}\n|DNI {id_number} en archivo.|"
+    "Fale com {person} pelo {phone}.|Mande o currículo para {email}.|Entregar em {address}, por favor.|Atenciosamente,\n{person}\n|Piga simu {phone} umuulize {person}.|Tuma barua kwa {email}.|Anwani yangu ni {address}.|Pasipoti {id_number} imekaguliwa.|{person} anapatikana kwa {phone}."
 ).split("|")
 PLAIN = (
-    "Ask for {given} at the desk; everybody knows them.|{w} & {w} Ltd bought the old mill from the {w} Brothers Group.|The office moved to Saint {w} near {w} Street station.|Ping @channel or @{group} when the build {d2}.10.0.{n} is out.|Pin the package at lib@{n}.7.{d3} and ship {w}@2x.png.|"
-    "Order no. {d2}-44-{d4} was closed on 2025-03-14 10:30.|Requisition R-{d3}-2025-{d4} replaces ticket {d4}{d3}.|Invoice {d4} covers {n} seats of {skill}.|Salaries run from 120 000 to 150 000 shillings before tax.|A Monte Carlo run of {n} rounds is described in section {n}.4.|"
-    "Grace period: {n} days; call centre hours 08:00 - 17:30.|Since the launch of {w}, our work on latency has doubled, so we are adding one role.|{w} | {skill} Engineer | Remote or {w} | Full-time|A desk by the window in {w}, stock options, and quiet Fridays.|Mention {w} in the subject so that {group} sees your letter.|"
-    "Between {w} and {w} the price of a {skill} hour differs by {n} percent.|{w} ({skill}, {skill}) is hiring for {group}, ask me anything|Tried {w} before? Same founders, new idea about churn.|The share of adverts with {skill} fell by {n} points after {w} closed its office.|Copied from the archive, lot {d4}.|"
-    "Move release tooling from {w} to {skill} without waking anybody at night.|If {w} is named as a past employer, ask about audit trails.|Review two changes a day, most of them in {skill}.|Nobody in the sample of {n} adverts mentioned {w}, which surprised the {group} panel.|Our {group} group has {n} people and wants a patient colleague.|"
-    "Tuma maombi yako mapema, tutajibu ndani ya siku {n}.|Vous gérez {n} projets et préparez les évolutions de la plateforme {w}.|Utafanya kazi na timu ya {group} mjini {w} na kusaidia wateja {n}.|Working knowledge of Power BI, Spring Boot or something close to it.|Looking for work: {n} years of {skill}, some Google Cloud, open to moving next spring.|"
-    "Node {w} elects a new leader when 2 of its {n} peers fail to answer the signal {w}.|Teach {group} how {skill} and {skill} fit together.|The ledger of {w} lists {n} parcels against the account {w}.|Keep {n} tests green while {group} changes the ground below them.|Travel to {w} is paid, as is a meal stipend.|"
-    "Adverts that ask for {skill} rose from {n} to {n} within a year.|Firms that hire nurses ask for {skill} more often than for Google Cloud.|Ask for one mistake with release tooling and what came of it.|People who pay well ask for Power BI first.|Teachers ask for Spring Boot more often than for {skill}.|The price of a {skill} hour differs by {n} percent.|"
-    "Ask for a sketch of {w} and give {n} minutes.|Stack is {skill}, {skill} and a bit of {skill}.|Half of our users are drivers; the other half are clinic managers, and both complain about churn.|We pay for stock options and hate long interview loops.|{skill} at an intermediate level, {skill} at any level."
+    "The {w} {w} Bridge closes at ten.|{w} {w} GmbH makes pumps for {w}.|We use {skill} and {skill} every day.|{skill} will be part of the test.|{skill} leads the list again.|Version {n}.{n}.{d2} fixes the {group} report.|Call us any time.|The {group} team meets in {w} on Monday.|Pay is {n} 000 to {n} 000 a year.|"
+    "Between {n} 000 and {n} 000 people saw it.|Room {d3} is free until 14:30.|Case {d4}-{d3} was reopened.|Case {d2}-{d2}-{d4} is shut.|Tracking code {d4} {d4} {d2}.|See page {n} of the {w} Report.|Founded in 19{d2} by two siblings from {w}.|The track from {w} to {w} is closed.|{w} Street Market opens early.|{given} left early.|Ask {given} about {skill}.|"
+    "{given} knows the door code.|Meet us at {w} Hall, second floor.|Follow @{group}jobs for news.|Import {group}@{n}.{n}.{n} from the registry.|Load icons@{n}x.png first, lib@{n}.{n}.{d3} last.|Swap {w}@{d1}x.png for {w}@3x.jpg.|Pictures such as {group}@2x.png are too big.|Used {w} once and liked it?|Host {w} picks port {d4}.|Order {d4}{d4} was shipped.|Ticket #{d4}{d3} is done.|Build {d4}{d4} passed.|Release {d2}.{n}.{n}.{d3} is live.|Batch {d3}-{d2}-{d4} was scrapped.|"
+    "Invoice total: {n}.{d2} for {n} units.|Between 2019 and 2024 demand for {skill} grew.|Senior {skill} Developer wanted in {w}.|{w} Analytics and {w} Networks merge.|Apply through {w} Careers, not by post.|Head of Data, {w}\n|Data Engineer at {w} {w} Ltd\n|Offices in New York, San Francisco and {w}|Black Friday brings {n} orders an hour.|"
+    "Lake {w} is close by.|Our {w} office is near {w} Station.|A flat near {w} {w} is cheap.|We grew up in {w} {w}.|The {w} Award went to the {group} group.|Kubernetes, Docker and {skill} are a plus.|{w}: {n} open posts\n|Deadline 12/0{d1}/2025, doors 2025-0{d1}-14 10:30.|A {n} x {n} grid, {d2} nodes.|Coordinates {n}.{d4}, {n}.{d4}.|"
+    "Open 09:00 - 17:00, closed on public holidays.|ISBN 978-3-{d2}-{d4}{d2}-1|Die Stelle in {w} ist ab sofort frei.|Wir suchen Verstärkung für {w} {w}.|Le poste est basé à {w}.|La oficina de {w} abre en mayo.|Nosso time em {w} cresce.|Kazi hii iko {w}.|Dear Hiring Manager,|Dear Sir or Madam,|Best Regards|Kind Regards|Human Resources, {w} {w} Group|"
+    "Equal Opportunity Employer|Full Stack Engineer|Machine Learning Engineer wanted|Product Owner, all genders|Visit {w}.example for more.|Take the {w} Line to {w} Park.|She said {skill} is easy.|Saint {w} lies on the coast.|{w} Brothers and {w} Group share a hall.|{w} & {w} Ltd owns a mill.|The {group} call centre opens at 08:00.|"
+    "{skill} Engineer | {w} | Full time\n|{w} | Remote | {skill}\n|Join {w} as {skill} Developer.|From {w} we ship to {w} and {w}.|{w} ({skill}, {skill}) looks for help.|Prices at {w} {w} fell by {n} percent.|Ask for the {skill} sheet.|Ask for {w} prices at the counter.|Node {w} talks to peer {w} over {skill}.|A Monte Carlo test of {n} rounds.|"
+    "People ask for {skill} first.|Many ask for {skill} these days.|Shops that want staff ask for {skill} nowadays.|Our stack: {skill}, {skill}, {skill}.|You bring {skill}, {skill} or some {skill}. Looking forward.|Everything here runs on {skill}, {skill} and {skill}.|{w} | {skill}, {skill}\n|The {w} train to {w} runs hourly.|THE {w} FAIR TO {w} RUNS {n} TIMES.|Some budget for billing tooling is left.|{w} ({skill}, {skill}) has an opening.|Some {skill} at any level, {skill} too.|A quiet corner where shelves meet {skill}.|Little fear of {skill}. {skill} helps.|Firms want Power BI, Spring Boot or Google Cloud.|Teams near {w} ask for {skill} as well as {skill}.|By {w} standards the pay is fair.|The manager {skill} plugin is old.|Mention of {w} was rare.|Contact with {w} was lost.|Project {w} ends in May.|After the launch of {w} we hired.|{w}, {w} and {w} have no office.|"
+    "Adverts that want {skill} went from {n} to {n}.|Firms that hire cooks ask for {skill} less than for {skill}.|Those who meet targets ask for {skill}.|They like R. Show them {skill} too.|Where the tables meet R. Change nothing.|Score {skill}, {skill} and speech alike.|Between {w} and {w} the rent differs by {n} percent.|If {w} is a past employer, say so.|"
+    "Deine Aufgaben|Unser Angebot|Gutes Deutsch in Wort und Schrift.|Sehr gute Kenntnisse in {skill} sind Pflicht.|Schlechte Witze mögen wir nicht.|Alte Zöpfe schneiden wir ab.|Lange Wege gibt es kaum.|Neue Ideen mögen wir sehr.|Meine Adresse steht unten.|Kurze Mails reichen uns.|Träge Abläufe ändern wir; wir fragen viel.|Große Pläne brauchen Zeit.|Leere Worte zählen nicht.|Die Pareto Regel hilft.|The {given} Principle sounds fine.|The {given} {w} Prize is small.|Gute Laune bringst du mit.|Flache Hierarchien und kurze Wege.|Abgeschlossenes Studium oder eine Ausbildung.|Mehrere Jahre Erfahrung mit {skill} wären schön.|Dein Team in {w} freut sich.|Faire Bezahlung, moderne Büros, freie Tage.|"
+    "Uma boa equipa, horário livre e seguro de saúde.|Procuramos alguém com experiência em {skill} e vontade de aprender.|O trabalho é remoto, com viagens a {w}.|Damos formação, almoço e um prémio no fim do ano.|Vais desenhar serviços e apoiar os clientes em {w}.|Condições justas e um caminho claro.|Regras de trabalho simples.|Há formas de trabalho para todos, caminho de casa incluído.|Um espelho de trabalho, um ninho de ideias.|"
+    "Tunatafuta fundi mwenye bidii na nia njema.|Kazi itaanza mwezi ujao mjini {w}.|Mafunzo hutolewa kazini kila wiki.|Utasaidia wateja {n} na kuandika ripoti.|Tutakujibu ndani ya siku {n}.|Uzoefu wa {skill} ni faida.|Unaweza kufanya kazi ukiwa nyumbani au ofisini.|"
+    "Buscamos una persona con ganas de aprender {skill}.|Ofrecemos horario flexible y un buen sueldo en {w}.|El equipo cuida de {n} clientes cada mañana.|Trabajo a distancia con visitas a {w}.|Il nous faut une personne curieuse pour {w}.|Vous aimez {skill} et le travail bien fait.|Horaires souples, bonne humeur et cantine.|Le travail commence lundi, sans essai.|"
+    "Account {d4} {d4} {d4} at {w}.|Number of rows: {d4}{d3}.|Section {n}.{n} on page {n}.|Salary {n}.{d3} to {n}.{d3} before tax.|{d3} {d3} {d3} rows in the table."
 ).split("|")
 
 
@@ -367,7 +432,7 @@ def models() -> dict[str, tuple[Boost, float]]:
     out = {}
     for k in KINDS:
         x, y, h = np.array(xs[k]), np.array(ys[k]), np.array(held[k])
-        b = Boost().fit(x[~h], y[~h])
+        b = Boost(rounds=90, depth=4).fit(x[~h], y[~h])
         out[k] = (b, best_threshold(b.probability(x[h]), y[h]))
     return out
 
