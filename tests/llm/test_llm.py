@@ -334,6 +334,12 @@ def test_restore_round_trip(spark):
         ("<p>Join {{company_name}} and help us grow.</p>", {"placeholder"}), ("<p>We render mail with {{ name }} style placeholders.</p>", set()), ("<pre>{{ .Values.x }} ${y}</pre><p>Real work.</p>", set()), ("Join undefined and help us grow.", {"placeholder"}), ("You write undefined-safe code.", set()),
         ("<p>Real words here.</p><p>Lorem ipsum dolor sit amet consectetur</p>", {"filler"}), ("You replace lorem ipsum in mock-ups with words.", set()), ("test test test", {"filler"}), ("Java and Java fit together.", set()),
         ("<h1>404 Not Found</h1><p>The page could not be found.</p>", {"error_page"}), ('{"error": {"code": 429}}', {"error_page"}), ("You need to enable JavaScript to run this app.", {"script_notice"}), ("Please enable JavaScript to see the apply button.", {"script_notice"}),
+        ("<h1>503 Service Unavailable</h1><p>The server is temporarily unable to service your request due to maintenance downtime or capacity problems. Please try again later. If the problem persists, contact the site administrator and give the reference and the time of your visit. Apache/2.4 Server at www.example.com Port 80</p>", {"error_page"}),
+        ("<p>Checking your browser before accessing example.com. This process is automatic. Your browser will redirect to your requested content shortly. Please turn JavaScript on and reload the page. DDoS protection by Cloudflare. Ray ID: 7f3a9c</p>", {"script_notice"}),
+        ("<p>We grow.</p><p>Cupcake ipsum dolor sit amet marshmallow topping. Chocolate bar tiramisu jelly beans candy canes gummi bears sweet roll. Caramels dessert lollipop toffee croissant biscuit.</p>", {"filler"}),
+        ("<p>Far far away, behind the word mountains, far from the countries Vokalia and Consonantia, there live the blind texts. Separated they live in Bookmarksgrove right at the coast of the Semantics, a large language river.</p>", {"filler"}),
+        ("<p>Dear {first_name}, thank you.</p>", {"placeholder"}), ("<p>We are based in [City] and grow.</p>", {"placeholder"}), ("See [City](http://x) and [[City]] for more.", set()), ("We are \\textbf{city} planners.", set()),
+        ("<p>You fix access denied errors and session expired bugs every day. You write Java and help our clients with reports. We pay well and the team is friendly.</p><ul><li>Java</li></ul>", set()),
         ("<p>" + "We write good software for farmers every day. " * 9 + "</p><noscript>Please enable JavaScript to see the apply button.</noscript>", set()), ("", set()), ("   ", set()),
     ],
 )
@@ -352,6 +358,17 @@ def test_labels_spread_through_components(spark):
     assert residue.find_residue(spark.createDataFrame([], "row_id bigint, description_html string")).count() == 0
 
 
+def test_simhash_tables_find_all_within_the_radius(spark):
+    rng = random.Random(4)
+    base = [rng.getrandbits(64) - 2**63 for _ in range(40)]
+    flip = lambda x, n: x ^ sum((1 << b) if b < 63 else -(1 << 63) for b in rng.sample(range(64), n))
+    other = [(i, flip(x, n), n) for i, x in enumerate(base) for n in (0, 1, 3, 9)]
+    a = spark.createDataFrame(list(enumerate(base)), "i int, l_fp bigint").withColumn("b", F.explode(simhash.block_keys(F.col("l_fp"))))
+    b = spark.createDataFrame(other, "j int, fp bigint, n int").withColumn("b", F.explode(simhash.block_keys(F.col("fp"))))
+    found = {(r.j, r.n) for r in a.join(b, "b").where("i = j").where(simhash.hamming(F.col("fp"), F.col("l_fp")) <= simhash.RADIUS).collect()}
+    assert found == {(i, n) for i, _, n in other if n <= simhash.RADIUS}
+
+
 def test_labels_reach_every_similar_unit_like_brute_force(spark):
     r = random.Random(7)
     units = {}
