@@ -93,7 +93,7 @@ def test_components(spark):
     ],
 )
 def test_markup(text, want):
-    _, clean, h, i, c, f = markup.summary(text)
+    _, clean, h, i, c, f, *_ = markup.summary(text)
     assert (h, i, c, f, markup.NOT_LETTERS.sub("", clean)) == want
 
 
@@ -114,9 +114,26 @@ def test_convert_edges(spark):
     assert got == [(1, 0), (1, 0), (4, 1)] and markup.convert(df.limit(0)).count() == 0
 
 
+def test_roles_of_unmarked_lines():
+    long = "We write good software for farmers and their many animals every single day."
+    link = "<p><a href='http://x'>{}</a></p>"
+    text = "".join(link.format(w) for w in ("Home", "Jobs", "About us")) + f"<p>{long}</p><p>Your tasks</p><p>{long}</p><p>See <a href='http://x'>our page</a>.</p><ul><li><a href='#'>One</a></li><li><a href='#'>Two</a></li><li>{long}</li></ul>"
+    roles = [r for r, _ in markup.parse(text)[1]]
+    assert roles == ["nav", "nav", "nav", "text", "label", "text", "text", "nav_item", "nav_item", "item"]
+    assert markup.summary(text)[3] == 3 and markup.summary(text)[6:] == (1, 5)
+
+
 def test_tree_learns_its_table():
     t = markup.role_tree()
-    assert all(t.label(markup.features(*b[:5])) == b[-1] for b in markup.BLOCKS)
+    assert all(t.label(markup.features(*b[:-1])) == b[-1] for b in markup.BLOCKS)
+    used, nodes = set(), [t.root]
+    while nodes:
+        node = nodes.pop()
+        if not isinstance(node, str):
+            used.add(markup.FEATURES[node[0]])
+            nodes += node[2:]
+    print(t.root)
+    assert {"words", "density", "words_before", "words_after", "density_before"} <= used or {"words", "density", "words_before", "words_after", "density_after"} <= used
     assert Tree().fit([[0], [1], [2], [3]], ["a", "a", "b", "b"]).label([2.7]) == "b"
 
 

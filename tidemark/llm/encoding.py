@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +15,14 @@ from tidemark.runtime import checkpoint
 
 # Encodings in which UTF-8 bytes get read by mistake.
 CODECS = ("cp1252", "latin-1", "cp1251", "mac_roman", "cp437", "cp850", "cp1250", "iso8859_15", "koi8_r")
-#: One wrong reading, or two after each other.
-CHAINS = [(c,) for c in CODECS] + [(a, b) for a in CODECS[:2] for b in CODECS[:2]] + [(c, c) for c in CODECS[2:]]
-#: Longer words get no garbled forms of their own; their characters are still looked up.
-MAX_WORD = 80
+#: One wrong reading, or any two after each other; of several that give one form the first counts.
+CHAINS = [(c,) for c in CODECS]
+CHAINS += [(a, b) for a in CODECS[:2] for b in CODECS[:2]] + [(c, c) for c in CODECS[2:]]
+CHAINS += [(a, b) for a in CODECS for b in CODECS if (a, b) not in CHAINS]
+#: Characters that one character is at most after two wrong readings, each of which makes up to four, or three of those that one makes.
+LONGEST_SIGN = 12
+#: What Spark's xxhash64 starts from.
+SEED = 42
 LETTERS = r"\x{80}-\x{10FFFF}A-Za-z"
 TOKEN_JAVA = rf"(?<![{LETTERS}])[A-Za-z]*[\x{{80}}-\x{{10FFFF}}][{LETTERS}]*"
 TOKEN = re.compile("[A-Za-z]*[\x80-\U0010ffff][\x80-\U0010ffffA-Za-z]*")
@@ -66,28 +71,53 @@ def _words(texts: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(texts, F.lit(TOKEN_JAVA), F.lit(0)))
 
 
+def forms_of(word: str) -> Iterator[tuple[int, str]]:
+    """(number of the chain, garbled form) of a word, under all chains."""
+    once = {codec: garble(word, (codec,)) for codec in CODECS}
+    for n, chain in enumerate(CHAINS):
+        form = once[chain[0]] if len(chain) == 1 else once[chain[0]] and garble(once[chain[0]], chain[1:])
+        if form and form != word:
+            yield n, form
+
+
+def _hash(text: str) -> int:
+    """The hash that Spark's xxhash64 gives."""
+    h = xxhash.xxh64_intdigest(text.encode(), SEED)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
-        for word in pdf.word:
-            for n, chain in enumerate(CHAINS if len(word) <= MAX_WORD else ()):
-                form = garble(word, chain)
-                if form and form != word:
-                    rows.append((form, n, word))
-        yield pd.DataFrame(rows, columns=["word", "chain", "original"])
+        rows = [(_hash(form), n, word) for word in pdf.word for n, form in forms_of(word)]
+        yield pd.DataFrame(rows, columns=["hash", "chain", "original"])
 
 
-def _by_sign(signs: dict[str, str]):
-    """Words whose garbled signs are put right one by one, longest first."""
-    pattern = re.compile("|".join(re.escape(s) for s in sorted(signs, key=lambda s: (-len(s), s))) or r"(?!)")
+def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What met by its hash and really is the garbled form."""
+    for pdf in batches:
+        yield pdf[[garble(o, CHAINS[n]) == w for w, n, o in zip(pdf.word, pdf.chain, pdf.original, strict=True)]]
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fixed = [pattern.sub(lambda m: signs[m.group()], w) for w in pdf.word]
-            out = pd.DataFrame({"word": pdf.word, "original": fixed})
-            yield out[out.word != out.original]
+def _signs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame([(form, n, c) for c in pdf.word for n, form in forms_of(c)], columns=["part", "chain", "sign"])
+
+
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = {(w, w[i : i + n]) for w in pdf.word for i in range(len(w)) if w[i] > "\x7f" for n in range(2, min(LONGEST_SIGN, len(w) - i) + 1)}
+        yield pd.DataFrame(sorted(rows), columns=["word", "part"])
 
-    return run
+
+def _put_right(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words whose garbled signs are put right one by one, longest first."""
+    for pdf in batches:
+        fixed = []
+        for word, parts, signs in zip(pdf.word, pdf.parts, pdf.signs, strict=True):
+            known = dict(zip(parts, signs, strict=True))
+            pattern = re.compile("|".join(re.escape(s) for s in sorted(known, key=lambda s: (-len(s), s))))
+            fixed.append(pattern.sub(lambda m, known=known: known[m.group()], word))
+        yield pd.DataFrame({"word": pdf.word, "original": fixed})
 
 
 def _substitute(texts: pd.Series, words: pd.Series, originals: pd.Series) -> pd.Series:
@@ -103,9 +133,9 @@ def restore_encoding(rows: DataFrame, fields: list[str]) -> DataFrame:
 
     Every distinct word of the corpus with a character beyond ASCII that can't itself be a wrong
     reading is clean; all its garbled forms under all chains of encodings make a table, which the
-    suspicious words of the texts are joined with. Suspicious words that the corpus doesn't hold
-    clean are put right sign by sign with the garbled forms of the clean words' characters (an
-    alphabet, so bounded, goes to the tasks for that). `restored` is null where replacement
+    suspicious words of the texts are joined with by hash; what meets is verified. Suspicious words
+    that the corpus doesn't hold clean are put right sign by sign: their parts are joined with the
+    garbled forms of the clean words' characters. `restored` is null where replacement
     characters show that something is lost for good.
 
     Null and plain ASCII fields are never touched; repeated rows give repeated results; other columns
@@ -120,17 +150,14 @@ def restore_encoding(rows: DataFrame, fields: list[str]) -> DataFrame:
     )
     clean, odd = words.where("not odd").select("word"), words.where("odd").select("word")
     odd = odd.where(F.col("word").rlike(suspect().pattern))
-    forms = clean.mapInPandas(_forms, "word string, chain int, original string").join(odd, "word", "left_semi")
-    by_word = forms.groupBy("word").agg(F.min_by("original", F.struct("chain", "original")).alias("original"))
-    by_word = checkpoint(by_word)
-    alphabet = [r[0] for r in clean.select(F.explode(F.split("word", "")).alias("c")).where(F.ascii("c") > 127).distinct().collect()]
-    signs: dict[str, str] = {}
-    for chain in CHAINS:
-        for c in sorted(alphabet):
-            form = garble(c, chain)
-            if form and form != c:
-                signs.setdefault(form, c)
-    by_sign = odd.join(by_word, "word", "left_anti").mapInPandas(_by_sign(signs), "word string, original string")
+    met = clean.mapInPandas(_forms, "hash bigint, chain int, original string").join(odd.withColumn("hash", F.xxhash64("word")), "hash").select("word", "chain", "original")
+    forms = met.mapInPandas(_verified, "word string, chain int, original string")
+    by_word = checkpoint(forms.groupBy("word").agg(F.min_by("original", F.struct("chain", "original")).alias("original")))
+    alphabet = clean.select(F.explode(F.split("word", "")).alias("word")).where(F.ascii("word") > 127).distinct()
+    signs = alphabet.mapInPandas(_signs, "part string, chain int, sign string").groupBy("part").agg(F.min_by("sign", F.struct("chain", "sign")).alias("sign"))
+    held = odd.join(by_word, "word", "left_anti").mapInPandas(_parts, "word string, part string").join(signs, "part")
+    held = held.groupBy("word").agg(F.collect_list(F.struct("part", "sign")).alias("known")).select("word", F.col("known.part").alias("parts"), F.col("known.sign").alias("signs"))
+    by_sign = held.mapInPandas(_put_right, "word string, original string")
     fixes = by_word.unionByName(by_sign)
 
     # only the words beyond ASCII are looked at, a small part of the texts

@@ -1,7 +1,8 @@
 """HTML, Markdown, wiki and LaTeX texts to clean text with their structure kept.
 
 A text is cut into flat blocks, each with its markup cue, word count, link density and those of its
-neighbours; a decision tree trained on the small table BLOCKS names each block's role.
+neighbours; a decision tree trained on the small table BLOCKS names each block's role. Whatever the
+role, the block's text is kept.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,16 +23,21 @@ from tidemark.llm.tree import Tree
 from tidemark.runtime import spread
 
 CUES = ("none", "heading", "item", "bullet", "code", "formula", "cell")
-#: Labelled blocks: cue, words, link density, words of the block before and after, role.
+#: Labelled blocks: cue, words, link density, words of the block before and after, link density of the block before and after, role.
+#: `label` is a short line that stands over what follows without being marked as a heading, `nav` and
+#: `nav_item` are links among links, `table` is a cell of a grid of short values.
 BLOCKS = [
-    ("heading", 2, 0.0, 40, 30, "heading"), ("heading", 3, 0.0, 0, 12, "heading"), ("heading", 4, 0.0, 9, 8, "heading"), ("heading", 1, 0.0, 25, 0, "heading"),
-    ("heading", 2, 1.0, 14, 33, "heading"), ("heading", 12, 0.0, 30, 30, "heading"), ("heading", 0, 0.0, 20, 20, "empty"), ("heading", 0, 0.0, 0, 3, "empty"),
-    ("item", 9, 0.0, 2, 12, "item"), ("item", 14, 0.1, 9, 10, "item"), ("item", 3, 1.0, 3, 3, "item"), ("item", 30, 0.0, 12, 0, "item"), ("item", 0, 0.0, 8, 8, "empty"), ("item", 0, 0.0, 2, 2, "empty"),
-    ("bullet", 8, 0.0, 2, 9, "item"), ("bullet", 15, 0.1, 8, 9, "item"), ("bullet", 1, 0.0, 6, 2, "item"), ("bullet", 0, 0.0, 5, 5, "empty"),
-    ("code", 12, 0.0, 20, 20, "code"), ("code", 40, 0.0, 2, 3, "code"), ("code", 3, 0.0, 30, 4, "code"), ("code", 0, 0.0, 20, 20, "empty"),
-    ("formula", 5, 0.0, 20, 2, "formula"), ("formula", 1, 0.0, 4, 5, "formula"), ("formula", 9, 0.0, 0, 0, "formula"), ("formula", 0, 0.0, 6, 6, "empty"),
-    ("cell", 1, 0.0, 2, 2, "text"), ("cell", 2, 0.0, 1, 20, "text"), ("cell", 0, 0.0, 2, 2, "empty"),
-    ("none", 40, 0.05, 2, 3, "text"), ("none", 12, 0.0, 3, 9, "text"), ("none", 2, 0.0, 30, 12, "text"), ("none", 4, 1.0, 4, 4, "text"), ("none", 90, 0.0, 0, 0, "text"), ("none", 0, 0.0, 10, 10, "empty"),
+    ("heading", 2, 0.0, 40, 30, 0.0, 0.0, "heading"), ("heading", 3, 0.0, 0, 12, 0.0, 0.0, "heading"), ("heading", 4, 0.0, 9, 8, 0.1, 0.0, "heading"), ("heading", 1, 0.0, 25, 0, 0.0, 0.0, "heading"),
+    ("heading", 2, 1.0, 14, 33, 0.0, 0.1, "heading"), ("heading", 12, 0.0, 30, 30, 0.0, 0.0, "heading"), ("heading", 3, 1.0, 2, 2, 1.0, 1.0, "heading"), ("heading", 0, 0.0, 20, 20, 0.0, 0.0, "empty"), ("heading", 0, 0.0, 0, 3, 0.0, 0.0, "empty"),
+    ("item", 9, 0.0, 2, 12, 0.0, 0.0, "item"), ("item", 14, 0.1, 9, 10, 0.0, 0.1, "item"), ("item", 3, 1.0, 14, 12, 0.0, 0.0, "item"), ("item", 3, 1.0, 4, 4, 0.0, 0.0, "item"), ("item", 2, 1.0, 5, 9, 0.0, 0.0, "item"), ("item", 30, 0.0, 12, 0, 0.0, 0.0, "item"), ("item", 2, 0.0, 2, 2, 0.0, 0.0, "item"), ("item", 5, 0.2, 3, 3, 1.0, 1.0, "item"),
+    ("item", 1, 1.0, 1, 2, 1.0, 1.0, "nav_item"), ("item", 2, 1.0, 0, 3, 0.0, 1.0, "nav_item"), ("item", 3, 1.0, 2, 30, 1.0, 0.0, "nav_item"), ("item", 4, 0.9, 3, 2, 0.9, 1.0, "nav_item"), ("item", 0, 0.0, 8, 8, 0.0, 0.0, "empty"), ("item", 0, 0.0, 2, 2, 0.0, 0.0, "empty"),
+    ("bullet", 8, 0.0, 2, 9, 0.0, 0.0, "item"), ("bullet", 15, 0.1, 8, 9, 0.1, 0.0, "item"), ("bullet", 1, 0.0, 6, 2, 0.0, 0.0, "item"), ("bullet", 2, 1.0, 2, 2, 1.0, 1.0, "nav_item"), ("bullet", 0, 0.0, 5, 5, 0.0, 0.0, "empty"),
+    ("code", 12, 0.0, 20, 20, 0.0, 0.0, "code"), ("code", 40, 0.0, 2, 3, 0.0, 0.0, "code"), ("code", 3, 0.0, 30, 4, 0.0, 0.0, "code"), ("code", 0, 0.0, 20, 20, 0.0, 0.0, "empty"),
+    ("formula", 5, 0.0, 20, 2, 0.0, 0.0, "formula"), ("formula", 1, 0.0, 4, 5, 0.0, 0.0, "formula"), ("formula", 9, 0.0, 0, 0, 0.0, 0.0, "formula"), ("formula", 0, 0.0, 6, 6, 0.0, 0.0, "empty"),
+    ("cell", 1, 0.0, 2, 2, 0.0, 0.0, "table"), ("cell", 2, 0.0, 1, 3, 0.0, 0.0, "table"), ("cell", 5, 0.0, 4, 4, 0.0, 0.0, "table"), ("cell", 40, 0.0, 2, 60, 0.0, 0.1, "text"), ("cell", 25, 0.1, 30, 2, 0.0, 0.0, "text"), ("cell", 0, 0.0, 2, 2, 0.0, 0.0, "empty"),
+    ("none", 40, 0.05, 2, 3, 0.0, 0.0, "text"), ("none", 12, 0.0, 3, 9, 0.0, 0.0, "text"), ("none", 90, 0.0, 0, 0, 0.0, 0.0, "text"), ("none", 24, 0.2, 1, 25, 1.0, 0.0, "text"), ("none", 4, 1.0, 40, 30, 0.0, 0.0, "text"), ("none", 13, 0.0, 2, 2, 1.0, 0.0, "text"), ("none", 20, 0.0, 30, 2, 0.0, 1.0, "text"), ("none", 6, 0.0, 1, 1, 1.0, 1.0, "text"), ("none", 9, 0.3, 2, 3, 1.0, 1.0, "text"), ("none", 3, 0.7, 13, 2, 0.0, 1.0, "text"), ("none", 3, 0.7, 20, 13, 0.0, 0.0, "text"), ("none", 4, 1.0, 12, 14, 0.0, 0.0, "text"), ("none", 2, 1.0, 3, 4, 0.0, 0.0, "text"), ("none", 3, 0.5, 33, 0, 0.0, 0.0, "text"), ("none", 5, 0.0, 30, 0, 0.0, 0.0, "text"), ("none", 6, 0.0, 2, 2, 0.0, 0.0, "text"), ("none", 3, 0.0, 12, 1, 0.0, 0.0, "text"), ("none", 0, 0.0, 10, 10, 0.0, 0.0, "empty"),
+    ("none", 2, 0.0, 30, 12, 0.0, 0.0, "label"), ("none", 3, 0.0, 22, 40, 0.0, 0.1, "label"), ("none", 1, 0.0, 0, 18, 0.0, 0.0, "label"), ("none", 4, 0.0, 45, 9, 0.1, 0.0, "label"),
+    ("none", 1, 1.0, 2, 1, 1.0, 1.0, "nav"), ("none", 2, 1.0, 0, 2, 0.0, 1.0, "nav"), ("none", 3, 1.0, 3, 40, 1.0, 0.0, "nav"), ("none", 8, 0.9, 4, 2, 1.0, 0.9, "nav"), ("none", 2, 0.8, 2, 2, 0.7, 1.0, "nav"),
 ]
 
 TAGS = (
@@ -299,16 +306,20 @@ WORD = re.compile(r"\w+")
 
 @lru_cache(1)
 def role_tree() -> Tree:
-    return Tree().fit([features(c, w, d, p, n) for c, w, d, p, n, _ in BLOCKS], [b[-1] for b in BLOCKS])
+    return Tree(max_depth=12).fit([features(*b[:-1]) for b in BLOCKS], [b[-1] for b in BLOCKS])
 
 
-def features(cue: str, words: int, density: float, before: int, after: int) -> list[float]:
-    return [float(cue == c) for c in CUES] + [words, density, before, after]
+#: The features of a block, in the order of `features`.
+FEATURES = (*CUES, "words", "density", "words_before", "words_after", "density_before", "density_after")
+
+
+def features(cue: str, words: int, density: float, before: int, after: int, density_before: float, density_after: float) -> list[float]:
+    return [float(cue == c) for c in CUES] + [words, density, before, after, density_before, density_after]
 
 
 @lru_cache(1 << 16)
-def role_of(cue: str, words: int, tenths: int, before: int, after: int) -> str:
-    return role_tree().label(features(cue, words, tenths / 10, before, after))
+def role_of(cue: str, words: int, tenths: int, before: int, after: int, tenths_before: int, tenths_after: int) -> str:
+    return role_tree().label(features(cue, words, tenths / 10, before, after, tenths_before / 10, tenths_after / 10))
 
 
 def parse(text: str) -> tuple[str, list[tuple[str, str]]] | None:
@@ -328,23 +339,21 @@ def parse(text: str) -> tuple[str, list[tuple[str, str]]] | None:
             n = 1  # its text is in the next block
         counts.append(n)
         linked.append(sum(len(WORD.findall(x)) for x in t.split(LINK)[1::2]) if LINK in t else 0)
-    out = []
-    for i, (cue, t) in enumerate(raw):
-        n = counts[i]
-        role = role_of(cue, min(n, 100), round(10 * min(1.0, linked[i] / n)) if n else 0, min(counts[i - 1], 50) if i else 0, min(counts[i + 1], 50) if i + 1 < len(raw) else 0)
-        out.append((role, t.replace(LINK, "")))
-    return kind, out
+    tenths = [0, *(round(10 * min(1.0, k / n)) if n else 0 for k, n in zip(linked, counts, strict=True)), 0]
+    words = [0, *(min(n, 50) for n in counts), 0]
+    roles = [role_of(cue, min(counts[i], 100), tenths[i + 1], words[i], words[i + 2], tenths[i], tenths[i + 2]) for i, (cue, _) in enumerate(raw)]
+    return kind, [(role, t.replace(LINK, "")) for role, (_, t) in zip(roles, raw, strict=True)]
 
 
 def summary(text: str) -> tuple | None:
-    """(markup, clean text, headings, items, code blocks, formulas) or None."""
+    """(markup, clean text, headings, items, code blocks, formulas, labels, links of navigation) or None."""
     got = parse(text)
     if got is None:
         return None
     kind, blocks = got
-    roles = [r for r, _ in blocks]
+    n = Counter(r for r, _ in blocks)
     clean = "\n".join(t for _, t in blocks)
-    return kind, clean, roles.count("heading"), roles.count("item"), roles.count("code"), roles.count("formula")
+    return kind, clean, n["heading"], n["item"] + n["nav_item"], n["code"], n["formula"], n["label"], n["nav"] + n["nav_item"]
 
 
 NOT_LETTERS = re.compile("[^A-Za-z0-9]+")
@@ -355,15 +364,16 @@ def letters_digest(clean: str) -> str:
 
 
 def convert(rows: DataFrame, text_col: str = "description_html", id_col: str = "row_id", keep_text: bool = True) -> DataFrame:
-    """(row_id, markup, n_headings, n_items, n_code, n_formulas, letters_md5[, text]) of each text with markup.
+    """(row_id, markup, n_headings, n_items, n_code, n_formulas, n_labels, n_nav, letters_md5[, text]) of each text with markup.
 
     Blocks come out in order, a line each in `text`; headings, list entries without their numbers,
     table cells, code and the source of formulas are kept, tags, attributes, link targets, commands,
-    comments, scripts and styles are not. Null and empty texts and texts without markup give no row.
+    comments, scripts and styles are not. `n_labels` counts short lines that stand over what follows
+    without being marked as headings, `n_nav` the blocks that are links among links. Null and empty texts and texts without markup give no row.
     Whole texts are read, however long; damaged markup is read as far as it goes. Repeated rows give
     repeated results; other columns don't matter.
     """
-    fields = f"{id_col} bigint, markup string, n_headings int, n_items int, n_code int, n_formulas int, letters_md5 string" + ", text string" * keep_text
+    fields = f"{id_col} bigint, markup string, n_headings int, n_items int, n_code int, n_formulas int, n_labels int, n_nav int, letters_md5 string" + ", text string" * keep_text
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in fields.split(", ")]

@@ -6,7 +6,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -179,25 +178,76 @@ def compare(a: tuple[list[str], str], b: tuple[list[str], str]) -> tuple[str, in
             return _joined(ca, cb) if not lossy else None
         d = min(token_edits(short[0], w) for w in long if not is_given(w) and not is_initial(w)) if any(not is_given(w) and not is_initial(w) for w in long) else 9
         return ("lossy", d) if d <= 1 else None
-    best = None
-    for order in permutations(cb) if len(cb) <= 5 else (tuple(cb),):
-        total, initials, whole = 0, 0, 0
-        for x, y in zip(ca, order, strict=True):
-            if is_initial(x) != is_initial(y):
-                if x[0] != y[0]:
-                    total = 99
-                initials += 1
-            else:
-                total += token_edits(x, y)
-                whole += not is_initial(x) and not (is_given(x) and is_given(y))
-        if total <= MAX_EDITS and whole and (best is None or (initials, total) < best):
-            best = (initials, total)
+    best = matched(ca, cb)
     if best is None or best[1] > (MAX_EDITS if sum(map(len, ca)) >= 14 else 2):
         return None
     # an initial and a missing sector together count like three more edits: they only win where nothing else fits
     return ("lossy" if lossy or best[0] else "full", best[1] + 3 * (lossy and best[0] > 0))
 
 
+#: What a pair of words that can't stand for each other costs, and what an initial does, in edits.
+NEVER, INITIAL_COST = 10**6, 10**3
+
+
+def matched(ca: list[str], cb: list[str]) -> tuple[int, int] | None:
+    """(initials, edits) of the cheapest one-to-one pairing of the words in any order, fewest initials first; None where none will do.
+
+    One pair at least must be of whole words that aren't both given names.
+    """
+
+    def cost(x: str, y: str) -> int:
+        if is_initial(x) != is_initial(y):
+            return INITIAL_COST if x[0] == y[0] else NEVER
+        d = token_edits(x, y)
+        return d if d <= MAX_EDITS else NEVER
+
+    table = [[cost(x, y) for y in cb] for x in ca]
+    telling = [(i, j) for i, x in enumerate(ca) for j, y in enumerate(cb) if not is_initial(x) and not is_initial(y) and not (is_given(x) and is_given(y)) and table[i][j] < NEVER]
+    best = None
+    for pairs in ([cheapest(table)] if len(ca) > 1 else [[0]]):
+        if not any((i, j) in set(telling) for i, j in enumerate(pairs)):
+            # the cheapest pairing has no telling pair: the cheapest with each one fixed
+            tries = [[*p[:i], j, *p[i:]] for i, j in telling for p in [[k + (k >= j) for k in cheapest([[c for y, c in enumerate(row) if y != j] for x, row in enumerate(table) if x != i])]]]
+        else:
+            tries = [pairs]
+        for t in tries:
+            total = sum(table[i][j] for i, j in enumerate(t))
+            if total < NEVER and total % INITIAL_COST <= MAX_EDITS and (best is None or total < best):
+                best = total
+    return None if best is None else divmod(best, INITIAL_COST)
+
+
+def cheapest(table: list[list[int]]) -> list[int]:
+    """The column of each row in the one-to-one assignment with the least sum (shortest augmenting paths)."""
+    n = len(table)
+    u, v, row_of = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    for i in range(1, n + 1):
+        row_of[0], j, way, least, used = i, 0, [0] * (n + 1), [float("inf")] * (n + 1), [False] * (n + 1)
+        while row_of[j]:
+            used[j], r, nearest, step = True, row_of[j], 0, float("inf")
+            for k in range(1, n + 1):
+                if not used[k]:
+                    d = table[r - 1][k - 1] - u[r] - v[k]
+                    if d < least[k]:
+                        least[k], way[k] = d, j
+                    if least[k] < step:
+                        step, nearest = least[k], k
+            for k in range(n + 1):
+                if used[k]:
+                    u[row_of[k]] += step
+                    v[k] -= step
+                else:
+                    least[k] -= step
+            j = nearest
+        while j:
+            row_of[j] = row_of[way[j]]
+            j = way[j]
+    out = [0] * n
+    for j in range(1, n + 1):
+        out[row_of[j] - 1] = j - 1
+    return out
+
+
 def _joined(ca: list[str], cb: list[str]) -> tuple[str, int] | None:
     """Names whose words are run together or torn apart."""
     d = edits("".join(ca), "".join(cb), 2)
@@ -231,13 +281,13 @@ def rewritings(core: list[str]) -> set[str]:
     """
     out = set()
     for i, w in enumerate(core):
-        if len(w) < 3 or (is_given(w) and len(core) > 1):
+        if is_initial(w) or (is_given(w) and len(core) > 1):
             continue
         rest = core[:i] + core[i + 1 :]
         marks = {"".join(sorted(r[0] for r in rest)) if rest else "*"}
         if len(rest) == 1 and (is_given(rest[0]) or is_initial(rest[0])):
             marks.add("*")
-        out |= {f"{d}|{m}" for d in deletion_forms(w, len(w) >= 7) for m in marks}
+        out |= {f"{d}|{m}" for d in (deletion_forms(w, len(w) >= 7) if len(w) > 2 else {w}) for m in marks}
     if len(core) != 1:
         out |= {f"{d}|*" for d in deletion_forms("".join(core), False)}
     return out
@@ -258,8 +308,8 @@ def _exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     split = lambda key: (key.rpartition("|")[0].split(" "), key.rpartition("|")[2])
     for pdf in batches:
-        rows = [(a, b, *c) for a, b in zip(pdf.a, pdf.b, strict=True) if (c := compare(split(a), split(b)))]
-        yield pd.DataFrame(rows, columns=["a", "b", "how", "edits"])
+        rows = [(a, b, n, *c) for a, b, n in zip(pdf.a, pdf.b, pdf.shared_by, strict=True) if (c := compare(split(a), split(b)))]
+        yield pd.DataFrame(rows, columns=["a", "b", "shared_by", "how", "edits"])
 
 
 def link_names(rows: DataFrame, column: str = "company") -> DataFrame:
@@ -270,7 +320,7 @@ def link_names(rows: DataFrame, column: str = "company") -> DataFrame:
     what meets is compared. Full matches make components. A key that a lossy rewriting leads to others
     (initial, missing sector or given name) joins them only if that rewriting is rare: all its partners
     lie in one entity; if they lie in several, it stays apart, as do names without letters. Of several
-    entities those with the fewest edits count. Spellings, not rows, are joined, so a name that a third
+    entities those with the fewest edits count, among these those met by the rewriting that the fewest keys share. Spellings, not rows, are joined, so a name that a third
     of all rows bear is one spelling.
 
     Empty and blank spellings are each their own entity. Empty tables give an empty result.
@@ -280,22 +330,26 @@ def link_names(rows: DataFrame, column: str = "company") -> DataFrame:
     keys = parsed.groupBy("key").agg(F.first("core").alias("core")).where(F.col("key").rlike(r"[^|\s]"))
     forms = checkpoint(spread(keys).mapInPandas(_exploded, "form string, key string"))
     left, right = forms.withColumnRenamed("key", "a"), forms.withColumnRenamed("key", "b")
-    pairs = left.join(right, "form").where("a < b").select("a", "b").distinct()
-    links = checkpoint(spread(pairs).mapInPandas(_compared, "a string, b string, how string, edits int"))
+    # a rewriting tells the more the fewer keys share it; a pair counts with the rarest it shares
+    spread_of = forms.groupBy("form").agg(F.count("*").alias("shared_by")).where("shared_by > 1")
+    left = left.join(spread_of, "form")
+    pairs = left.join(right, "form").where("a < b").groupBy("a", "b").agg(F.min("shared_by").alias("shared_by"))
+    links = checkpoint(spread(pairs).mapInPandas(_compared, "a string, b string, shared_by bigint, how string, edits int"))
     whole = components(links.where("how = 'full'"))
     entity = keys.select("key").join(whole.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("entity"))
     entity = checkpoint(entity)
 
     # lossy links between entities: the entity with less said joins the one that says more, if that one is alone
     lossy = links.where("how = 'lossy'")
-    both = lossy.select("a", "b", "edits").union(lossy.select(F.col("b").alias("a"), F.col("a").alias("b"), "edits"))
+    score = F.struct("edits", "shared_by").alias("score")
+    both = lossy.select("a", "b", score).union(lossy.select(F.col("b").alias("a"), F.col("a").alias("b"), score))
     told = F.length(F.regexp_replace("key", r"\b\w\b", ""))
     ends = both.join(entity.select(F.col("key").alias("a"), F.col("entity").alias("ea")), "a").join(entity.select(F.col("key").alias("b"), F.col("entity").alias("eb")), "b")
     size = entity.groupBy("entity").agg(F.max(told).alias("told"))
-    ends = ends.where("ea <> eb").groupBy("ea", "eb").agg(F.min("edits").alias("edits"))
+    ends = ends.where("ea <> eb").groupBy("ea", "eb").agg(F.min("score").alias("score"))
     ends = ends.join(size.select(F.col("entity").alias("ea"), F.col("told").alias("ta")), "ea").join(size.select(F.col("entity").alias("eb"), F.col("told").alias("tb")), "eb").where("ta < tb or (ta = tb and ea < eb)")
-    least = ends.groupBy("ea").agg(F.min("edits").alias("least"))
-    near = checkpoint(ends.join(least, "ea").where("edits = least"))
+    least = ends.groupBy("ea").agg(F.min("score").alias("least"))
+    near = checkpoint(ends.join(least, "ea").where("score = least"))
     # partners that are themselves only poorer spellings of another partner don't count as a second entity
     poorer = ends.select(F.col("ea").alias("eb"), F.col("eb").alias("ec"))
     led = near.join(poorer, "eb").join(near.select("ea", F.col("eb").alias("ec")), ["ea", "ec"]).select("ea", "eb").distinct()

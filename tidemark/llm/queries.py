@@ -21,7 +21,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return convert(table(spark, sf_dir, "jobs"), keep_text=False).drop("markup")
+    return convert(table(spark, sf_dir, "jobs"), keep_text=False).drop("markup", "n_labels", "n_nav")
+
+
+def p3_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tree tells apart beyond the markup's own cues."""
+    return convert(table(spark, sf_dir, "jobs"), keep_text=False).select("row_id", "markup", "n_labels", "n_nav")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +61,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_roles": p3_roles, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 SQL = {
     "p5_found": r"""
