@@ -37,7 +37,7 @@ BLOCKS = [
     ("cell", 1, 0.0, 2, 2, 0.0, 0.0, "table"), ("cell", 2, 0.0, 1, 3, 0.0, 0.0, "table"), ("cell", 5, 0.0, 4, 4, 0.0, 0.0, "table"), ("cell", 40, 0.0, 2, 60, 0.0, 0.1, "text"), ("cell", 25, 0.1, 30, 2, 0.0, 0.0, "text"), ("cell", 0, 0.0, 2, 2, 0.0, 0.0, "empty"),
     ("none", 40, 0.05, 2, 3, 0.0, 0.0, "text"), ("none", 12, 0.0, 3, 9, 0.0, 0.0, "text"), ("none", 90, 0.0, 0, 0, 0.0, 0.0, "text"), ("none", 24, 0.2, 1, 25, 1.0, 0.0, "text"), ("none", 4, 1.0, 40, 30, 0.0, 0.0, "text"), ("none", 13, 0.0, 2, 2, 1.0, 0.0, "text"), ("none", 20, 0.0, 30, 2, 0.0, 1.0, "text"), ("none", 6, 0.0, 1, 1, 1.0, 1.0, "text"), ("none", 9, 0.3, 2, 3, 1.0, 1.0, "text"), ("none", 3, 0.7, 13, 2, 0.0, 1.0, "text"), ("none", 3, 0.7, 20, 13, 0.0, 0.0, "text"), ("none", 4, 1.0, 12, 14, 0.0, 0.0, "text"), ("none", 2, 1.0, 3, 4, 0.0, 0.0, "text"), ("none", 3, 0.5, 33, 0, 0.0, 0.0, "text"), ("none", 5, 0.0, 30, 0, 0.0, 0.0, "text"), ("none", 6, 0.0, 2, 2, 0.0, 0.0, "text"), ("none", 3, 0.0, 12, 1, 0.0, 0.0, "text"), ("none", 0, 0.0, 10, 10, 0.0, 0.0, "empty"),
     ("none", 2, 0.0, 30, 12, 0.0, 0.0, "label"), ("none", 3, 0.0, 22, 40, 0.0, 0.1, "label"), ("none", 1, 0.0, 0, 18, 0.0, 0.0, "label"), ("none", 4, 0.0, 45, 9, 0.1, 0.0, "label"),
-    ("none", 1, 1.0, 2, 1, 1.0, 1.0, "nav"), ("none", 2, 1.0, 0, 2, 0.0, 1.0, "nav"), ("none", 3, 1.0, 3, 40, 1.0, 0.0, "nav"), ("none", 8, 0.9, 4, 2, 1.0, 0.9, "nav"), ("none", 2, 0.8, 2, 2, 0.7, 1.0, "nav"),
+    ("none", 1, 1.0, 2, 1, 1.0, 1.0, "nav"), ("none", 2, 1.0, 0, 2, 0.0, 1.0, "nav"), ("none", 3, 1.0, 3, 40, 1.0, 0.0, "nav"), ("none", 8, 0.9, 4, 2, 1.0, 0.9, "nav"), ("none", 2, 1.0, 1, 13, 1.0, 0.0, "nav"), ("none", 1, 1.0, 0, 1, 0.0, 1.0, "nav"), ("none", 1, 1.0, 1, 2, 1.0, 1.0, "nav"), ("none", 2, 0.8, 2, 2, 0.7, 1.0, "nav"),
 ]
 
 TAGS = (
