@@ -90,8 +90,8 @@ def series(skill, before, after):
 @pytest.mark.parametrize(
     ("lead", "follow", "before", "after", "status", "level"),
     [
-        (0.2, 0.005, 0.05, 0.20, "teach_ahead", "medium"), (0.05, 0.02, 0.10, 0.11, "teach_ahead", "medium"), (0.13, 0.005, 0.13, 0.13, "lead_only", "low"), (0.2, 0.005, 0.2, 0.1, "declining_both", "low"),
-        (0.001, 0.15, 0.0, 0.0, "follow_specific", "medium"), (0.004, 0.001, 0.0, 0.0, "low_demand", "medium"), (0.2, 0.1, 0.1, 0.2, "arriving", "medium"), (0.2, 0.1, 0.2, 0.2, "established_both", "medium"), (0.03, 0.025, 0.0, 0.0, "established_both", "low"), (0.02, 0.03, 0.0, 0.0, "established_both", "low"),
+        (0.2, 0.005, 0.05, 0.20, "teach_ahead", "medium"), (0.05, 0.02, 0.10, 0.11, "teach_ahead", "medium"), (0.13, 0.005, 0.13, 0.13, "global_only", "low"), (0.2, 0.005, 0.2, 0.1, "declining_both", "low"),
+        (0.001, 0.15, 0.0, 0.0, "kenya_specific", "medium"), (0.004, 0.001, 0.0, 0.0, "low_demand", "medium"), (0.2, 0.1, 0.1, 0.2, "arriving", "medium"), (0.2, 0.1, 0.2, 0.2, "established_both", "medium"), (0.03, 0.025, 0.0, 0.0, "established_both", "low"), (0.02, 0.03, 0.0, 0.0, "established_both", "low"),
     ],
 )
 def test_status_rules(spark, lead, follow, before, after, status, level):
@@ -132,11 +132,18 @@ def test_backtest(spark):
 
 def test_briefs(spark):
     frame = classified(spark, [("X", "t2", "c", "GLOBAL", 0.2, True)])
-    df = spark.createDataFrame([(r.skill, r.track, r.status, r.calibrated_gap, r.lead_share_now) for r in frame.values()], "skill string, track string, status string, calibrated_gap double, lead_share_now double")
+    df = spark.createDataFrame([(r.skill, r.track, r.status, r.calibrated_gap, r.lead_share_now, r.follow_share_now, r.lead_trend_12m, None, r.confidence) for r in frame.values()], "skill string, track string, status string, calibrated_gap double, lead_share_now double, follow_share_now double, lead_trend_12m double, follow_trend_12m double, confidence string")
     tops = briefs.top_by_action(df, 2)
     assert tops.groupBy("track", "action").count().agg(F.max("count")).first()[0] <= 2
     coverage = spark.createDataFrame([("t", 0.5, 0.25)], "track string, lead_coverage double, follow_coverage double")
-    assert "## t" in briefs.to_markdown(coverage, tops)
+    made = {r.track: r for r in briefs.build_briefs(df, coverage).collect()}
+    assert list(made) == ["t", "t2"] and made["t2"].lead_coverage == 0.0 and made["t"].follow_coverage == 0.25
+    assert made["t"].n_skills == sum(len(x) for x in made["t"].actions.values()) and set(made["t"].actions) <= set(briefs.ACTIONS.values())
+    assert all(x.calibrated_gap >= y.calibrated_gap for m in made.values() for skills in m.actions.values() for x, y in zip(skills, skills[1:], strict=False))
+    text = briefs.to_markdown(briefs.build_briefs(df, coverage))
+    assert "## t" in text and "Coverage: lead 50.0%, follow 25.0%" in text
+    odd = spark.createDataFrame([("established_both",), ("kenya_specific",), ("low_demand",), ("insufficient_data",), ("arriving",), ("else",), (None,)], "status string")
+    assert [r.a for r in odd.select(briefs.action_of(F.col("status")).alias("a")).collect()] == ["hold", "hold", "minor", "unknown", "expand", "unknown", "unknown"]
 
 
 # ------------------------------------------------------------- text
@@ -144,7 +151,7 @@ def test_briefs(spark):
 
 @pytest.mark.parametrize(
     ("markup", "want"),
-    [("<ul><li>a</li><li>b</li></ul>", "a\n\nb"), ("&lt;p&gt;x &amp;amp; y&lt;/p&gt;", "x & y"), ("<script>if (a<b) {}</script><p>z</p>", "z"), (None, ""), ("", ""), ("a&nbsp;&nbsp;b​", "a b"), ("<p>1</p><p></p><p></p><p>2</p>", "1\n\n2"), ("5 < 6", "5 < 6")],
+    [("<ul><li>a</li><li>b</li></ul>", "a\n\nb"), ("&lt;p&gt;x &amp;amp; y&lt;/p&gt;", "x & y"), ("<script>if (a<b) {}</script><p>z</p>", "z"), (None, ""), ("", ""), ("a&nbsp;&nbsp;b​", "a b"), ("<p>1</p><p></p><p></p><p>2</p>", "1\n\n2"), ("5 < 6", "5 < 6"), ("&#8211;&#233;&#xE9;&euro;&copy;&Eacute;", "–éé€©É"), ("a &amp;lt; b &unknown; c & d; &#0; &#xD800; &#1114112;", "a &lt; b &unknown; c & d; &#0; &#xD800; &#1114112;"), ("&#128512;x&#39;", "😀x'")],
 )
 def test_html_to_text(spark, markup, want):
     assert value(spark, T.html_to_text(F.col("x")), x=markup) == want
@@ -243,7 +250,7 @@ def test_links_and_archive(spark):
     for url, style, want in (("https://x/l", "query", "https://x/l?page=2"), ("https://x/l?page=2", "query", None), ("https://x/l/page/1/", "page", "https://x/l/page/2/")):
         assert value(spark, adapters.next_page(F.col("u"), style, 2), u=url) == want
     index = spark.createDataFrame([("b", "https://h/jobs/1?a", "20240101"), ("b", "https://h/jobs/1", "20240201"), ("b", "https://h/about", "20240101"), ("b", "https://h/jobs/2", "20250101")], "board string, original string, ts string")
-    assert rows(adapters.archive_captures(index, "/jobs/", 2, [2024, 2025]), "original") == [("https://h/jobs/1?a",), ("https://h/jobs/2",)]
+    assert rows(adapters.archive_captures(index, "/jobs/", 2, [2024, 2025]), "original") == [("https://h/jobs/1",), ("https://h/jobs/2",)]
     pages = spark.createDataFrame([("https://web.archive.example/web/20240101/https://h.example/jobs/1", "KE", PAGE)], "url string, segment string, body string").withColumn("fetched_at", F.lit(None).cast("timestamp"))
     r = adapters.replayed(pages, spark.createDataFrame([("h.example", "b")], "host string, board string")).first()
     assert (r.source, r.native_id, r.is_historical) == ("wayback_b", "1", True)
@@ -284,14 +291,62 @@ def test_streams_equal_batches(spark, tmp_path):
     got = ingest.stream_upsert(ingest.landed(spark, str(land), 1), str(tmp_path / "store"), ["k"], ["n"], str(tmp_path / "c1"))
     assert rows(got) == rows(store.keep_last(batch, ["k"], ["n"]))
     assert rows(ingest.stream_counts(ingest.landed(spark, str(land), 1), ["source"], str(tmp_path / "counts"), str(tmp_path / "c2"))) == [("s", 3)]
+    again = ingest.stream_upsert(ingest.landed(spark, str(land), 1), str(tmp_path / "store"), ["k"], ["n"], str(tmp_path / "c1"))
+    assert rows(again) == rows(got)  # nothing new
+    spark.createDataFrame([("k0", 7, "s"), ("k9", 8, "t")], "k string, n int, source string").write.mode("append").parquet(str(land))
+    more = ingest.stream_upsert(ingest.landed(spark, str(land), 1), str(tmp_path / "store"), ["k"], ["n"], str(tmp_path / "c1"))
+    kept = rows(more)
+    assert kept == rows(store.keep_last(spark.read.parquet(str(land)), ["k"], ["n"])) and len(kept) == 3
+    assert len(list((tmp_path / "store" / "manifest").glob("*.json"))) == 2
+    # the last batch once more, as after a lost commit: the same store
+    last = max((tmp_path / "c1" / "commits").iterdir(), key=lambda f: int(f.name) if f.name.isdigit() else -1)
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink()
+    assert rows(ingest.stream_upsert(ingest.landed(spark, str(land), 1), str(tmp_path / "store"), ["k"], ["n"], str(tmp_path / "c1"))) == kept
+    assert rows(ingest.stream_counts(ingest.landed(spark, str(land), 1), ["source"], str(tmp_path / "counts"), str(tmp_path / "c2"))) == [("s", 4), ("t", 1)]
+    empty = tmp_path / "empty"
+    spark.createDataFrame([], "k string, n int, source string").write.parquet(str(empty))
+    assert rows(ingest.stream_upsert(ingest.landed(spark, str(empty), 1), str(tmp_path / "e"), ["k"], ["n"], str(tmp_path / "c4"))) == []
     ingest.dead_letters(ingest.landed(spark, str(land), 9), lambda b: b.where("n > 0"), str(tmp_path / "good"), str(tmp_path / "bad"), "n", str(tmp_path / "c3"))
     assert rows(spark.read.parquet(str(tmp_path / "bad")), "n") == [(0,)]
 
 
-def test_entry_without_llm():
+def entry_without(monkeypatch, missing: str):
+    """The entry module as it loads where `missing` can't be imported."""
+    import builtins
+    import importlib
+
     import __spark_entry__ as e
 
-    assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 50
+    real = builtins.__import__
+
+    def absent(name, globals=None, locals=None, fromlist=(), level=0):  # noqa: A002
+        if name == missing or f"{name}.{(fromlist or ('',))[0]}" == missing:
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+        return real(name, globals, locals, fromlist, level)
+
+    with monkeypatch.context() as m:
+        m.setattr(builtins, "__import__", absent)
+        got = importlib.reload(e)
+        return set(got.queries()), set(got.oracle_sql())
+
+
+def test_entry_without_llm(monkeypatch):
+    names, sql = entry_without(monkeypatch, "tidemark.llm")
+    assert sql <= names and len(names) > 50 and "p1_found" in names and not [n for n in names if n.startswith("p") and n.endswith("_found") and n != "p1_found"]
+
+
+def test_entry_doesnt_hide_what_else_is_missing(monkeypatch):
+    import sys
+
+    for name in [m for m in sys.modules if m.startswith("tidemark.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    try:
+        import tidemark.llm  # noqa: F401
+    except ModuleNotFoundError:
+        pytest.skip("the subpackage is not there")
+    with pytest.raises(ModuleNotFoundError):
+        entry_without(monkeypatch, "xxhash")
 
 
 def test_audit_dates_and_seeds(spark):

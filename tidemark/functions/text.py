@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Tags whose boundaries are line breaks.
 BLOCK_TAGS = "p div br li ul ol tr td th table h1 h2 h3 h4 h5 h6 section article header footer blockquote pre hr".split()
-# Named entities that are written out; numeric ones are decoded by rule.
-ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "rsquo": "’", "lsquo": "‘", "rdquo": "”", "ldquo": "“", "ndash": "–", "mdash": "—", "hellip": "…", "bull": "•", "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "uuml": "ü", "ouml": "ö", "auml": "ä", "szlig": "ß", "amp": "&"}
 # What says that work is remote, and that it isn't.
 REMOTE = r"(?iU)\b(?:fully[- ]remote|100% remote|work from home|remote[- ]first|remote \(|remote,|remote$|anywhere in the world|distributed team)\b"
 ONSITE = r"(?iU)\b(?:on[- ]?site|in[- ]office|hybrid)\b"
@@ -24,10 +23,17 @@ SENIORITY = (
 
 
 def unescape(text: Column) -> Column:
-    """Entities written out once, `&amp;` last."""
-    named = reduce(lambda t, e: F.replace(t, F.lit(f"&{e[0]};"), F.lit(e[1])), [e for e in ENTITIES.items() if e[0] != "amp"], text)
-    quotes = F.regexp_replace(F.regexp_replace(named, r"&#(?:39|x27);", "'"), r"&#(?:8217|x2019);", "’")
-    return F.replace(F.regexp_replace(quotes, r"&#(?:160|xa0|xA0);", " "), F.lit("&amp;"), F.lit("&"))
+    """Entities written out once: all numeric ones, and the named ones of HTML 4 with `apos`; what is none stays."""
+    names = F.create_map(*[F.lit(x) for n, c in sorted({**name2codepoint, "apos": 39}.items()) for x in (n, c)])
+    digits = lambda p: F.regexp_extract(p, r"^#(\d{1,7});", 1)
+    hexes = lambda p: F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
+    name = lambda p: F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]{1,9});", 1)
+    code = lambda p: F.coalesce(F.nullif(digits(p), F.lit("")).cast("int"), F.conv(F.nullif(hexes(p), F.lit("")), 16, 10).cast("int"), F.try_element_at(names, name(p)))
+    real = lambda c: F.when(c.between(1, 0x10FFFF) & ~c.between(0xD800, 0xDFFF), c)
+    sign = lambda c: F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")
+    put = lambda p: F.coalesce(F.concat(sign(real(code(p))), F.substring(p, F.instr(p, ";") + 1, F.length(p))), F.concat(F.lit("&"), p))
+    parts = F.split(text, "&")
+    return F.when(text.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), put), ""))).otherwise(text)
 
 
 def html_to_text(markup: Column) -> Column:
@@ -41,7 +47,7 @@ def html_to_text(markup: Column) -> Column:
     broken = F.regexp_replace(seen, rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})\b[^>]*>", "\n")
     bare = unescape(F.regexp_replace(broken, r"<[a-zA-Z/!][^>]*>", ""))
     bare = F.regexp_replace(bare, "[​﻿]", "")
-    lines = F.regexp_replace(F.regexp_replace(bare, "[ \\t ]+", " "), r"(?m)^ +| +$", "")
+    lines = F.regexp_replace(F.regexp_replace(bare, "[ \\t\\x{A0}]+", " "), r"(?m)^ +| +$", "")
     return F.regexp_replace(F.regexp_replace(lines, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 

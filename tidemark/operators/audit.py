@@ -20,6 +20,6 @@ def in_track(frame: DataFrame, pattern: str) -> DataFrame:
 
 
 def trend_usability(docs: DataFrame, history: tuple[str, ...], min_cell: int) -> DataFrame:
-    """(source, segment, year, n, usable) for sources that keep original dates: which cells are thick enough for a trend."""
+    """(segment, year, n, usable) over the sources that keep original dates: which cells are thick enough for a trend."""
     dated = docs.where(F.col("year").isNotNull() & history_predicate(F.col("source"), history))
-    return dated.groupBy("source", "segment", "year").agg(F.count("*").alias("n")).withColumn("usable", F.col("n") >= min_cell)
+    return dated.groupBy("segment", "year").agg(F.count("*").alias("n")).withColumn("usable", F.col("n") >= min_cell)

@@ -55,9 +55,9 @@ def classify(g: Column, k: Column, c: Column, t: Column, usable: Column, history
     high, low = g >= s.lead_share_min, k <= s.follow_share_max
     up, down = F.coalesce(t >= s.trend_min, F.lit(False)), F.coalesce(t <= -s.trend_min, F.lit(False))
     rules = [
-        (g.isNull() | k.isNull() | ~usable, "insufficient_data", F.lit("none")), (c < s.gap_floor, "follow_specific", F.lit("medium")),
+        (g.isNull() | k.isNull() | ~usable, "insufficient_data", F.lit("none")), (c < s.gap_floor, "kenya_specific", F.lit("medium")),
         (high & low & up, "teach_ahead", F.when(history, "medium").otherwise("provisional")), (high & low & down, "declining_both", F.lit("low")),
-        (high & low, "lead_only", F.when(history, "low").otherwise("provisional")), (high & up, "arriving", F.lit("medium")), (high, "established_both", F.lit("medium")),
+        (high & low, "global_only", F.when(history, "low").otherwise("provisional")), (high & up, "arriving", F.lit("medium")), (high, "established_both", F.lit("medium")),
         (k > s.follow_share_max, "established_both", F.lit("low")),
     ]
     status, confidence = F.when(rules[0][0], rules[0][1]), F.when(rules[0][0], rules[0][2])
@@ -98,10 +98,15 @@ def watchlist(diffusion: DataFrame, limit: int = 25) -> DataFrame:
     return diffusion.where("status = 'teach_ahead'").orderBy(F.desc("calibrated_gap"), F.desc_nulls_last("lead_trend_12m"), "skill").limit(limit)
 
 
+def own_demand(diffusion: DataFrame, limit: int = 10) -> DataFrame:
+    """What the following segment asks for by itself, the widest gaps first; a report of `limit` rows."""
+    return diffusion.where("status = 'kenya_specific'").orderBy("calibrated_gap", "skill").limit(limit)
+
+
 def track_summary(diffusion: DataFrame) -> DataFrame:
     n = lambda status: F.count_if(F.col("status") == status).alias(status)
     return diffusion.groupBy("track").agg(
-        F.count("*").alias("skills"), n("teach_ahead"), n("established_both"), n("follow_specific"), n("low_demand"), F.avg("lead_share_now").alias("mean_lead_share"), F.avg("follow_share_now").alias("mean_follow_share")
+        F.count("*").alias("skills"), n("teach_ahead"), n("established_both"), n("kenya_specific"), n("global_only"), n("low_demand"), F.avg("lead_share_now").alias("mean_lead_share"), F.avg("follow_share_now").alias("mean_follow_share")
     ).orderBy(F.desc("teach_ahead"), "track")
 
 

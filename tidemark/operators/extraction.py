@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.runtime import spread
 
 PLAIN = re.compile(r"\\b((?:[a-z0-9 +#./-]|\\[+#./-])+?)(?:\\b)?", re.I)
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-FIELDS = "skill string, canonical_name string, category string, track string, n_mentions int, matched_in string, evidence array<string>"
+FIELDS = "skill string, canonical_name string, category string, track string, n_mentions int, matched_in string, evidence array<string>, confirmed boolean"
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +51,7 @@ class Term:
         self.veto = re.compile(row.negative_context, re.I) if row.negative_context else None
         plain = PLAIN.fullmatch(row.match_pattern)
         #: A word that any match contains; texts without it need no search.
+        self.own = re.compile(rf"(?<!\w){re.escape(row.skill.split('(')[0].strip())}(?!\w)", re.I)
         self.word = plain.group(1).replace("\\", "").lower() if plain else ""
 
     def count(self, text: str, lower: str, cut) -> tuple[int, list[str]]:
@@ -81,16 +83,16 @@ def terms_in(terms: list[Term], title: str | None, body: str | None) -> list[tup
         a, ea = t.count(title, low_title, lambda: cut(title))
         b, eb = t.count(body, low_body, lambda: cut(body))
         if a + b:
-            out.append((*t.row, a + b, "both" if a and b else "title" if a else "description", (ea + eb)[:3]))
+            out.append((*t.row, a + b, "both" if a and b else "title" if a else "description", (ea + eb)[:3], bool(t.own.search(f"{title} {body}"))))
     return out
 
 
 def extract_terms(docs: DataFrame, taxonomy: DataFrame, id_col: str, title_col: str | None, body_col: str) -> DataFrame:
-    """(id, skill, canonical_name, category, track, n_mentions, matched_in, evidence): the terms of each document.
+    """(id, skill, canonical_name, category, track, n_mentions, matched_in, evidence, confirmed): the terms of each document.
 
     One pass over whole texts in Arrow batches; the taxonomy, a curated table, goes to the tasks. A
     term counts in a field if the whole field matches and sentences without veto do; null and empty
-    fields hold none. A document without terms gives no row.
+    fields hold none. `confirmed` says whether title and whole text name the term itself as a word of its own. A document without terms gives no row.
     """
     rows = check_patterns(taxonomy)
     kind = dict(docs.dtypes)[id_col]
@@ -114,8 +116,19 @@ def extraction_stats(docs: DataFrame, found: DataFrame, id_col: str) -> DataFram
 
 
 def precision_gate(found: DataFrame, segment: str, gate: float = 0.90) -> DataFrame:
-    """By segment: matches whose evidence names the term as a word of its own, a lower bound of precision, and whether it passes."""
-    bare = F.regexp_replace(F.trim(F.regexp_extract("skill", r"^([^(]*)", 1)), r"([\\.+*?\[\](){}|^$#])", r"\\$1")
-    said = F.exists("evidence", lambda e: F.regexp_like(e, F.concat(F.lit(r"(?iuU)(?<!\w)"), bare, F.lit(r"(?!\w)"))))
-    by = found.groupBy(segment).agg(F.count("*").alias("matches"), F.count_if(said).alias("confirmed"))
+    """By segment: matches, those whose document names the term as a word of its own, that lower bound of precision, and whether it passes."""
+    by = found.groupBy(segment).agg(F.count("*").alias("matches"), F.count_if("confirmed").alias("confirmed"))
     return by.withColumn("precision", F.try_divide("confirmed", "matches")).withColumn("passes", F.col("precision") >= gate).orderBy(segment)
+
+
+def suspects(found: DataFrame, segment: str, n: int = 8) -> DataFrame:
+    """(segment, place, skill, n): the terms with most unconfirmed matches in each segment; a report of `n` rows a segment."""
+    by = found.where(~F.col("confirmed")).groupBy(segment, "skill").agg(F.count("*").alias("n"))
+    placed = by.withColumn("place", F.row_number().over(W.partitionBy(segment).orderBy(F.desc("n"), "skill")))
+    return placed.where(F.col("place") <= n).select(segment, "place", "skill", "n").orderBy(segment, "place")
+
+
+def read_diffusion(spark: SparkSession, path: str) -> DataFrame:
+    """An exported diffusion frame, read again with its types."""
+    schema = "skill string, track string, category string, lead_share_now double, follow_share_now double, diffusion_gap double, calibrated_gap double, gap_rank double, lead_trend_12m double, follow_trend_12m double, estimated_lag_months double, status string, confidence string, is_calibration_baseline boolean, months_observed bigint, cell_usable boolean"
+    return spark.read.schema(schema).csv(path, header=True, escape='"', multiLine=True)

@@ -31,18 +31,25 @@ def slots(tags: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:
     return tags.join(docs.select("job_id", *columns), "job_id")
 
 
-def build_share(docs: DataFrame, tags: DataFrame, keys: list[str], min_cell: int) -> DataFrame:
+def fold_tags(docs: DataFrame, tags: DataFrame, history: tuple[str, ...]) -> DataFrame:
+    """Tags folded to (term, document) with what the cells of all share frames need, and `rows`, how many tag rows that was."""
+    dated = history_mask(F.col("source"), history).alias("dated")
+    known = slots(tags, docs.select("job_id", "segment", "year", "month", dated), ["segment", "year", "month", "dated"])
+    return known.groupBy("segment", "year", "month", "dated", "skill", "track", "category", "job_id").agg(F.count("*").alias("rows"))
+
+
+def build_share(docs: DataFrame, tags: DataFrame, keys: list[str], min_cell: int, folded: bool = False) -> DataFrame:
     """For each cell of `keys` and term: mentions, the cell's documents, tagged documents and slots, three shares, usable.
 
     Rows with a null key are in no cell. Mentions and tagged documents count a document once, slots
     every tag row; pct_of_all divides mentions by all documents, pct_of_tech (the usual share) by
     tagged ones, share_of_mentions by slots. A cell is usable with at least `min_cell` tagged
     documents; thin cells are flagged, not dropped. Tags are folded to (cell, term, document) once,
-    and everything else is counted from that.
+    and everything else is counted from that; `folded` tags (`fold_tags`) are so already.
     """
     known = docs.dropna(subset=keys)
     totals = known.groupBy(*keys).agg(F.count("*").alias("n_jobs_total"))
-    one = slots(tags, known, keys).groupBy(*keys, "skill", "track", "category", "job_id").agg(F.count("*").alias("rows"))
+    one = tags.dropna(subset=keys) if folded else slots(tags, known, keys).groupBy(*keys, "skill", "track", "category", "job_id").agg(F.count("*").alias("rows"))
     mentions = one.dropna(subset=["skill", "track", "category"]).groupBy(*keys, "skill", "track", "category").agg(F.count("*").alias("n_mentions"))
     tagged = one.groupBy(*keys, "job_id").agg(F.sum("rows").alias("rows")).groupBy(*keys).agg(F.count("*").alias("n_tech_jobs"), F.sum("rows").alias("n_slots"))
     cells = totals.join(tagged, keys, "left")
@@ -54,11 +61,12 @@ def build_share(docs: DataFrame, tags: DataFrame, keys: list[str], min_cell: int
     ).orderBy(*keys, F.desc("pct_share"), "skill")
 
 
-def share_frames(docs: DataFrame, tags: DataFrame, history: tuple[str, ...], min_cell: int) -> dict[str, DataFrame]:
+def share_frames(docs: DataFrame, tags: DataFrame, history: tuple[str, ...], min_cell: int, folded: bool = False) -> dict[str, DataFrame]:
     """current over all sources by segment; year and month over sources that keep original dates."""
     dated = docs.where(history_mask(F.col("source"), history))
+    dated_tags = tags.where("dated") if folded else tags
     return {
-        "current": build_share(docs, tags, ["segment"], min_cell),
-        "year": build_share(dated, tags, ["segment", "year"], min_cell),
-        "month": build_share(dated, tags, ["segment", "month"], min_cell),
+        "current": build_share(docs, tags, ["segment"], min_cell, folded),
+        "year": build_share(dated, dated_tags, ["segment", "year"], min_cell, folded),
+        "month": build_share(dated, dated_tags, ["segment", "month"], min_cell, folded),
     }

@@ -13,7 +13,7 @@ from tidemark.functions import instants
 from tidemark.functions import text as T
 from tidemark.operators import audit, briefs, diffusion, extraction, shares, store
 from tidemark.operators.timestamps import normalise_timestamps, not_canonical
-from tidemark.runtime import shared_folder, table
+from tidemark.runtime import checkpoint, shared_folder, table
 from tidemark.settings import HISTORY_SOURCES, DiffusionSettings
 from tidemark.sources import adapters, jsonld
 from tidemark.streaming import ingest
@@ -64,8 +64,11 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frames(spark, sf_dir)
-    return diffusion.build_diffusion(f["current"], f["month"], f["year"], docs(spark, sf_dir), SETTINGS)
+    """The diffusion frame; the documents and the folded tags under its three share frames are made once."""
+    known = checkpoint(docs(spark, sf_dir).select("job_id", "source", "segment", "year", "month"))
+    folded = checkpoint(shares.fold_tags(known, tags(spark, sf_dir), HISTORY_SOURCES))
+    f = shares.share_frames(known, folded, HISTORY_SOURCES, SETTINGS.min_cell, folded=True)
+    return diffusion.build_diffusion(f["current"], f["month"], f["year"], known, SETTINGS)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -143,8 +146,8 @@ DIFFUSION = f"""{DOCS}, {CURRENT}, {YEAR}, {MONTH}, {PIVOT}, {CALIBRATION}, {TRE
     x AS (SELECT piv.*, lead_share_now - follow_share_now AS diffusion_gap, lead_share_now - follow_share_now - "offset" AS calibrated_gap, tr.lead_trend AS lead_trend_12m, CASE WHEN history THEN yb.change END AS follow_trend_12m, coalesce(tr.months_observed, 0) AS months_observed, cell_usable, history
         FROM piv CROSS JOIN cal CROSS JOIN us CROSS JOIN hi LEFT JOIN tr ON piv.skill = tr.skill LEFT JOIN yb ON piv.skill = yb.skill),
     dif AS (SELECT *, CAST(rank() OVER (ORDER BY calibrated_gap DESC) AS DOUBLE) AS gap_rank,
-        CASE WHEN NOT cell_usable THEN 'insufficient_data' WHEN calibrated_gap < -0.01 THEN 'follow_specific'
-             WHEN lead_share_now >= 0.05 AND follow_share_now <= 0.02 THEN CASE WHEN lead_trend_12m >= 0.01 THEN 'teach_ahead' WHEN lead_trend_12m <= -0.01 THEN 'declining_both' ELSE 'lead_only' END
+        CASE WHEN NOT cell_usable THEN 'insufficient_data' WHEN calibrated_gap < -0.01 THEN 'kenya_specific'
+             WHEN lead_share_now >= 0.05 AND follow_share_now <= 0.02 THEN CASE WHEN lead_trend_12m >= 0.01 THEN 'teach_ahead' WHEN lead_trend_12m <= -0.01 THEN 'declining_both' ELSE 'global_only' END
              WHEN lead_share_now >= 0.05 THEN CASE WHEN lead_trend_12m >= 0.01 THEN 'arriving' ELSE 'established_both' END
              WHEN follow_share_now > 0.02 THEN 'established_both' ELSE 'low_demand' END AS status FROM x)"""
 BASE = ", ".join(f"'{b}'" for b in SETTINGS.baselines)
@@ -177,8 +180,8 @@ def yoy_follow(spark, sf_dir):
 
 @query(f"""WITH {DIFFUSION} SELECT skill, track, category, round(lead_share_now, 9) AS lead_share_now, round(follow_share_now, 9) AS follow_share_now, round(diffusion_gap, 9) AS diffusion_gap, round(calibrated_gap, 9) AS calibrated_gap, gap_rank,
     round(lead_trend_12m, 9) AS lead_trend_12m, round(follow_trend_12m, 9) AS follow_trend_12m, CAST(NULL AS DOUBLE) AS estimated_lag_months, status,
-    CASE status WHEN 'insufficient_data' THEN 'none' WHEN 'follow_specific' THEN 'medium' WHEN 'teach_ahead' THEN CASE WHEN history THEN 'medium' ELSE 'provisional' END WHEN 'declining_both' THEN 'low'
-        WHEN 'lead_only' THEN CASE WHEN history THEN 'low' ELSE 'provisional' END WHEN 'established_both' THEN CASE WHEN lead_share_now >= 0.05 THEN 'medium' ELSE 'low' END ELSE 'medium' END AS confidence,
+    CASE status WHEN 'insufficient_data' THEN 'none' WHEN 'kenya_specific' THEN 'medium' WHEN 'teach_ahead' THEN CASE WHEN history THEN 'medium' ELSE 'provisional' END WHEN 'declining_both' THEN 'low'
+        WHEN 'global_only' THEN CASE WHEN history THEN 'low' ELSE 'provisional' END WHEN 'established_both' THEN CASE WHEN lead_share_now >= 0.05 THEN 'medium' ELSE 'low' END ELSE 'medium' END AS confidence,
     skill IN ({BASE}) AS is_calibration_baseline, months_observed, cell_usable FROM dif""")
 def diffusion_frame(spark, sf_dir):
     return rounded(compared(spark, sf_dir), "lead_share_now", "follow_share_now", "diffusion_gap", "calibrated_gap", "lead_trend_12m", "follow_trend_12m")
@@ -189,8 +192,13 @@ def watchlist(spark, sf_dir):
     return rounded(diffusion.watchlist(compared(spark, sf_dir)), "calibrated_gap", "lead_trend_12m").select("skill", "track", "calibrated_gap", "lead_trend_12m")
 
 
-@query(f"""WITH {DIFFUSION} SELECT track, count(*) AS skills, count(*) FILTER (status = 'teach_ahead') AS teach_ahead, count(*) FILTER (status = 'established_both') AS established_both, count(*) FILTER (status = 'follow_specific') AS follow_specific,
-    count(*) FILTER (status = 'low_demand') AS low_demand, round(avg(lead_share_now), 9) AS mean_lead_share, round(avg(follow_share_now), 9) AS mean_follow_share FROM dif GROUP BY track""")
+@query(f"WITH {DIFFUSION} SELECT skill, track, round(calibrated_gap, 9) AS calibrated_gap FROM dif WHERE status = 'kenya_specific' ORDER BY dif.calibrated_gap, skill LIMIT 10")
+def own_demand(spark, sf_dir):
+    return rounded(diffusion.own_demand(compared(spark, sf_dir)), "calibrated_gap").select("skill", "track", "calibrated_gap")
+
+
+@query(f"""WITH {DIFFUSION} SELECT track, count(*) AS skills, count(*) FILTER (status = 'teach_ahead') AS teach_ahead, count(*) FILTER (status = 'established_both') AS established_both, count(*) FILTER (status = 'kenya_specific') AS kenya_specific,
+    count(*) FILTER (status = 'global_only') AS global_only, count(*) FILTER (status = 'low_demand') AS low_demand, round(avg(lead_share_now), 9) AS mean_lead_share, round(avg(follow_share_now), 9) AS mean_follow_share FROM dif GROUP BY track""")
 def track_summary(spark, sf_dir):
     return rounded(diffusion.track_summary(compared(spark, sf_dir)), "mean_lead_share", "mean_follow_share")
 
@@ -237,12 +245,21 @@ def track_coverage(spark, sf_dir):
     return briefs.track_coverage(tags(spark, sf_dir), docs(spark, sf_dir), SETTINGS)
 
 
-@query(f"""WITH {DIFFUSION}, a AS (SELECT *, CASE status WHEN 'teach_ahead' THEN 'add' WHEN 'arriving' THEN 'grow' WHEN 'established_both' THEN 'keep' WHEN 'follow_specific' THEN 'localise' WHEN 'lead_only' THEN 'watch' WHEN 'declining_both' THEN 'retire' ELSE 'skip' END AS action FROM dif)
+@query(f"""WITH {DIFFUSION}, a AS (SELECT *, CASE status WHEN 'teach_ahead' THEN 'add' WHEN 'arriving' THEN 'expand' WHEN 'established_both' THEN 'hold' WHEN 'kenya_specific' THEN 'hold' WHEN 'global_only' THEN 'watch' WHEN 'declining_both' THEN 'retire' WHEN 'low_demand' THEN 'minor' ELSE 'unknown' END AS action FROM dif)
     SELECT track, action, place, skill, round(calibrated_gap, 9) AS calibrated_gap FROM (SELECT *, row_number() OVER (PARTITION BY track, action ORDER BY calibrated_gap DESC, skill) AS place FROM a) WHERE place <= 6""")
 def briefs_topn(spark, sf_dir):
     return rounded(briefs.top_by_action(compared(spark, sf_dir)), "calibrated_gap")
 
 
+@query(f"""WITH {DIFFUSION}, {COVERAGE}, a AS (SELECT *, CASE status WHEN 'teach_ahead' THEN 'add' WHEN 'arriving' THEN 'expand' WHEN 'established_both' THEN 'hold' WHEN 'kenya_specific' THEN 'hold' WHEN 'global_only' THEN 'watch' WHEN 'declining_both' THEN 'retire' WHEN 'low_demand' THEN 'minor' ELSE 'unknown' END AS action FROM dif)
+    SELECT a.track, any_value(coalesce(lead_coverage, 0)) AS lead_coverage, any_value(coalesce(follow_coverage, 0)) AS follow_coverage, any_value(n_skills) AS n_skills, action, string_agg(skill, ', ' ORDER BY calibrated_gap DESC, skill) AS skills
+    FROM a JOIN (SELECT track, count(*) AS n_skills FROM dif GROUP BY track) n ON n.track = a.track LEFT JOIN cov ON cov.track = a.track GROUP BY a.track, action""")
+def track_briefs(spark, sf_dir):
+    b = briefs.build_briefs(compared(spark, sf_dir), briefs.track_coverage(tags(spark, sf_dir), docs(spark, sf_dir), SETTINGS))
+    each = b.select("track", "lead_coverage", "follow_coverage", F.col("n_skills").cast("bigint").alias("n_skills"), F.explode("actions").alias("action", "x"))
+    return each.select("track", "lead_coverage", "follow_coverage", "n_skills", "action", F.array_join(F.col("x.skill"), ", ").alias("skills"))
+
+
 @query(f"WITH {DOCS}, {CURRENT}, {PIVOT} SELECT track, row_number() OVER (PARTITION BY track ORDER BY lead_share_now DESC, skill) AS place, skill, lead_share_now FROM piv")
 def role_view(spark, sf_dir):
     return briefs.role_view(diffusion.segment_pivot(frames(spark, sf_dir)["current"], SETTINGS))
@@ -264,10 +281,10 @@ def counts_by_group_year(spark, sf_dir):
     return store.counts(postings(spark, sf_dir).where("year is not null"), "segment", "year")
 
 
-@query(f"WITH {LAST} SELECT source, segment, year, count(*) AS n FROM last WHERE year IS NOT NULL AND (source = 'threadwork' OR starts_with(source, 'threadwork_') OR source = 'wayback' OR starts_with(source, 'wayback_')) GROUP BY 1, 2, 3")
+@query(f"WITH {LAST} SELECT segment, year, count(*) AS n FROM last WHERE year IS NOT NULL AND (source = 'threadwork' OR starts_with(source, 'threadwork_') OR source = 'wayback' OR starts_with(source, 'wayback_')) GROUP BY 1, 2")
 def history_counts(spark, sf_dir):
     rows = postings(spark, sf_dir)
-    return store.counts(rows.where("year is not null").where(store.history_predicate(F.col("source"), HISTORY_SOURCES)), "source", "segment", "year")
+    return store.counts(rows.where("year is not null").where(store.history_predicate(F.col("source"), HISTORY_SOURCES)), "segment", "year")
 
 
 @query(f"WITH {LAST} SELECT segment, {DATED} AS dated, count(*) AS n FROM last GROUP BY 1, 2")
@@ -420,10 +437,21 @@ def posting_terms(spark, sf_dir):
     return extraction.extract_terms(rows, table(spark, sf_dir, "taxonomy"), "row_id", "title", "text")
 
 
-@query()
+CONFIRMED = rf"""{EXTRACT}, judged AS (SELECT ext.*, d.segment, regexp_matches(strip_accents(coalesce(d.text, '')), '(?i)(^|[^a-z0-9_])' || regexp_escape(trim(split_part(skill, '(', 1))) || '([^a-z0-9_]|$)') AS ok FROM ext JOIN documents d USING (doc_id))"""
+
+
+def judged(spark, sf_dir):
+    return extracted(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "segment"), "doc_id")
+
+
+@query(f"WITH {CONFIRMED} SELECT segment, count(*) AS matches, count(*) FILTER (ok) AS confirmed, count(*) FILTER (ok) / count(*) AS precision, count(*) FILTER (ok) / count(*) >= 0.9 AS passes FROM judged GROUP BY segment")
 def precision_gate(spark, sf_dir):
-    found = extracted(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "segment"), "doc_id")
-    return extraction.precision_gate(found, "segment")
+    return extraction.precision_gate(judged(spark, sf_dir), "segment")
+
+
+@query(f"WITH {CONFIRMED} SELECT segment, place, skill, n FROM (SELECT segment, skill, count(*) AS n, row_number() OVER (PARTITION BY segment ORDER BY count(*) DESC, skill) AS place FROM judged WHERE NOT ok GROUP BY segment, skill) WHERE place <= 8")
+def suspects(spark, sf_dir):
+    return extraction.suspects(judged(spark, sf_dir), "segment")
 
 
 # ---------------------------------------------------------------- sources
@@ -491,15 +519,6 @@ def adapter_threads(spark, sf_dir):
     return adapters.monthly_threads(thread.select(F.lit("items/1").alias("url"), F.lit("threadwork").alias("source"), F.lit("GLOBAL").alias("segment"), body.alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"))).select(*COLUMNS)
 
 
-@query("SELECT row_id, true AS found, nullif(trim(title), '') AS title, nullif(trim(company), '') AS company, nullif(trim(location), '') AS location FROM jobs WHERE title IS NOT NULL AND company IS NOT NULL AND location IS NOT NULL")
-def jsonld_postings(spark, sf_dir):
-    rows = table(spark, sf_dir, "jobs").where("title is not null and company is not null and location is not null")
-    org = F.struct(F.lit("#org").alias("@id"), F.lit("Organization").alias("@type"), F.col("company").alias("name"))
-    job = F.struct(F.lit("JobPosting").alias("@type"), "title", F.struct(F.lit("#org").alias("@id")).alias("hiringOrganization"), F.struct(F.col("location").alias("address")).alias("jobLocation"))
-    page = F.concat(F.lit('<html><script type="application/ld+json">'), F.to_json(F.struct(F.struct(org.alias("org"), job.alias("job")).alias("@graph"))), F.lit("</script></html>"))
-    return jsonld.parse_pages(rows.select("row_id", page.alias("html"))).select("row_id", "found", "title", "company", "location")
-
-
 def pages(rows: DataFrame) -> DataFrame:
     """`rows` with the page `html` of each posting: a graph with references or, by turns, one nested object after a block that can't be read."""
     org = lambda *more: F.struct(*more, F.lit("Organization").alias("@type"), F.col("company").alias("name"))
@@ -539,13 +558,26 @@ def stream_counts(spark, sf_dir):
     return ingest.stream_counts(ingest.landed(spark, f"{sf_dir}/jobs.parquet", 1), ["source", "segment"], f"{folder}/counts", f"{folder}/state")
 
 
+def landing(spark, sf_dir, columns: list[str], files: int = 4) -> tuple[DataFrame, str]:
+    """The postings as a stream of several files, a micro-batch each, and a folder for what the stream keeps."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "jobs").select(*columns).repartition(files, "row_id").write.parquet(f"{folder}/landing")
+    return ingest.landed(spark, f"{folder}/landing", 1), folder
+
+
 @query("SELECT job_id, row_id, title FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY row_id DESC) AS rn FROM jobs) WHERE rn = 1")
 def stream_upsert(spark, sf_dir):
-    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    rows = ingest.landed(spark, f"{sf_dir}/jobs.parquet", 1).select("job_id", "row_id", "title")
+    rows, folder = landing(spark, sf_dir, ["job_id", "row_id", "title"])
     return ingest.stream_upsert(rows, f"{folder}/store", ["job_id"], ["row_id"], f"{folder}/state")
 
 
+@query("SELECT month, segment, skill, count(*) AS n FROM jobs JOIN job_skills USING (job_id) GROUP BY month, segment, skill")
+def stream_monthly(spark, sf_dir):
+    rows, folder = landing(spark, sf_dir, ["job_id", "row_id", "month", "segment"])
+    tagged = rows.join(tags(spark, sf_dir).select("job_id", "skill"), "job_id")
+    return ingest.stream_counts(tagged, ["month", "segment", "skill"], f"{folder}/counts", f"{folder}/state")
+
+
 @query("SELECT slug, ats, segment, open_jobs FROM companies WHERE open_jobs >= 5 AND slug NOT IN (SELECT board_slug FROM documents WHERE board_slug IS NOT NULL)")
 def new_boards(spark, sf_dir):
     known = table(spark, sf_dir, "documents").where("board_slug is not null").select(F.col("board_slug").alias("slug")).distinct()
@@ -560,7 +592,7 @@ def board_segment(spark, sf_dir):
 # ---------------------------------------------------------------- audits and dates
 
 
-@query(f"WITH {LAST} SELECT source, segment, year, count(*) AS n, count(*) >= 30 AS usable FROM last WHERE year IS NOT NULL AND (source = 'threadwork' OR starts_with(source, 'threadwork_') OR source = 'wayback' OR starts_with(source, 'wayback_')) GROUP BY 1, 2, 3")
+@query(f"WITH {LAST} SELECT segment, year, count(*) AS n, count(*) >= 30 AS usable FROM last WHERE year IS NOT NULL AND (source = 'threadwork' OR starts_with(source, 'threadwork_') OR source = 'wayback' OR starts_with(source, 'wayback_')) GROUP BY 1, 2")
 def trend_usability(spark, sf_dir):
     return audit.trend_usability(postings(spark, sf_dir), HISTORY_SOURCES, SETTINGS.min_cell)
 
@@ -575,14 +607,6 @@ def audit_sample(spark, sf_dir):
     return audit.audit_sample(table(spark, sf_dir, "jobs"), "KE", 50, 7).select("job_id", "row_id", "title")
 
 
-@query("""SELECT row_id, at_utc, strftime(at_utc, '%Y-%m') AS month FROM (SELECT row_id, CASE WHEN regexp_matches(fetched_at, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z$') AND year(try_cast(replace(rtrim(fetched_at, 'Z'), 'T', ' ') AS TIMESTAMP)) BETWEEN 2015 AND 2030
-    THEN epoch_us(try_cast(replace(rtrim(fetched_at, 'Z'), 'T', ' ') AS TIMESTAMP)) END AS us, make_timestamp(us) AS at_utc FROM jobs WHERE fetched_at LIKE '____-__-__T__:__:__Z')""")
-def parse_datetime(spark, sf_dir):
-    at = instants.parse_datetime(F.col("fetched_at"))
-    rows = table(spark, sf_dir, "jobs").where("fetched_at like '____-__-__T__:__:__Z'").select("row_id", at.alias("at"))
-    return rows.select("row_id", F.col("at").cast("timestamp_ntz").alias("at_utc"), instants.year_month(F.col("at")).alias("month"))
-
-
 @query()
 def parse_datetime_columns(spark, sf_dir):
     """Every value of the three time columns, whatever its shape; SQL can't read free-form text."""

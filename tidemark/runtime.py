@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,34 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition `df` so that expensive per-row work uses every core, whatever the file layout."""
+#: Bytes of one partition of what `spread` deals anew.
+SPREAD_BYTES = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in enough partitions for expensive work on each row to use every core.
+
+    A scan that has two splits a core or more is left as it is: nothing is shuffled. Anything else,
+    such as a few large files on many cores or the small result of a join, is dealt anew, into as
+    many partitions as its bytes ask for and at least the session's usual number.
+    """
     spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(parts, *keys) if keys else df.repartition(parts)
+    cores = spark.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(str(plan.stats().sizeInBytes()))
+    nodes = set(re.findall(r"(?m)^[\s:+-]*(\w+)", plan.toString()))
+    if nodes <= {"Project", "Filter", "Relation"}:
+        held = sum(int(str(leaf.stats().sizeInBytes())) for leaf in _leaves(plan))
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        if held >= 2 * cores * split:
+            return df
+        return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores, size // SPREAD_BYTES))
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores))
+
+
+def _leaves(plan) -> list:
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
 
 
 class SharedFiles:

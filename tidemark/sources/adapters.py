@@ -117,8 +117,12 @@ def header_parts(header: Column) -> tuple[Column, Column, Column, Column]:
     return on(F.when(~bad(company, 80), company)), on(F.when(~bad(title, 120), title)), on(found["place"]), on(found["job"])
 
 
+# Titles of threads in which firms hire, and of those in which people offer themselves.
+HIRING, OFFERING = r"(?i)who\s+is\s+hiring", r"(?i)wants?\s+to\s+be\s+hired|freelancer"
+
+
 def is_hiring_thread(title: Column) -> Column:
-    return title.rlike(r"(?i)who\s+is\s+hiring") & ~title.rlike(r"(?i)wants?\s+to\s+be\s+hired|freelancer")
+    return title.rlike(HIRING) & ~title.rlike(OFFERING)
 
 
 def thread_urls(search: DataFrame, since: str) -> DataFrame:
@@ -129,15 +133,15 @@ def thread_urls(search: DataFrame, since: str) -> DataFrame:
 
 @register("threadwork", "GLOBAL")
 def monthly_threads(payloads: DataFrame) -> DataFrame:
-    """A thread with one comment a posting: top-level comments of at least MIN_COMMENT characters, their first line a header."""
-    schema = "struct<id: string, title: string, created_at: string, children: array<struct<id: string, author: string, created_at: string, text: string>>>"
-    rows = payloads.withColumn("t", F.from_json("body", schema)).where(is_hiring_thread(F.col("t.title"))).withColumn("j", F.explode("t.children"))
+    """A thread with one comment a posting, unless people offer themselves in it: top-level comments of at least MIN_COMMENT characters, their first line a header."""
+    schema = "struct<id: string, title: string, created_at: string, children: array<struct<id: string, author: string, created_at: string, created_at_i: bigint, text: string>>>"
+    rows = payloads.withColumn("t", F.from_json("body", schema)).where(~F.coalesce(F.col("t.title").rlike(OFFERING), F.lit(False))).withColumn("j", F.explode("t.children"))
     rows = rows.withColumn("plain", T.html_to_text(j("text"))).where(F.length("plain") >= MIN_COMMENT).withColumn("header", F.substring_index("plain", "\n", 1))
     company, title, place, job = header_parts(F.col("header"))
     said = F.concat_ws(" ", "header", place)
     remote = F.when(said.rlike(r"(?i)\bremote\b"), True).otherwise(F.coalesce(T.infer_remote(F.col("header"), place), F.when(said.rlike(r"(?i)\b(onsite|on-site|in[- ]office)\b"), False)))
     return posting(
-        rows, native_id=j("id"), title=F.coalesce(title, company, F.lit("Unspecified role")), description_html=j("text"), company=company, location=place, is_remote=remote, date_posted=F.coalesce(j("created_at"), F.col("t.created_at")), employment_type=job,
+        rows, native_id=j("id"), title=F.coalesce(title, company, F.lit("Unspecified role")), description_html=j("text"), company=company, location=place, is_remote=remote, date_posted=F.coalesce(j("created_at"), j("created_at_i").cast("string"), F.col("t.created_at")), employment_type=job,
         extra=F.to_json(F.struct(F.substring("t.created_at", 1, 7).alias("thread_month"), j("author").alias("author"), F.substring("header", 1, 300).alias("header"))),
     )
 
@@ -151,12 +155,23 @@ REMOTE_BOARDS = {
 }
 
 
+#: What else a remote board sends: our name and the payload's.
+REMOTE_EXTRA = {"farposts": {"tags": "tags", "salary_text": "salary"}, "isleroles": {"tags": "tags", "job_types": "job_types"}, "reefjobs": {"job_level": "jobLevel", "salary_period": "salaryPeriod"}, "lagoonwork": {"seniority": "seniority"}}
+#: Where a board's text lies if its own field is empty.
+EXCERPTS = {"reefjobs": "jobExcerpt"}
+
+
+def attribution(config: dict, name: str) -> str | None:
+    """The credit line that a board's configuration asks reports to carry."""
+    return (config.get(name) or {}).get("attribution")
+
+
 def remote_board(name: str) -> Callable[[DataFrame], DataFrame]:
     """The adapter of a remote board: everything on it is remote unless it has a flag of its own; empty and zero pay is null."""
-    key, fields = REMOTE_BOARDS[name]
+    (key, fields), more, excerpt = REMOTE_BOARDS[name], REMOTE_EXTRA[name], EXCERPTS.get(name)
 
     def run(payloads: DataFrame) -> DataFrame:
-        rows = entries(payloads, ", ".join(f"`{f.rstrip('*+')}`: string" for f in dict.fromkeys(fields.values())), key)
+        rows = entries(payloads, ", ".join(f"`{f.rstrip('*+')}`: string" for f in dict.fromkeys([*(f.rstrip("*+") for f in fields.values()), *more.values(), *([excerpt] if excerpt else [])])), key)
         columns = {}
         for column, field in fields.items():
             raw = j(f"`{field.rstrip('*+')}`")
@@ -164,7 +179,8 @@ def remote_board(name: str) -> Callable[[DataFrame], DataFrame]:
                 raw = T.first_of(raw)
             elif field.endswith("+"):
                 raw = nonempty(F.array_join(F.from_json(raw, "array<string>"), ", "))
-            columns[column] = T.as_amount(raw) if column.startswith("salary_m") else raw.cast("boolean") if column == "is_remote" else F.trim(raw) if column in ("title", "native_id") else F.coalesce(raw, F.lit("")) if column == "description_html" else raw
+            columns[column] = T.as_amount(raw) if column.startswith("salary_m") else raw.cast("boolean") if column == "is_remote" else F.trim(raw) if column in ("title", "native_id") else F.coalesce(nonempty(raw), *([j(f"`{excerpt}`")] if excerpt else []), F.lit("")) if column == "description_html" else raw
+        columns["extra"] = F.to_json(F.struct(*[j(f"`{f}`").alias(n) for n, f in more.items()]))
         return posting(rows, **({"is_remote": F.lit(True)} | columns))
 
     return run
@@ -200,8 +216,12 @@ for _name in ("kazinjema", "mtaaroles", "savannalist"):
     REGISTRY[_name] = ("KE", html_board)
 
 
-def detail_links(pages: DataFrame, pattern: str) -> DataFrame:
-    """(url, link): the distinct detail links of listing pages, in order; `pattern` has the link as its first group."""
+def detail_links(pages: DataFrame, pattern: str, detail: str | None = None) -> DataFrame:
+    """(url, link): the distinct detail links of listing pages, in order; `pattern` has the link as its first group.
+
+    Pages whose own address looks like a `detail` page yield none.
+    """
+    pages = pages.where(~F.col("url").rlike(detail)) if detail else pages
     links = F.array_sort(F.array_distinct(F.regexp_extract_all("body", F.lit(pattern), F.lit(1))))
     return pages.select("url", F.explode(links).alias("link"))
 
@@ -230,9 +250,9 @@ def archive_captures(index: DataFrame, detail: str, total: int, years: list[int]
     from pyspark.sql import Window as W
 
     rows = index.where(F.col("original").rlike(detail)).withColumn("canonical", T.url_canonical(F.col("original"))).withColumn("year", F.substring("ts", 1, 4).cast("int")).where(F.col("year").isin(years))
-    first = rows.groupBy("board", "canonical").agg(F.min(F.struct("ts", "original", "year")).alias("r")).select("board", "r.*")
+    first = rows.groupBy("board", "canonical").agg(F.min(F.struct("ts", "original", "year")).alias("r")).select("board", "canonical", "r.*")
     place = F.row_number().over(W.partitionBy("board", "year").orderBy("ts", "original"))
-    return first.withColumn("place", place).where(F.col("place") <= max(1, total // max(1, len(years)))).select("board", "year", "original", "ts")
+    return first.withColumn("place", place).where(F.col("place") <= max(1, total // max(1, len(years)))).select("board", "year", F.col("canonical").alias("original"), "ts")
 
 
 def replayed(pages: DataFrame, boards: DataFrame) -> DataFrame:
@@ -243,7 +263,9 @@ def replayed(pages: DataFrame, boards: DataFrame) -> DataFrame:
     original = F.regexp_extract("url", r"/web/\d+(?:[a-z_]+)?/(https?://.*)$", 1)
     rows = pages.withColumn("archive", F.col("url")).withColumn("url", original).withColumn("host", T.url_domain(F.col("url"))).join(boards, "host").withColumn("source", F.concat(F.lit("wayback_"), "board"))
     live = html_board(rows.select("url", "source", "segment", "fetched_at", "body"))
-    return live.withColumn("is_historical", F.lit(True))
+    told = rows.groupBy("url", "source").agg(F.min("archive").alias("archive"))
+    told = told.select("url", "source", F.to_json(F.struct(F.expr("substring(source, 9)").alias("replayed_board"), F.regexp_extract("archive", r"/web/(\d+)", 1).alias("archive_timestamp"), F.col("archive").alias("archive_url"))).alias("extra"))
+    return live.drop("extra").join(told, ["url", "source"], "left").withColumn("is_historical", F.lit(True)).select(*live.columns)
 
 
 def segment_of(rows: DataFrame, companies: DataFrame, slug: str = "slug") -> DataFrame:
