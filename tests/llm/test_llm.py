@@ -472,6 +472,7 @@ def test_leaks_like_brute_force(spark):
     want = sorted((i, j) for i, t in enumerate(docs) for j, w in enumerate(items) if grams(leaks.words_of(t)) & grams(w))
     assert rows(leaks.find_leaks(d, it)) == want and want
     assert set(want) <= set(rows(leaks.find_leaks(d, it, radius=3)))
+    assert rows(leaks.find_leaks(d, it, filter_windows=60)) == want  # in several lots
     assert leaks.find_leaks(d, it.limit(0)).count() == 0 and leaks.find_leaks(d.limit(0), it).count() == 0
 
 
