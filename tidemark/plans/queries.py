@@ -20,6 +20,8 @@ from tidemark.streaming import ingest
 
 FLAGSHIP = "share_year"
 SETTINGS = replace(DiffusionSettings(), min_cell=30)
+#: For what the few dated postings of the following segment leave empty: every source counts as dated, cells may be thin.
+WIDE = replace(SETTINGS, min_cell=3, lead_share_min=0.015, trend_min=0.002, min_history_months=3)
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -59,16 +61,22 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "job_skills")
 
 
-def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return shares.share_frames(docs(spark, sf_dir), tags(spark, sf_dir), HISTORY_SOURCES, SETTINGS.min_cell)
+def history_of(spark: SparkSession, sf_dir: str, s: DiffusionSettings) -> tuple[str, ...]:
+    """The sources that count as dated; for WIDE all that are configured, a table of some dozen rows."""
+    return tuple(sorted(r.source for r in table(spark, sf_dir, "source_config").select("source").collect())) if s is WIDE else HISTORY_SOURCES
 
 
-def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frames(spark: SparkSession, sf_dir: str, s: DiffusionSettings = SETTINGS) -> dict[str, DataFrame]:
+    return shares.share_frames(docs(spark, sf_dir), tags(spark, sf_dir), history_of(spark, sf_dir, s), s.min_cell)
+
+
+def compared(spark: SparkSession, sf_dir: str, s: DiffusionSettings = SETTINGS) -> DataFrame:
     """The diffusion frame; the documents and the folded tags under its three share frames are made once."""
     known = checkpoint(docs(spark, sf_dir).select("job_id", "source", "segment", "year", "month"))
-    folded = checkpoint(shares.fold_tags(known, tags(spark, sf_dir), HISTORY_SOURCES))
-    f = shares.share_frames(known, folded, HISTORY_SOURCES, SETTINGS.min_cell, folded=True)
-    return diffusion.build_diffusion(f["current"], f["month"], f["year"], known, SETTINGS)
+    history = history_of(spark, sf_dir, s)
+    folded = checkpoint(shares.fold_tags(known, tags(spark, sf_dir), history))
+    f = shares.share_frames(known, folded, history, s.min_cell, folded=True)
+    return diffusion.build_diffusion(f["current"], f["month"], f["year"], known, s)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -82,7 +90,10 @@ DOCS = f"""{LAST}, docs AS (SELECT * FROM last l WHERE NOT coalesce(starts_with(
 DATED = "(source IN ('threadwork', 'wayback') OR starts_with(source, 'wayback_'))"
 
 
-def share_ctes(name: str, keys: str, where: str = "true") -> str:
+ANY_SOURCE = "source IN (SELECT source FROM source_config)"
+
+
+def share_ctes(name: str, keys: str, where: str = "true", s: DiffusionSettings = SETTINGS) -> str:
     """CTEs of one share frame called `name` over `docs`."""
     known = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
     on = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys.split(", "))
@@ -93,7 +104,7 @@ def share_ctes(name: str, keys: str, where: str = "true") -> str:
     {name}_m AS (SELECT {dk}, s.skill, s.track, s.category, count(DISTINCT s.job_id) AS n_mentions FROM job_skills s JOIN {d} d ON s.job_id = d.job_id
         WHERE s.skill IS NOT NULL AND s.track IS NOT NULL AND s.category IS NOT NULL GROUP BY {dk}, s.skill, s.track, s.category),
     {name} AS (SELECT m.*, t.n_jobs_total, g.n_tech_jobs, g.n_slots, n_mentions / n_jobs_total AS pct_of_all, n_mentions / n_tech_jobs AS pct_of_tech, n_mentions / n_slots AS share_of_mentions,
-        n_mentions / n_tech_jobs AS pct_share, coalesce(n_tech_jobs, 0) >= {SETTINGS.min_cell} AS usable FROM {name}_m m JOIN {name}_t t ON {on("m", "t")} LEFT JOIN {name}_g g ON {on("m", "g")})"""
+        n_mentions / n_tech_jobs AS pct_share, coalesce(n_tech_jobs, 0) >= {s.min_cell} AS usable FROM {name}_m m JOIN {name}_t t ON {on("m", "t")} LEFT JOIN {name}_g g ON {on("m", "g")})"""
 
 
 CURRENT, YEAR, MONTH = share_ctes("cur", "segment"), share_ctes("yr", "segment, year", DATED), share_ctes("mon", "segment, month", DATED)
@@ -140,16 +151,23 @@ def yoy_cte(name: str, segment: str) -> str:
 
 
 YOY_LEAD, YOY_FOLLOW = yoy_cte("ya", "GLOBAL"), yoy_cte("yb", "KE")
-DIFFUSION = f"""{DOCS}, {CURRENT}, {YEAR}, {MONTH}, {PIVOT}, {CALIBRATION}, {TREND}, {YOY_FOLLOW},
+def diffusion_ctes(s: DiffusionSettings, dated: str) -> str:
+    """All CTEs of the diffusion frame `dif`."""
+    current, year, month = share_ctes("cur", "segment", s=s), share_ctes("yr", "segment, year", dated, s), share_ctes("mon", "segment, month", dated, s)
+    return f"""{DOCS}, {current}, {year}, {month}, {PIVOT}, {CALIBRATION}, {TREND}, {YOY_FOLLOW},
     us AS (SELECT coalesce(bool_or(CASE WHEN segment = 'GLOBAL' THEN usable END), true) AND coalesce(bool_or(CASE WHEN segment = 'KE' THEN usable END), true) AS cell_usable FROM cur),
-    hi AS (SELECT count(DISTINCT month) >= 12 AS history FROM docs WHERE segment = 'KE'),
+    hi AS (SELECT count(DISTINCT month) >= {s.min_history_months} AS history FROM docs WHERE segment = 'KE'),
     x AS (SELECT piv.*, lead_share_now - follow_share_now AS diffusion_gap, lead_share_now - follow_share_now - "offset" AS calibrated_gap, tr.lead_trend AS lead_trend_12m, CASE WHEN history THEN yb.change END AS follow_trend_12m, coalesce(tr.months_observed, 0) AS months_observed, cell_usable, history
         FROM piv CROSS JOIN cal CROSS JOIN us CROSS JOIN hi LEFT JOIN tr ON piv.skill = tr.skill LEFT JOIN yb ON piv.skill = yb.skill),
     dif AS (SELECT *, CAST(rank() OVER (ORDER BY calibrated_gap DESC) AS DOUBLE) AS gap_rank,
-        CASE WHEN NOT cell_usable THEN 'insufficient_data' WHEN calibrated_gap < -0.01 THEN 'kenya_specific'
-             WHEN lead_share_now >= 0.05 AND follow_share_now <= 0.02 THEN CASE WHEN lead_trend_12m >= 0.01 THEN 'teach_ahead' WHEN lead_trend_12m <= -0.01 THEN 'declining_both' ELSE 'global_only' END
-             WHEN lead_share_now >= 0.05 THEN CASE WHEN lead_trend_12m >= 0.01 THEN 'arriving' ELSE 'established_both' END
-             WHEN follow_share_now > 0.02 THEN 'established_both' ELSE 'low_demand' END AS status FROM x)"""
+        CASE WHEN NOT cell_usable THEN 'insufficient_data' WHEN calibrated_gap < {s.gap_floor} THEN 'kenya_specific'
+             WHEN lead_share_now >= {s.lead_share_min} AND follow_share_now <= {s.follow_share_max} THEN CASE WHEN lead_trend_12m >= {s.trend_min} THEN 'teach_ahead' WHEN lead_trend_12m <= {-s.trend_min} THEN 'declining_both' ELSE 'global_only' END
+             WHEN lead_share_now >= {s.lead_share_min} THEN CASE WHEN lead_trend_12m >= {s.trend_min} THEN 'arriving' ELSE 'established_both' END
+             WHEN follow_share_now > {s.follow_share_max} THEN 'established_both' ELSE 'low_demand' END AS status FROM x)"""
+
+
+DIFFUSION, WIDE_DIFFUSION = diffusion_ctes(SETTINGS, DATED), diffusion_ctes(WIDE, ANY_SOURCE)
+WIDE_YEAR = share_ctes("yr", "segment, year", ANY_SOURCE, WIDE)
 BASE = ", ".join(f"'{b}'" for b in SETTINGS.baselines)
 
 
@@ -173,9 +191,9 @@ def yoy_lead(spark, sf_dir):
     return diffusion.year_over_year(frames(spark, sf_dir)["year"], "GLOBAL", 2024, 2025)
 
 
-@query(f"WITH {DOCS}, {YEAR}, {YOY_FOLLOW} SELECT * FROM yb")
+@query(f"WITH {DOCS}, {WIDE_YEAR}, {YOY_FOLLOW} SELECT * FROM yb")
 def yoy_follow(spark, sf_dir):
-    return diffusion.year_over_year(frames(spark, sf_dir)["year"], "KE", 2024, 2025)
+    return diffusion.year_over_year(frames(spark, sf_dir, WIDE)["year"], "KE", 2024, 2025)
 
 
 @query(f"""WITH {DIFFUSION} SELECT skill, track, category, round(lead_share_now, 9) AS lead_share_now, round(follow_share_now, 9) AS follow_share_now, round(diffusion_gap, 9) AS diffusion_gap, round(calibrated_gap, 9) AS calibrated_gap, gap_rank,
@@ -187,9 +205,9 @@ def diffusion_frame(spark, sf_dir):
     return rounded(compared(spark, sf_dir), "lead_share_now", "follow_share_now", "diffusion_gap", "calibrated_gap", "lead_trend_12m", "follow_trend_12m")
 
 
-@query(f"WITH {DIFFUSION} SELECT skill, track, round(calibrated_gap, 9) AS calibrated_gap, round(lead_trend_12m, 9) AS lead_trend_12m FROM dif WHERE status = 'teach_ahead' ORDER BY dif.calibrated_gap DESC, dif.lead_trend_12m DESC NULLS LAST, skill LIMIT 25")
+@query(f"WITH {WIDE_DIFFUSION} SELECT skill, track, round(calibrated_gap, 9) AS calibrated_gap, round(lead_trend_12m, 9) AS lead_trend_12m FROM dif WHERE status = 'teach_ahead' ORDER BY dif.calibrated_gap DESC, dif.lead_trend_12m DESC NULLS LAST, skill LIMIT 25")
 def watchlist(spark, sf_dir):
-    return rounded(diffusion.watchlist(compared(spark, sf_dir)), "calibrated_gap", "lead_trend_12m").select("skill", "track", "calibrated_gap", "lead_trend_12m")
+    return rounded(diffusion.watchlist(compared(spark, sf_dir, WIDE)), "calibrated_gap", "lead_trend_12m").select("skill", "track", "calibrated_gap", "lead_trend_12m")
 
 
 @query(f"WITH {DIFFUSION} SELECT skill, track, round(calibrated_gap, 9) AS calibrated_gap FROM dif WHERE status = 'kenya_specific' ORDER BY dif.calibrated_gap, skill LIMIT 10")
@@ -208,28 +226,33 @@ def status_counts(spark, sf_dir):
     return diffusion.diagnostics(compared(spark, sf_dir))
 
 
+@query(f"WITH {WIDE_DIFFUSION} SELECT status, count(*) AS skills, (SELECT round(avg(CAST(diffusion_gap > 0 AS INT)), 3) FROM dif) AS positive_gap_share FROM dif GROUP BY status")
+def status_counts_wide(spark, sf_dir):
+    return diffusion.diagnostics(compared(spark, sf_dir, WIDE))
+
+
 MOVERS = """WITH {d}, both_t AS (SELECT skill, {c} AS t FROM dif WHERE lead_trend_12m IS NOT NULL AND follow_trend_12m IS NOT NULL)
     SELECT 'rise' AS direction, skill, round(t * 100, 2) AS points FROM (SELECT * FROM both_t ORDER BY t DESC, skill LIMIT 10) UNION ALL SELECT 'fall', skill, round(t * 100, 2) FROM (SELECT * FROM both_t ORDER BY t, skill LIMIT 10)"""
 
 
-@query(MOVERS.format(d=DIFFUSION, c="lead_trend_12m"))
+@query(MOVERS.format(d=WIDE_DIFFUSION, c="lead_trend_12m"))
 def movers_lead(spark, sf_dir):
-    return diffusion.movers(compared(spark, sf_dir), "lead_trend_12m")
+    return diffusion.movers(compared(spark, sf_dir, WIDE), "lead_trend_12m")
 
 
-@query(MOVERS.format(d=DIFFUSION, c="follow_trend_12m"))
+@query(MOVERS.format(d=WIDE_DIFFUSION, c="follow_trend_12m"))
 def movers_follow(spark, sf_dir):
-    return diffusion.movers(compared(spark, sf_dir), "follow_trend_12m")
+    return diffusion.movers(compared(spark, sf_dir, WIDE), "follow_trend_12m")
 
 
-@query(f"""WITH {DOCS}, {YEAR}, {YOY_LEAD}, {YOY_FOLLOW}, j AS (SELECT ya.skill, ya.change AS a, yb.change AS b FROM ya JOIN yb ON ya.skill = yb.skill WHERE ya.share_to >= 0.01 OR yb.share_to >= 0.01),
+@query(f"""WITH {DOCS}, {WIDE_YEAR}, {YOY_LEAD}, {YOY_FOLLOW}, j AS (SELECT ya.skill, ya.change AS a, yb.change AS b FROM ya JOIN yb ON ya.skill = yb.skill WHERE ya.share_to >= 0.01 OR yb.share_to >= 0.01),
     g AS (SELECT count(*) AS n, count(*) FILTER (a >= 0.005) AS risers, count(*) FILTER (a >= 0.005 AND b > 0) AS hit, count(*) FILTER (b > 0) AS up, corr(a, b) AS r,
         string_agg(skill, ', ' ORDER BY skill) FILTER (a >= 0.005 AND b > 0) AS hits, string_agg(skill, ', ' ORDER BY skill) FILTER (a >= 0.005 AND NOT b > 0) AS misses FROM j)
     SELECT n AS n_comparable, risers AS n_risers, hit AS n_hits, CASE WHEN n >= 10 AND risers > 0 THEN round(hit / risers, 3) END AS hit_rate, CASE WHEN n >= 10 THEN round(up / n, 3) END AS base_rate,
         CASE WHEN n >= 10 AND risers > 0 THEN round(hit / risers - up / n, 3) END AS lift, CASE WHEN n >= 10 THEN round(r, 3) END AS corr, coalesce(hits, '') AS hits, coalesce(misses, '') AS misses,
         CASE WHEN n < 10 THEN 'too few comparable skills' END AS error FROM g""")
 def backtest(spark, sf_dir):
-    return diffusion.backtest(frames(spark, sf_dir)["year"], SETTINGS)
+    return diffusion.backtest(frames(spark, sf_dir, WIDE)["year"], WIDE)
 
 
 # ---------------------------------------------------------------- briefs and counts
