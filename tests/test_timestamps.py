@@ -86,3 +86,21 @@ def test_session_zone_does_not_matter(spark, zone):
         assert run(spark, ["2024-07-01 12:00:00"], "Europe/Berlin") == {0: us(2024, 7, 1, 10)}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_the_offset_history_is_found_among_all(spark):
+    """Local times with daylight saving, seen a little later: only the history itself keeps them in order that tightly."""
+    from datetime import UTC, datetime, timedelta
+    from zoneinfo import ZoneInfo
+
+    from tidemark.operators.timestamps import offset_histories
+
+    assert len(offset_histories()) > 90 and {"Africa/Nairobi", "America/New_York", "Asia/Kolkata"} <= set(offset_histories())
+    table = []
+    for zone in ("America/New_York", "Asia/Kolkata", "Europe/Berlin", "Australia/Sydney"):
+        for k in range(300):
+            seen = datetime(2023, 1, 1, tzinfo=UTC) + timedelta(hours=61 * k)
+            local = (seen - timedelta(minutes=1 + k % 50)).astimezone(ZoneInfo(zone)).replace(tzinfo=UTC)
+            table += [(zone, int(local.timestamp()) * 1_000_000, int(seen.timestamp()) * 1_000_000)] * (1 + k % 2)
+    got = estimate_zones(spark.createDataFrame(table, "source string, local_us bigint, seen_us bigint")).collect()
+    assert {r.source: (r.zone, r.violations, r.n) for r in got} == {z: (z, 0, 450) for z in ("America/New_York", "Asia/Kolkata", "Europe/Berlin", "Australia/Sydney")}

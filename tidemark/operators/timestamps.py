@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from zoneinfo import available_timezones
+from datetime import UTC, datetime, timedelta
+from functools import lru_cache
+from zoneinfo import ZoneInfo, available_timezones
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,39 +12,77 @@ from pyspark.sql import functions as F
 from tidemark.functions import instants
 
 CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
-#: Zones tried for a source that states none; a parameter of `estimate_zones`.
-CANDIDATE_ZONES = (
+#: Zones by whose names an offset history goes if they share it with others.
+USUAL_ZONES = (
     "UTC", "Africa/Nairobi", "Africa/Lagos", "Europe/London", "Europe/Berlin", "America/New_York",
     "America/Chicago", "America/Denver", "America/Los_Angeles", "America/Sao_Paulo", "Asia/Kolkata",
     "Asia/Singapore", "Asia/Tokyo", "Australia/Sydney",
 )
+QUARTER_US, HOUR_US = 900_000_000, 3_600_000_000
 
 
-def estimate_zones(pairs: DataFrame, candidates: tuple[str, ...] = CANDIDATE_ZONES, slack_us: int = 0) -> DataFrame:
+@lru_cache(1)
+def offset_histories() -> tuple[str, ...]:
+    """One zone for each different history of offsets, day by day, in the years that count."""
+    days = [datetime(instants.FIRST_YEAR, 1, 1, tzinfo=UTC) + timedelta(days=d) for d in range(0, 365 * (instants.LAST_YEAR - instants.FIRST_YEAR + 1), 3)]
+    by: dict[tuple, str] = {}
+    named = [z for z in sorted(available_timezones()) if "/" in z and not z.startswith(("Etc/", "SystemV/", "US/"))]
+    for zone in [*USUAL_ZONES, *named]:
+        info = ZoneInfo(zone)
+        by.setdefault(tuple(d.astimezone(info).utcoffset() for d in days), zone)
+    return tuple(sorted(by.values()))
+
+
+def estimate_zones(pairs: DataFrame, candidates: tuple[str, ...] | None = None, slack_us: int = 0) -> DataFrame:
     """(source, zone, violations, n): the zone whose offset history breaks causality least.
 
     `pairs` has source, local_us (a wall clock time without zone) and seen_us (the UTC instant at
-    which the row was ingested, an upper bound). Under a candidate zone an event that lies after its
+    which the row was ingested, an upper bound). Under a candidate zone (all `offset_histories` if none are given) an event that lies after its
     ingestion is a violation. Among zones with fewest violations the one with the smallest mean lag
-    to ingestion wins, then the name. One row per source and candidate leaves the map side, so a
-    source that holds a third of all rows costs no more than any other. Rows with nulls don't count;
+    to ingestion wins, then one of USUAL_ZONES, then the name. As offsets are quarters of hours and change on full ones, a
+    source's rows are first folded to their hour and the least offset that keeps them in order, so the
+    histories are tried on as many cells as there are hours and offsets, however many rows a source has. Rows with nulls don't count;
     a source without usable pairs gets no row.
     """
-    zones = F.explode(F.array(*[F.lit(z) for z in candidates]))
-    lag = F.col("seen_us") - instants.to_utc(F.col("local_us"), F.col("zone"))
-    tried = (
+    ahead = F.col("local_us") - F.col("seen_us")
+    cells = (
         pairs.select("source", "local_us", "seen_us").dropna()
-        .withColumn("zone", zones).withColumn("lag", lag)
-        .groupBy("source", "zone")
-        .agg(F.count_if(F.col("lag") < -slack_us).alias("violations"), F.avg(F.abs("lag")).alias("mean_lag"), F.count("*").alias("n"))
+        .groupBy("source", F.floor(F.col("local_us") / HOUR_US).alias("hour"), F.greatest(F.least(F.ceil((ahead - slack_us) / QUARTER_US), F.lit(60)), F.lit(-60)).alias("least"))
+        .agg(F.count("*").alias("n"), F.sum(ahead).alias("ahead"))
     )
-    best = F.min(F.struct("violations", "mean_lag", "zone", "n")).alias("b")
+    named = candidates or offset_histories()
+    zones = F.explode(F.array(*[F.struct(F.lit(z not in USUAL_ZONES).alias("unusual"), F.lit(z).alias("zone")) for z in named])).alias("z")
+    offset = (F.col("hour") * HOUR_US - instants.to_utc(F.col("hour") * HOUR_US, F.col("zone"))).alias("offset")
+    broken = F.col("offset") < F.col("least") * QUARTER_US
+    lag = F.col("n") * F.col("offset") - F.col("ahead")
+    tried = (
+        cells.select("*", zones).select("*", "z.*").withColumn("offset", offset).groupBy("source", "unusual", "zone")
+        .agg(F.sum(F.when(broken, F.col("n")).otherwise(0)).alias("violations"), (F.sum(F.abs(lag)) / F.sum("n")).alias("mean_lag"), F.sum("n").alias("n"))
+    )
+    best = F.min(F.struct("violations", "mean_lag", "unusual", "zone", "n")).alias("b")
     return tried.groupBy("source").agg(best).select("source", "b.zone", "b.violations", "b.n")
 
 
+def local_pairs(rows: DataFrame, fields: list[str], seen_field: str) -> DataFrame:
+    """(source, local_us, seen_us): the values that state no zone, with the instant their row was seen where that is stated.
+
+    `rows` has source, day_first and the text columns. Times at midnight, which most often are dates
+    alone, tell nothing about a zone and are left out.
+    """
+    local = instants.parse(F.col("v"), F.col("day_first"))
+    seen = instants.parse(F.col(seen_field), F.col("day_first"))
+    return (
+        rows.select("source", "day_first", seen_field, F.explode(F.array(*[F.col(f) for f in fields if f != seen_field] or [F.lit(None).cast("string")])).alias("v"))
+        .select("source", local.alias("p"), seen.alias("s"))
+        .where("p.local_us is not null and p.offset_min is null and p.zone is null and s.offset_min is not null")
+        .where(F.col("p.local_us") % instants.DAY_US != 0)
+        .select("source", "p.local_us", (F.col("s.local_us") - F.col("s.offset_min").cast("bigint") * 60_000_000).alias("seen_us"))
+    )
+
+
 def normalise_timestamps(
     rows: DataFrame, config: DataFrame, fields: list[str], seen_field: str = "fetched_at",
-    candidates: tuple[str, ...] = CANDIDATE_ZONES,
+    candidates: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """(row_id, field_name, raw, utc_us): one row per non-null value of `fields`.
 
@@ -58,15 +98,7 @@ def normalise_timestamps(
     by_source = config.where("source is not null").groupBy("source").agg(F.min_by("zone", F.coalesce("zone", F.lit("~"))).alias("home"), F.min_by("day_first", F.coalesce("zone", F.lit("~"))).alias("day_first"))
     joined = base.join(by_source, "source", "left")
 
-    lost = joined.where(F.col("home").isNull())
-    local = instants.parse(F.col("v"), F.col("day_first"))
-    seen = instants.parse(F.col(seen_field), F.col("day_first"))
-    pairs = (
-        lost.select("source", "day_first", seen_field, F.explode(F.array(*[F.col(f) for f in fields if f != seen_field] or [F.lit(None).cast("string")])).alias("v"))
-        .select("source", local.alias("p"), seen.alias("s"))
-        .where("p.local_us is not null and p.offset_min is null and p.zone is null and s.offset_min is not null")
-        .select("source", "p.local_us", (F.col("s.local_us") - F.col("s.offset_min").cast("bigint") * 60_000_000).alias("seen_us"))
-    )
+    pairs = local_pairs(joined.where(F.col("home").isNull()), fields, seen_field)
     guessed = estimate_zones(pairs, candidates).select("source", F.col("zone").alias("guess"))
 
     values = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("raw")) for f in fields])).alias("x")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import instants
 from tidemark.functions import text as T
 from tidemark.operators import audit, briefs, diffusion, extraction, shares, store
-from tidemark.operators.timestamps import normalise_timestamps, not_canonical
+from tidemark.operators.timestamps import estimate_zones, local_pairs, normalise_timestamps, not_canonical
 from tidemark.runtime import checkpoint, shared_folder, table
 from tidemark.settings import HISTORY_SOURCES, DiffusionSettings
 from tidemark.sources import adapters, jsonld
@@ -45,6 +45,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return not_canonical(found).select("row_id", "field_name", "utc_us")
 
 
+@query()
+def p1_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ingestion times say about each source's zone, whatever the configuration states; `zone` stands for its history of offsets."""
+    config = table(spark, sf_dir, "source_config").groupBy("source").agg(F.min("day_first").alias("day_first"))
+    rows = table(spark, sf_dir, "jobs").where("source is not null").select("source", "date_posted", "fetched_at").join(config, "source", "left")
+    return estimate_zones(local_pairs(rows, ["date_posted"], "fetched_at"))
+
+
 # ---------------------------------------------------------------- documents, tags and shares
 
 
