@@ -439,6 +439,8 @@ def test_pack(spark):
         assert all(total[d] == n for d, n in sizes.items() if d != 0)
     assert {r.bin_kind for r in packed} == {"a", "b"}
     assert packing.pack(docs.limit(0), bins).count() == 0 and packing.pack(docs, bins.limit(0)).count() == 0
+    one, five = (rows(packing.pack(docs.repartition(n), bins, bins_per_shard=20)) for n in (1, 5))
+    assert one == five
     report = {r.bin_kind: r.fill for r in packing.fill_report(packing.pack(docs, bins), bins).collect()}
     assert report["b"] > 0.9
 

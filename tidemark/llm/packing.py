@@ -87,7 +87,8 @@ def pack(docs: DataFrame, bins: DataFrame, vocabulary: str = VOCABULARY, bins_pe
     an empty result.
     """
     kinds = bins.where("bin_kind is not null and capacity_tokens > 0").groupBy("bin_kind").agg(F.max("capacity_tokens").cast("int").alias("capacity"))
-    sized = checkpoint(token_counts(docs, vocabulary).where("n_tokens > 0"))
+    # texts of one id and size are interchangeable: they are counted, and numbered from their count, so names don't depend on partitions
+    sized = checkpoint(token_counts(docs, vocabulary).where("n_tokens > 0").groupBy("doc_id", "n_tokens").agg(F.count("*").alias("copies")))
     cap = F.col("capacity")
     start = F.explode(F.sequence(F.lit(0), F.col("n_tokens") - 1, cap))
     # one row of kinds each meets all texts: there are as many as container kinds, counted here
@@ -95,7 +96,7 @@ def pack(docs: DataFrame, bins: DataFrame, vocabulary: str = VOCABULARY, bins_pe
     if not rows:
         return docs.sparkSession.createDataFrame([], "bin_kind string, bin_id string, doc_id bigint, piece int, token_start int, token_end int")
     each = F.explode(F.array(*[F.struct(F.lit(r.bin_kind).alias("bin_kind"), F.lit(r.capacity).alias("capacity")) for r in rows]))
-    pieces = sized.select("doc_id", "n_tokens", F.monotonically_increasing_id().alias("row"), each.alias("k")).select("doc_id", "row", "n_tokens", "k.*").withColumn("token_start", start)
+    pieces = sized.select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc_id", "n_tokens", F.concat_ws("_", "doc_id", "n_tokens", "copy").alias("row"), each.alias("k")).select("doc_id", "row", "n_tokens", "k.*").withColumn("token_start", start)
     pieces = pieces.withColumn("token_end", F.least(F.col("token_start") + cap, F.col("n_tokens"))).withColumn("size", F.col("token_end") - F.col("token_start"))
     pieces = pieces.withColumn("unit", F.concat_ws("-", "row", (F.col("token_start") / cap).cast("int")))
     full = pieces.where("size = capacity").withColumn("bin_id", F.concat(F.lit("f"), F.col("unit")))
