@@ -414,3 +414,65 @@ def test_pages_of_all_rows_are_read(spark, tmp_path):
 def test_item_list_links(spark):
     page = spark.createDataFrame([("u", '<script type="application/ld+json">{"@type": "ItemList", "itemListElement": [{"url": "/jobs/b"}, {"url": "/jobs/a"}, {"url": "/jobs/b"}]}</script><script type="application/ld+json">{"url": "/x"}</script>')], "url string, body string")
     assert rows(adapters.item_list_links(page), "link") == [("/jobs/a",), ("/jobs/b",)]
+
+
+# ------------------------------------------------------------- fetching
+
+
+def test_fetcher_asks_cache_rules_and_clock_in_turn():
+    import random
+
+    from tidemark.sources import politeness as P
+
+    now, asked = [0.0], []
+    answers = {"https://a.example/robots.txt": [P.Page(200, {}, "User-agent: *\nDisallow: /private\nCrawl-delay: 10")], "https://a.example/x": [P.Page(503, {}, ""), P.Page(429, {"Retry-After": "7"}, ""), P.Page(200, {}, "x")], "https://a.example/gone": [P.Page(404, {}, "")], "https://b.example/y": [OSError("no"), P.Page(200, {}, "y")], "https://c.example/z": [P.Page(500, {}, "")] * 9}
+
+    def transport(url):
+        asked.append(url)
+        got = answers[url].pop(0) if url in answers else None
+        if got is None or isinstance(got, Exception):
+            raise got or OSError("no rules")
+        return got
+
+    def sleep(s):
+        now[0] += s
+
+    f = P.Fetcher(transport, "tester", cache={}, rates={"b.example": 2.0}, clock=lambda: now[0], sleep=sleep, rng=random.Random(1))
+    assert f.get("https://a.example/x").body == "x" and f.get("https://a.example/x").body == "x"
+    assert asked.count("https://a.example/x") == 3 and asked.count("https://a.example/robots.txt") == 1 and f.counters.cached == 1
+    assert now[0] >= 14  # two more requests at one in ten seconds, jittered
+    with pytest.raises(P.Refused):
+        f.get("https://a.example/private/1")
+    with pytest.raises(P.Failed):
+        f.get("https://a.example/gone")
+    assert asked.count("https://a.example/gone") == 1  # not tried again
+    assert f.get("https://b.example/y").body == "y"  # no rules to be had: allowed
+    with pytest.raises(P.Failed):
+        f.get("https://c.example/z")
+    assert asked.count("https://c.example/z") == 4
+    assert dict(f.counters.fetched) == {"a.example": 1, "b.example": 1} and (f.counters.refused, f.counters.failed) == (1, 2)
+    assert P.pause(2, "7", random.Random(1)) == 7.0 and 3 <= P.pause(2, "Wed, 21 Oct", random.Random(1)) <= 5
+
+
+def test_one_bad_address_stops_nothing():
+    from tidemark.sources import politeness as P
+
+    marks = {}
+
+    def get(url):
+        if url == "b":
+            raise P.Failed("b: 404")
+        return P.Page(200, {}, url)
+
+    got = P.drain_addresses(iter("abcde"), get, lambda url, page: 1 / 0 if url == "c" else len(page.body) if url == "a" else 0, lambda u, state, note: marks.update({u: (state, note)}), 4)
+    assert got == {"addresses": 2, "postings": 1, "failed": 2} and list(marks) == list("abcd")
+    assert marks["a"] == ("done", "") and marks["d"] == ("done", "no postings") and marks["b"] == ("failed", "Failed: b: 404") and marks["c"][0] == "failed"
+
+
+def test_clear_and_order(spark, tmp_path):
+    df = spark.createDataFrame([("b", "s", "KE"), ("a", "s", "GLOBAL"), ("c", "t", "KE")], "job_id string, source string, segment string")
+    assert [r.job_id for r in store.in_order(df).collect()] == ["a", "b", "c"]
+    assert [r.job_id for r in store.in_order(df, "s", "KE").collect()] == ["b"]
+    df.write.parquet(str(tmp_path / "t"))
+    assert store.clear(spark, str(tmp_path / "t")) == 3 and store.clear(spark, str(tmp_path / "t")) == 0
+    assert spark.read.parquet(str(tmp_path / "t")).columns == df.columns

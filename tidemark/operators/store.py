@@ -37,6 +37,21 @@ def replace_keys(existing: DataFrame, incoming: DataFrame, key: str) -> DataFram
     return existing.join(incoming.select(key).distinct(), key, "left_anti").unionByName(incoming)
 
 
+def clear(spark, path: str) -> int:
+    """Empties a Parquet table and tells how many rows it had; its columns stay."""
+    rows = spark.read.parquet(path)
+    n, schema = rows.count(), rows.schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    return n
+
+
+def in_order(docs: DataFrame, source: str | None = None, segment: str | None = None) -> DataFrame:
+    """The documents of a source and segment, where given, by job_id: what a job that goes through all of them reads."""
+    for column, asked in (("source", source), ("segment", segment)):
+        docs = docs.where(F.col(column) == asked) if asked else docs
+    return docs.orderBy("job_id")
+
+
 def latest_state(events: DataFrame, key: str = "url") -> DataFrame:
     """(url, source, state, attempts, note): the queue after all marks; each mark that isn't `pending` was an attempt.
 
