@@ -13,6 +13,7 @@ import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,7 @@ STOP = set(
     "ltd inc llc gmbh group brothers company co saint station office city town python java sql go rust kotlin engineer remote full time sent posted copy applied twice year moved kept candidate gave payroll needs api apis between mention score share bring tried node host ujuzi dein deine unser unsere büro gute guter gutes meine mein finish nobody background check hold "
     "would could should will can may might must shall have has had do does did".split()
 ) - {"wa", "de", "la", "da", "may", "april", "june", "august"}
+STOP_WORDS = frozenset(w for w in STOP if len(w) > 1)
 STREET_WORDS = "Street|St\\.?|Road|Rd\\.?|Lane|Ln\\.?|Close|Drive|Dr\\.?|Avenue|Ave\\.?|Court|Ct\\.?|Way|Crescent|Gardens|Place|Terrace|Highway|Boulevard|Blvd\\.?|Square|Hill|Row|Walk|Grove|Park"
 U, L = "A-ZÀ-ÖØ-ÞĀĂĄĆČĎĐĒĖĘĚŁŃŇŐŒŘŚŞŠŢŤŪŮŰŹŻŽ", "a-zà-öø-ÿāăąćčďđēėęěłńňőœřśşšţťūůűźżž"
 NAME = rf"[{U}{L}]+(?:['’][{U}{L}]+)*(?:-[{U}{L}]+(?:['’][{U}{L}]+)*)*"
@@ -165,24 +167,35 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int]]:
         heads = [(w.start(), w.group().lower()) for w in RUN_WORD.finditer(text, run.start(), run.end())]
         if all(w in STOP or w in common or w in TECH for _, w in heads):
             continue
-        for at, first in heads:
-            if first not in STOP and first not in TECH or len(first) == 2:
-                named += [(*m.span(1), True) for p in (INITIALS if first[1:] == "." else NAMES) if (m := p.match(text, at)) and m.end(1) <= run.end()]
+        for (at, first), (_, second) in pairwise([*heads, (0, "")]):
+            # what would start with a word that no name has, or with two everyday ones, isn't tried
+            if len(first) > 2 and (first in STOP or first in TECH) or second in STOP_WORDS or first in common and second in common and first not in GIVEN and second not in GIVEN:
+                continue
+            named += [(*m.span(1), True) for p in (INITIALS if first[1:] == "." else NAMES) if (m := p.match(text, at)) and m.end(1) <= run.end()]
+    known_cues: dict[int, bool] = {}
+
+    def cued_at(at: int) -> bool:
+        if at not in known_cues:
+            known_cues[at] = bool(CUE["person_left"].search(low[max(0, at - 30) : at]))
+        return known_cues[at]
+
     for a, b, shaped in dict.fromkeys(named):
         words = text[a:b].split()
         bare = [w.strip(".,").lower() for w in words]
-        if any(q in STOP and len(q) > 1 for w in bare for q in (w, *w.replace("’", "'").split("'"), *w.split("-"))) or len(set(bare)) < len(bare) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
+        if not STOP_WORDS.isdisjoint(bare) or len(set(bare)) < len(bare):
+            continue
+        if any(c in text[a:b] for c in "'’-") and not STOP_WORDS.isdisjoint(q for w in bare for q in re.split("['’-]", w)) or any(len(w) == 1 and not x.endswith((".", ".,")) for w, x in zip(bare, words, strict=True)):
             continue
         parts = [q for w in bare for q in w.split("-")]
         known = any(q in GIVEN or len(q) > 3 and q.endswith(ENDINGS) for q in parts)
         # by its shape alone a span is a name unless all its words are everyday ones; in lower case a name or a cue has to speak for it
         if known and text[a:b].islower() and not any(q in GIVEN for q in parts):
             known = bool(CUE["person_right"].search(low[b : b + 40])) or any(b < x <= b + 3 for x in starts)
-        if any(w.isupper() and len(w.strip(".,")) > 1 for w in words) and any(q in common and q not in GIVEN for q in parts) and not CUE["person_left"].search(low[max(0, a - 30) : a]):
+        if any(w.isupper() and len(w.strip(".,")) > 1 for w in words) and any(q in common and q not in GIVEN for q in parts) and not cued_at(a):
             continue  # a line in capitals, not a name
         if all(w in TECH or w in common for w in bare) and any(w in TECH for w in bare):
             continue
-        if known or shaped and not all(w in common or len(w) == 1 for w in bare) or CUE["person_left"].search(low[max(0, a - 30) : a]):
+        if known or shaped and not all(w in common or len(w) == 1 for w in bare) or cued_at(a):
             out.add(("person", a, b))
     return sorted(out, key=lambda c: (c[1], c[2], c[0]))
 
@@ -209,28 +222,35 @@ def common_words(path: str = VOCABULARY) -> frozenset[str]:
         return frozenset(t[1:].decode() for t in tokens if len(t) > 3 and t[:1] == b" " and t[1:].isalpha() and t.isascii() and t[1:].islower())
 
 
+#: What may stand directly before a word.
+BORDERS = " \n\r\t\u00a0([{<>/\\-–—_*|\"“”„‘’'`.,:;!?=+&#@0123456789"
+
+
 @lru_cache(1)
 def _finder():
     """An automaton for all marks of at least three characters; each is known as at sign, person or place."""
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    for kind, words in (("at", AT_MARKS), ("end", GERMAN_STREET), ("place", PLACES), ("person", GIVEN | BESIDE), ("pair", BESIDE_PAIRS), ("pair", ("—",)), ("cue", BESIDE_ENDS), ("dot", (" dot ", " point "))):
+    for kind, words in (("at", AT_MARKS), ("end", GERMAN_STREET), ("place", PLACES), ("short", ("st", "rd", "ln", "ct", "av", "c/")), ("title", ("mr", "ms")), ("both", ("dr",)), ("person", BESIDE), ("name", GIVEN), ("pair", BESIDE_PAIRS), ("pair", ("—",)), ("cue", BESIDE_ENDS), ("dot", (" dot ", " point "))):
         for w in words:
-            if len(w) > 2 or kind in ("at", "pair", "cue"):
+            if kind in ("at", "end", "pair", "cue", "dot"):
                 a.add_word(w, (kind, len(w), w))
+            elif len(w) > 2 or kind in ("short", "title", "both"):  # only behind what may stand before a word: most texts hold many short names inside other words
+                for c in BORDERS:
+                    a.add_word(c + w, (kind, len(w), w))
     a.make_automaton()
     return a
 
 
 HOUSE = re.compile(r"\d(?: ?(?:bis|ter))?,? $")
-SHORT_MARK = re.compile(r"(?<![^\W_])(?:(St|Rd|Ln|Dr|Ct|Av|C/)|(?:[DdMm][Rr]|[Mm][Ss])\b)")
 
 
 def marks(text: str, low: str) -> tuple[list[int], list[int], list[int], list[int]]:
     """Where at signs, names or cues for them, and words of addresses stand (these with a capital, but for French ones), and where a name would start after one of BESIDE_ENDS."""
     at_signs, people, places, cued, dotted = [], [], [], [], False
-    for end, (kind, n, w) in _finder().iter(low):
+    for end, (kind, n, w) in _finder().iter("\n" + low):
+        end -= 1
         a = end - n + 1
         if kind == "at":
             at_signs.append(a)
@@ -244,13 +264,18 @@ def marks(text: str, low: str) -> tuple[list[int], list[int], list[int], list[in
                 cued.append(end + 1 + (low[end + 1 : end + 2] == " "))
         elif kind == "dot":
             dotted = True
-        elif not (a and low[a - 1].isalpha()) and not low[end + 1 : end + 2].isalpha():
-            if kind == "person":
+        elif kind == "both":
+            if not low[end + 1 : end + 2].isalpha():
+                people.append(a)
+                places.append(a)
+        elif not low[end + 1 : end + 2].isalpha():
+            if kind == "title":
                 people.append(a)
+            elif kind == "person" or kind == "name":
+                if kind == "person" or text[a].islower():  # names with a capital are found by their shape
+                    people.append(a)
             elif text[a].isupper() or w in FRENCH or w == "place" and HOUSE.search(text, max(0, a - 9), a):
                 places.append(a)
-    for m in SHORT_MARK.finditer(text):
-        (places if m.group(1) else people).append(m.start())
     if dotted:
         at_signs += [m.start() for m in AT_WORD.finditer(low)]
     return at_signs, people, places, cued
