@@ -476,3 +476,42 @@ def test_clear_and_order(spark, tmp_path):
     df.write.parquet(str(tmp_path / "t"))
     assert store.clear(spark, str(tmp_path / "t")) == 3 and store.clear(spark, str(tmp_path / "t")) == 0
     assert spark.read.parquet(str(tmp_path / "t")).columns == df.columns
+
+
+# ------------------------------------------------------------- listing pages
+
+
+def test_listing_pages(spark):
+    page = lambda url, body: (url, "s", "KE", body)
+    job = '<script type="application/ld+json">{"@type": "JobPosting", "title": "Dev"}</script>'
+    listing = '<a href="/kenya/jobs/dev-ops-1234"></a><a href="/kenya/job/it"></a><a href="/kenya/job/senior"></a><script type="application/ld+json">{"@type": "ItemList", "itemListElement": [{"url": "https://h/kenya/jobs/aa-bb-cc-1"}, {"url": "https://h/about"}]}</script>'
+    pages = spark.createDataFrame([page("https://h/kenya/jobs/dev-1", job), page("https://h/kenya/job/it", listing + job), page("https://h/kenya/job", listing), page("https://h/kenya/job/empty", "")], "url string, source string, segment string, body string").withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    detail = "/[a-z]+/jobs/"
+    assert rows(adapters.html_board(pages, detail), "native_id") == [("dev-1",)]
+    links = adapters.item_list_links(pages, "/jobs/", r'href="(/[a-z]+/jobs/[a-z0-9-]{8,})"', "https://h")
+    assert rows(links.where("url = 'https://h/kenya/job/it'"), "link") == [("https://h/kenya/jobs/aa-bb-cc-1",), ("https://h/kenya/jobs/dev-ops-1234",)]
+    assert rows(adapters.detail_links(pages, r'href="(/[a-z]+/jobs/[a-z0-9-]+)"', detail), "url") == [("https://h/kenya/job",), ("https://h/kenya/job/it",)]
+    assert rows(adapters.category_links(pages, "/[a-z]+/job/?$", r'href="(/[a-z]+/job/[a-z0-9-]+)"', "https://h", {"senior"})) == [("https://h/kenya/job", "https://h/kenya/job/it")]
+    following = adapters.next_listing(pages, links.where("url like '%/it'"), "zero", 5, "/[a-z]+/job/?$")
+    assert rows(following) == [("https://h/kenya/job", "https://h/kenya/job?page=1"), ("https://h/kenya/job/it", "https://h/kenya/job/it?page=1")]
+    assert value(spark, adapters.next_page(F.col("u"), "zero", 5), u="https://h/x?page=3") == "https://h/x?page=4" and value(spark, adapters.next_page(F.col("u"), "zero", 5), u="https://h/x?page=4") is None
+    for url, want in (("https://h.com/uganda/jobs/1", "UG"), ("https://h.com/jobs/1", "KE")):
+        assert value(spark, adapters.country_of_url(F.col("u"), r"h\.com/([a-z]+)/", {"kenya": "KE", "uganda": "UG", "nigeria": "NG"}, "KE"), u=url) == want
+
+
+def test_settings_from_a_mapping():
+    from tidemark.settings import DiffusionSettings
+
+    s = DiffusionSettings.from_mapping({"min_cell": "50", "baselines": ["SQL"], "lead_share_min": 0.1})
+    assert (s.min_cell, s.baselines, s.lead_share_min, s.trend_min) == (50, ("SQL",), 0.1, 0.01) and not s.enable_lag_estimate
+    with pytest.raises(ValueError, match="unknown"):
+        DiffusionSettings.from_mapping({"min_cells": 1})
+
+
+def test_remote_board_extras(spark):
+    import json
+
+    body = json.dumps({"jobs": [{"id": 1, "jobTitle": "t", "jobDescription": "", "jobExcerpt": "short", "jobLevel": "Senior", "salaryPeriod": "yearly"}]})
+    r = adapters.REGISTRY["reefjobs"][1](payload(spark, "reefjobs", body)).first()
+    assert r.description_html == "short" and json.loads(r.extra) == {"job_level": "Senior", "salary_period": "yearly"}
+    assert adapters.attribution({"reefjobs": {"attribution": "by Reef"}}, "reefjobs") == "by Reef" and adapters.attribution({}, "x") is None

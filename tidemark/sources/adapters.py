@@ -198,12 +198,14 @@ def next_cursor(payloads: DataFrame, max_pages: int = 60) -> DataFrame:
     return payloads.where(cursor.isNotNull() & (cursor != "") & (page < max_pages)).select(F.concat(base, F.lit("&cursor="), F.url_encode(cursor), F.lit("&page="), (page + 1).cast("string")).alias("url"))
 
 
-def html_board(pages: DataFrame) -> DataFrame:
-    """Detail pages with structured data to postings: at most one a page, none without a title; listing pages give none.
+def html_board(pages: DataFrame, detail: str | None = None) -> DataFrame:
+    """Detail pages with structured data to postings: at most one a page, none without a title.
 
+    Where `detail` says what detail pages' addresses look like, all other pages give none, whatever they embed.
     The native id is the last part of the path; the place falls back on where applicants may live, the
     remote flag on what place and title say.
     """
+    pages = pages.where(F.col("url").rlike(detail)) if detail else pages
     got = jsonld.parse_pages(pages.withColumnRenamed("body", "html").select("url", "source", "segment", "fetched_at", "html")).where("found")
     place = F.coalesce("location", "applicant_location")
     return posting(
@@ -226,19 +228,43 @@ def detail_links(pages: DataFrame, pattern: str, detail: str | None = None) -> D
     return pages.select("url", F.explode(links).alias("link"))
 
 
-def item_list_links(pages: DataFrame) -> DataFrame:
-    """(url, link): addresses in the ItemList of a page's structured data."""
+def item_list_links(pages: DataFrame, within: str = "", hrefs: str | None = None, base: str = "") -> DataFrame:
+    """(url, link): addresses in the ItemList of a page's structured data that hold `within`, and those that the pattern `hrefs` finds, put behind `base`; in order, once each."""
     raw = F.regexp_extract_all("body", F.lit(r"(?is)<script[^>]+application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
     items = F.flatten(F.transform(F.filter(raw, lambda b: b.contains("ItemList")), lambda b: F.regexp_extract_all(b, F.lit(r'"url"\s*:\s*"([^"]+)"'), F.lit(1))))
-    return pages.select("url", F.explode(F.array_sort(F.array_distinct(items))).alias("link"))
+    links = F.filter(items, lambda u: u.contains(within))
+    if hrefs:
+        links = F.concat(links, F.transform(F.regexp_extract_all("body", F.lit(hrefs), F.lit(1)), lambda h: F.concat(F.lit(base), h)))
+    return pages.select("url", F.explode(F.array_sort(F.array_distinct(links))).alias("link"))
+
+
+def category_links(pages: DataFrame, landing: str, pattern: str, base: str, others: set[str]) -> DataFrame:
+    """(url, link): the categories that landing pages lead to; `others` are last parts of addresses of the same shape that are none."""
+    found = F.array_distinct(F.regexp_extract_all("body", F.lit(pattern), F.lit(1)))
+    kept = F.filter(found, lambda h: ~F.substring_index(h, "/", -1).isin(sorted(others))) if others else found
+    return pages.where(F.col("url").rlike(landing)).select("url", F.explode(F.array_sort(F.transform(kept, lambda h: F.concat(F.lit(base), h)))).alias("link"))
+
+
+def next_listing(pages: DataFrame, links: DataFrame, style: str, cap: int, index: str | None = None) -> DataFrame:
+    """(url, next): the following page of each listing that led to postings (`links`), or whose address looks like an `index` page, up to the cap."""
+    fruitful = pages.join(links.select("url").distinct(), "url", "left_semi").select("url")
+    if index:
+        fruitful = fruitful.union(pages.where(F.col("url").rlike(index)).select("url")).distinct()
+    return fruitful.select("url", next_page(F.col("url"), style, cap).alias("next")).where("next is not null")
+
+
+def country_of_url(url: Column, pattern: str, codes: dict[str, str], default: str) -> Column:
+    """The country code for what the first group of `pattern` finds in an address."""
+    named = F.create_map(*[F.lit(x) for c in codes.items() for x in c])
+    return F.coalesce(F.try_element_at(named, F.regexp_extract(url, pattern, 1)), F.lit(default))
 
 
 def next_page(url: Column, style: str, cap: int) -> Column:
-    """The following listing page: `query` (?page=n), `path` (/n) or `page` (/page/n/); null at the cap."""
-    pattern, put = {"query": (r"[?&]page=(\d+)", "?page="), "path": (r"/(\d+)/?$", "/"), "page": (r"/page/(\d+)/?$", "/page/")}[style]
-    now = F.coalesce(F.regexp_extract(url, pattern, 1).try_cast("int"), F.lit(1))
+    """The following listing page: `query` (?page=n), `zero` (the same, the first being 0, so that `cap` is their number), `path` (/n) or `page` (/page/n/); null at the cap."""
+    pattern, put = {"query": (r"[?&]page=(\d+)", "?page="), "zero": (r"[?&]page=(\d+)", "?page="), "path": (r"/(\d+)/?$", "/"), "page": (r"/page/(\d+)/?$", "/page/")}[style]
+    now = F.coalesce(F.regexp_extract(url, pattern, 1).try_cast("int"), F.lit(0 if style == "zero" else 1))
     base = F.regexp_replace(F.regexp_replace(url, pattern, ""), "/$", "")
-    return F.when(now < cap, F.concat(base, F.lit(put), (now + 1).cast("string"), F.lit("/" if style == "page" else "")))
+    return F.when(now + 1 < cap if style == "zero" else now < cap, F.concat(base, F.lit(put), (now + 1).cast("string"), F.lit("/" if style == "page" else "")))
 
 
 def archive_captures(index: DataFrame, detail: str, total: int, years: list[int]) -> DataFrame:
