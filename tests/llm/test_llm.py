@@ -314,6 +314,23 @@ def test_repeated_postings_adds_only_new_batches(spark, tmp_path, monkeypatch):
     assert got == [(1, 3), (1, 6), (1, 12), (2, 4), (5, 7), (8, 9), (10, 11)]
 
 
+@pytest.mark.parametrize("threshold", [1.0, 0.8])
+def test_waiting_batches_are_taken_in_lots_that_double(spark, tmp_path, monkeypatch, threshold):
+    rng = random.Random(9)
+    sets = [sorted(rng.sample("abcdefg", rng.choice((4, 5, 6)))) for _ in range(60)]
+    df = spark.createDataFrame([(i, i // 4, "".join(x), x) for i, x in enumerate(sets)], "row_id bigint, batch int, key string, tokens array<string>")
+    runs, write = [], batches.BatchIndex._write
+    monkeypatch.setattr(batches.BatchIndex, "_write", lambda self, postings, run: (runs.append(run), write(self, postings, run)))
+    index = batches.BatchIndex(spark, str(tmp_path), threshold, lots=True)
+    for n in range(15):
+        index.add_batch(df, n)
+    index.settle()
+    like = lambda a, b: len(set(a) & set(b)) >= threshold * len(set(a) | set(b))
+    want = {(i // 4, "".join(x)): min(j for j in range(i + 1) if like(x, sets[j])) for i, x in reversed(list(enumerate(sets)))}
+    assert first_rows(index) == want and index.batches == list(range(15))
+    assert len(runs) == 5  # 1, 1, 2, 4 and the last 7
+
+
 # ------------------------------------------------------------- p6 encoding
 
 
