@@ -423,6 +423,36 @@ def test_labels_reach_every_similar_unit_like_brute_force(spark):
     assert len(want) > 200 and {u.unit for u in residue.propagate(df).collect()} == want
 
 
+def test_labels_go_on_to_paragraphs_and_pages_that_do_not_look_like_residue(spark):
+    dummy = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor".split()
+    plain = [f"plainword{'abcdefghijklmnopqrstuvwxyz'[i % 26] * (1 + i // 26)}" for i in range(60)]
+    chain = [dummy * 3 + plain[:14]]  # seven tenths dummy words
+    for i in range(1, 11):  # each gives up three of its words at the front for others at the end
+        chain.append(chain[-1][3:] + [f"later{'abcdefghijklmnopqrstuvwxyz'[i]}{c}" for c in "xyz"])
+    page = "404 Not Found on this server. Please check the address and try again later or contact the site administrator for help with the link and the browser settings, the cache and the cookies of your browser"
+    texts = [" ".join(c) for c in chain] + [page, "404 Nt Found" + page[13:], "We write software for farmers and pay well for it, every day of the year."]
+    df = spark.createDataFrame(list(enumerate(f"<p>{t}</p>" for t in texts)), "row_id bigint, description_html string")
+    grams = [set(simhash.shingles(residue.WORD.findall(residue.frame(t)))) for t in texts]
+    like = lambda i, j: len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])
+    want = {i: k for i, t in enumerate(texts) for _, _, k, _ in residue.units_of(t) if k}
+    new = set(want)
+    while new:
+        new = {j for j in range(len(texts)) if j not in want and any(like(i, j) and (want.update({j: want[i]}) or True) for i in new)}
+    assert rows(residue.find_residue(df)) == sorted(want.items()) and sorted(want) == list(range(13))
+
+
+def test_prefixes_of_hashes_meet_like_brute_force():
+    r = random.Random(8)
+    for _ in range(300):
+        a = [f"w{r.randrange(30)}" for _ in range(r.randrange(1, 60))]
+        b = a[:]
+        for _ in range(r.randrange(3)):
+            b[r.randrange(len(b))] = "else"
+        x, y = set(simhash.shingles(a)), set(simhash.shingles(b))
+        if len(x & y) >= 0.8 * len(x | y):
+            assert set(simhash.prefix_hashes(a)) & set(simhash.prefix_hashes(b))
+
+
 # ------------------------------------------------------------- p8 packing
 
 

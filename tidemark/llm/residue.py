@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.simhash import RADIUS, block_keys, hamming, near, prefix, shingles, simhash
+from tidemark.llm.simhash import RADIUS, block_keys, hamming, near, prefix, prefix_hashes, shingles, simhash
 from tidemark.runtime import checkpoint, spread
 
 # Ways to write a slot of a template. The first kind is only used for slots, the second
@@ -115,7 +115,9 @@ def frame(text: str, numbers: re.Pattern = NUMBER) -> str:
     """Lower case, slots and numbers masked, so that what a template makes of different values is one text."""
     if SLOT_MARKS.search(text):
         text = SLOT.sub("§", text)
-    return SPACE.sub(" ", numbers.sub("0", text).lower()).strip()
+    if NUMBER.search(text):
+        text = numbers.sub("0", text)
+    return SPACE.sub(" ", text.lower()).strip()
 
 
 def _cycle(words: list[str]) -> bool:
@@ -177,14 +179,22 @@ def seed_units(text: str, kind: str) -> list[tuple[str, str, str]]:
     return [("paragraph", frame(text), kind)]
 
 
-def units_of(text: str) -> list[tuple[str, str, str | None]]:
-    """(scope, unit, trusted kind): what of a text is, or can be near, residue."""
+#: Paragraphs of fewer words have too few shingles to be near any other words than the same.
+LEAST_WORDS = 8
+
+
+def units_of(text: str) -> list[tuple[str, str, str | None, bool]]:
+    """(scope, unit, trusted kind, likely): what of a text is, or can be near, residue.
+
+    Any paragraph and any whole text can, also through others; those that look like it are likely.
+    A sentence without a slot is no unfilled one however near it is.
+    """
     paragraphs = readable(text)
     if not paragraphs:
         return []
     slotted = [bool(SLOT_MARKS.search(p)) and bool(SLOT.search(p)) for p in paragraphs]
     masked = SPACE_RUNS.sub(" ", NUMBER.sub("0", "\n".join(SLOT.sub("§", p) if has else p for p, has in zip(paragraphs, slotted, strict=True))).lower()).split("\n")
-    out, page = {}, False
+    out, others, page = {}, {}, False
     for p, unit, has in zip(paragraphs, masked, slotted, strict=False):
         unit = unit.strip()
         words = WORD.findall(unit)
@@ -192,16 +202,30 @@ def units_of(text: str) -> list[tuple[str, str, str | None]]:
         sure, maybe = filler_of(words)
         if maybe:
             out["paragraph", unit] = "filler" if sure else None
+        elif len(words) >= LEAST_WORDS:
+            others["paragraph", unit] = None
         if has:
             for s in SENTENCE.split(p):
                 if SLOT.search(s) and not TALKS.search(s):
                     unit = frame(s)
                     out["sentence", unit] = "placeholder" if STRONG.search(s) else out.get(("sentence", unit))
-    if page:
-        whole = " ".join(paragraphs)
-        parts = [frame(q, TRACE) for q in (ASKED.sub("", x).strip() for x in paragraphs) if q] or [frame(whole, TRACE)]
-        out["whole", " ".join(parts)] = page_kind(parts)
-    return [(scope, unit, kind) for (scope, unit), kind in out.items()]
+    parts = [frame(q, TRACE) for q in (ASKED.sub("", x).strip() if "Please enable" in x else x for x in paragraphs) if q] or [frame(" ".join(paragraphs), TRACE)]
+    (out if page else others)["whole", " ".join(parts)] = page_kind(parts) if page else None
+    return [(scope, unit, kind, True) for (scope, unit), kind in out.items()] + [(scope, unit, None, False) for scope, unit in others]
+
+
+def marks_of(scope: str, unit: str) -> list[int]:
+    """The hashes of which near units of the scope share one."""
+    return [h if scope == "paragraph" else ~h for h in _prefix(unit)]
+
+
+@lru_cache(1 << 16)
+def _prefix(unit: str) -> list[int]:
+    return prefix_hashes(WORD.findall(unit))
+
+
+#: Marks that are sent to every task at most; more of them are joined by a shuffle.
+SENT_MARKS = 1_000_000
 
 
 def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,9 +275,10 @@ def propagate(units: DataFrame, max_rounds: int = 100) -> DataFrame:
 def find_residue(rows: DataFrame, text_col: str = "description_html") -> DataFrame:
     """(row_id, kind): rows whose text is no finished text, a row for each kind found.
 
-    The readable text is cut into units: the whole text where it says what error pages or notices
-    say, whatever its length (`page_kind`), its paragraphs that resemble filler (`filler_of`),
-    and its sentences that hold something like a slot. Units that are equal up to numbers and slots are one.
+    The readable text is cut into units: the whole text, its paragraphs, and its sentences that hold
+    something like a slot. Units that are equal up to numbers and slots are one. Those that look like
+    residue (`page_kind`, `filler_of`) are kept from the start, of all others only the marks that near
+    units share: texts that share one with a labelled unit are read again, until no label is new.
     Trusted are slots in unmistakable syntax outside code and talk about templates, dummy words and
     phrases repeated over and over, whole pages, and the public texts of SEEDS. From there the labels go on
     through components of near-duplicates (`propagate`). An error page or notice is only one as a whole.
@@ -264,12 +289,38 @@ def find_residue(rows: DataFrame, text_col: str = "description_html") -> DataFra
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            flat = [(i, *u) for i, text in zip(pdf.row_id, pdf[text_col], strict=True) for u in units_of(text)]
+            flat = []
+            for i, text in zip(pdf.row_id, pdf[text_col], strict=True):
+                marks = set()
+                for scope, unit, kind, likely in units_of(text):
+                    if likely:
+                        flat.append((i, scope, unit, kind, None))
+                    else:
+                        marks.update(marks_of(scope, unit))
+                if marks:
+                    flat.append((i, None, None, None, list(marks)))
+            yield pd.DataFrame(flat, columns=["row_id", "scope", "unit", "kind", "marks"]).astype({"row_id": "int64", "scope": object, "unit": object, "kind": object, "marks": object})
+
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            flat = [(i, *u[:3]) for i, text in zip(pdf.row_id, pdf[text_col], strict=True) for u in units_of(text) if not u[3]]
             yield pd.DataFrame(flat, columns=["row_id", "scope", "unit", "kind"]).astype({"row_id": "int64", "kind": object})
 
-    texts = spread(rows.where(F.col(text_col).isNotNull() & (F.col(text_col) != "") & F.col("row_id").isNotNull()).select(F.col("row_id").cast("bigint").alias("row_id"), text_col))
-    flat = checkpoint(texts.mapInPandas(run, "row_id bigint, scope string, unit string, kind string"))
+    def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"mark": pd.Series([m for scope, unit in zip(pdf.scope, pdf.unit, strict=True) for m in marks_of(scope, unit)], dtype="int64")})
+
+    kept = rows.where(F.col(text_col).isNotNull() & (F.col(text_col) != "") & F.col("row_id").isNotNull()).select(F.col("row_id").cast("bigint").alias("row_id"), text_col)
+    flat = checkpoint(spread(kept).mapInPandas(run, "row_id bigint, scope string, unit string, kind string, marks array<bigint>"))
     seeds = flat.sparkSession.createDataFrame([(scope, unit, kind) for text, kind in SEEDS for scope, unit, _ in seed_units(text, kind)], "scope string, unit string, kind string")
-    distinct = flat.select("scope", "unit", "kind").unionByName(seeds).groupBy("scope", "unit").agg(F.max("kind").alias("kind"))
-    labelled = propagate(distinct.mapInPandas(_grams, "scope string, unit string, kind string, fp bigint, grams array<string>"))
-    return flat.select("row_id", "scope", "unit").join(labelled, ["scope", "unit"]).select("row_id", "kind").distinct()
+    links, marked, known = flat.where("scope is not null").drop("marks"), flat.where("scope is null").select("row_id", F.explode("marks").alias("mark")), 0
+    while True:
+        distinct = links.select("scope", "unit", "kind").unionByName(seeds).groupBy("scope", "unit").agg(F.max("kind").alias("kind"))
+        labelled = propagate(distinct.mapInPandas(_grams, "scope string, unit string, kind string, fp bigint, grams array<string>"))
+        before, known = known, labelled.count()
+        if known == before:  # what was read last brought no label that others could be near to
+            break
+        wanted = checkpoint(labelled.where("scope <> 'sentence'").select("scope", "unit").mapInPandas(marks, "mark bigint").distinct())
+        near_rows = marked.join(F.broadcast(wanted) if wanted.count() <= SENT_MARKS else wanted, "mark", "left_semi").select("row_id").distinct()
+        links = flat.where("scope is not null").drop("marks").unionByName(checkpoint(kept.join(near_rows, "row_id", "left_semi").mapInPandas(others, "row_id bigint, scope string, unit string, kind string")))
+    return links.select("row_id", "scope", "unit").join(labelled, ["scope", "unit"]).select("row_id", "kind").distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -43,6 +44,28 @@ def prefix(grams: Column, similarity: float = SIMILARITY) -> Column:
     return F.slice(F.array_sort(F.transform(grams, lambda g: F.xxhash64(g))), F.lit(1), kept.cast("int"))
 
 
+#: What the hash of a shingle's word is multiplied with at each place.
+PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
+
+@lru_cache(1 << 18)
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word)
+
+
+def prefix_hashes(words: list[str], similarity: float = SIMILARITY) -> list[int]:
+    """What `prefix` is for the shingles of a text's words, with hashes that are sums over its words by their places."""
+    if not words:
+        return []
+    hashes, size = np.array([_hash(w) for w in words], np.uint64), min(SHINGLE, len(words))
+    runs = len(words) - size + 1
+    total = np.zeros(runs, np.uint64)
+    for i in range(size):
+        total += hashes[i : i + runs] * np.uint64(PLACES[i])
+    distinct = np.unique(total)
+    return distinct[: len(distinct) - math.ceil(len(distinct) * similarity - 1e-9) + 1].view(np.int64).tolist()
+
+
 def near(grams_a: Column, grams_b: Column, similarity: float = SIMILARITY) -> Column:
     """Jaccard similarity of the shingles at least `similarity`."""
     shared = F.size(F.array_intersect(grams_a, grams_b))
