@@ -168,6 +168,14 @@ def test_places_edges(spark, gazetteer):
     assert places.link_places(df.limit(0), gazetteer).count() == 0
 
 
+def test_places_plans_join_once(spark, gazetteer):
+    """Every join takes memory of the driver: none may be planned twice."""
+    n_joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    words, vocabulary = spark.createDataFrame([("nairobi",), ("nairobbi",), ("abcd",)], "word string"), spark.createDataFrame([("nairobi",), ("abc",)], "entry string")
+    assert n_joins(places.repair(words, vocabulary)) == 1 and rows(places.repair(words, vocabulary), "word", "entry", "d") == [("nairobbi", "nairobi", 1), ("nairobi", "nairobi", 0)]
+    assert n_joins(places.link_places(spark.createDataFrame([(1, "Nairobi", None)], "row_id bigint, location string, country string"), gazetteer)) <= 5
+
+
 def test_repair_like_brute_force(spark):
     rng = random.Random(1)
     vocab = sorted({"".join(rng.choice("abcdefg") for _ in range(rng.choice((3, 5, 9, 11)))) for _ in range(60)})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.runtime import checkpoint
@@ -65,19 +65,17 @@ def repair(words: DataFrame, vocabulary: DataFrame, two_edits: bool = True) -> D
     Both have one distinct column, word and entry. Words of fewer than MIN_REPAIRED letters only
     match exactly; two edits are allowed from MIN_TWO_EDITS letters on. The pairs come from an
     equi-join on what is left of either side without some letters, which finds all such pairs.
+    Equal ones meet there too, so one join and one grouping by word do for all distances.
     """
     w, e = F.col("word"), F.col("entry")
-    exact = words.join(vocabulary, w == e).select("word", "entry", F.lit(0).alias("d"))
     # longer words than any entry with two letters more can't be near one
-    longest = vocabulary.agg(F.coalesce(F.max(F.length("entry")), F.lit(0)).alias("longest"))
-    rest = words.where(F.length("word") >= MIN_REPAIRED).crossJoin(F.broadcast(longest)).where(F.length("word") <= F.col("longest") + 2).drop("longest").join(vocabulary, w == e, "left_anti")
-    long_w, long_e = (F.length("word") >= MIN_TWO_EDITS - 1, F.length("entry") >= MIN_TWO_EDITS - 1) if two_edits else (F.lit(False), F.lit(False))
-    left = rest.select("word", F.explode(deletes(w, long_w)).alias("k"))
-    right = vocabulary.where(F.length("entry") >= MIN_REPAIRED).select("entry", F.explode(deletes(e, long_e)).alias("k"))
-    close = left.join(right, "k").select("word", "entry").distinct().withColumn("d", edits(w, e))
-    close = close.where((F.col("d") <= 1) | ((F.col("d") == 2) & (F.least(F.length("word"), F.length("entry")) >= MIN_TWO_EDITS - 1)))
-    least = close.groupBy("word").agg(F.min("d").alias("least"))
-    return exact.unionByName(close.join(least, "word").where("d = least").select("word", "entry", "d"))
+    longest = vocabulary.agg(F.max(F.length("entry"))).first()[0] or 0
+    cuts = lambda c: F.when(F.length(c) < MIN_REPAIRED, F.array(c)).otherwise(deletes(c, F.length(c) >= MIN_TWO_EDITS - 1) if two_edits else deletes(c))
+    met = words.where(F.length("word") <= longest + 2).select("word", F.explode(cuts(w)).alias("k")).join(vocabulary.select("entry", F.explode(cuts(e)).alias("k")), "k")
+    shorter = F.least(F.length("word"), F.length("entry"))
+    close = met.select("word", "entry", edits(w, e).alias("d")).where((w == e) | ((F.col("d") <= 1) & (shorter >= MIN_REPAIRED)) | ((F.col("d") == 2) & (shorter >= MIN_TWO_EDITS - 1)))
+    found = close.groupBy("word").agg(F.min("d").alias("least"), F.collect_set(F.struct("entry", "d")).alias("all"))
+    return found.select("word", F.explode(F.filter("all", lambda x: x.d == F.col("least"))).alias("x")).select("word", "x.entry", "x.d")
 
 
 def segments(location: Column) -> Column:
@@ -101,7 +99,7 @@ def country_codes(phrases: DataFrame, places: DataFrame, names: DataFrame) -> Da
     own = places.where("country_name is not null").select(F.array_join(F.flatten(segments(F.col("country_name"))), " ").alias("entry"), "country_code").union(places.select(F.lower("country_code"), "country_code"))
     aliases = spark.createDataFrame(country_aliases(), "entry string, code string").unionByName(own.select("entry", F.col("country_code").alias("code")).where("entry is not null")).groupBy("entry").agg(F.min("code").alias("code"))
     found = repair(phrases, aliases.select("entry"), two_edits=False)
-    found = found.where("d = 0").unionByName(found.where("d > 0").join(names, "word", "left_anti"))
+    found = found.join(names.select("word", F.lit(True).alias("is_name")).distinct(), "word", "left").where("d = 0 or is_name is null")
     return found.join(aliases, "entry").groupBy("word").agg(F.min("code").alias("code"))
 
 
@@ -133,18 +131,19 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     # how much the words of the reference names tell
     n_names = named.select("key").distinct().agg(F.count("*").alias("total"))
     df_tok = named.select("key", "tokens").distinct().select("key", F.explode(F.array_distinct("tokens")).alias("entry")).groupBy("entry").agg(F.count("*").alias("df"))
-    idf = df_tok.join(F.broadcast(n_names)).select("entry", F.log(1 + F.col("total") / F.col("df")).alias("idf"), F.log(1 + F.col("total")).alias("top"))
+    vocabulary = checkpoint(df_tok.join(F.broadcast(n_names)).select("entry", "df", F.log(1 + F.col("total") / F.col("df")).alias("idf"), F.log(1 + F.col("total")).alias("top")))
+    idf = vocabulary.drop("df")
     names = checkpoint(
         named.select("key", F.explode(F.array_distinct("tokens")).alias("entry")).distinct().join(idf, "entry")
         .groupBy("key").agg(F.max_by("entry", F.struct("idf", "entry")).alias("rarest"), F.collect_list(F.struct("entry", "idf")).alias("parts"), F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"), F.first("top").alias("top"))
     )
 
     # every distinct word of the locations, repaired once
-    words = segs.where("words is not null").select(F.explode("words").alias("word")).distinct()
-    initials = words.where(F.length("word") == 1).join(df_tok.where("df > 1").select("entry", F.substring("entry", 1, 1).alias("word")), "word").select("word", "entry", F.lit(1).alias("d"))
+    words = checkpoint(segs.where("words is not null").select(F.explode("words").alias("word")).distinct())
+    initials = words.where(F.length("word") == 1).join(vocabulary.where("df > 1").select("entry", F.substring("entry", 1, 1).alias("word")), "word").select("word", "entry", F.lit(1).alias("d"))
     # frequent words of names (`Port`, `São`) may be misspelt though short: what stands beside them decides
     short = words.where(F.length("word").between(2, MIN_REPAIRED)).join(idf.select(F.col("entry").alias("word")), "word", "left_anti").select("word", F.explode(deletes(F.col("word"))).alias("k"))
-    common = df_tok.where("df > 1 and length(entry) > 2").select("entry", F.explode(deletes(F.col("entry"))).alias("k"))
+    common = vocabulary.where("df > 1 and length(entry) > 2").select("entry", F.explode(deletes(F.col("entry"))).alias("k"))
     short = short.join(common, "k").select("word", "entry").distinct().where(edits(F.col("word"), F.col("entry")) == 1).withColumn("d", F.lit(1))
     fixed = checkpoint(repair(words, idf.select("entry")).unionByName(initials).unionByName(short).distinct().join(idf, "entry"))
 
@@ -170,7 +169,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
         F.collect_set(F.when(F.col("entry").isNotNull(), F.struct("entry", sim.alias("sim"), "idf"))).alias("bag"),
         F.count_if(F.col("entry").isNull()).alias("strange"),
     )
-    cand = bags.where(F.size("bag") > 0).select("*", F.explode(F.transform("bag", lambda x: x.entry)).alias("rarest")).join(names, "rarest").dropDuplicates(["location", "seg", "key"])
+    cand = bags.where(F.size("bag") > 0).select("*", F.explode(F.array_distinct(F.transform("bag", lambda x: x.entry))).alias("rarest")).join(names, "rarest")
     hit = F.transform("parts", lambda p: F.struct(p.idf.alias("idf"), F.coalesce(F.array_max(F.transform(F.filter("bag", lambda b: b.entry == p.entry), lambda b: b.sim)), F.lit(0.0)).alias("sim")))
     scored = (
         cand.withColumn("hit", hit).where(~F.exists("hit", lambda h: h.sim == 0))
@@ -184,8 +183,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     regions = named.where("admin is not null").select(F.array_join(F.flatten(segments(F.col("admin"))), " ").alias("phrase")).distinct()
     region = left.select("location", "seg", F.array_join("words", " ").alias("phrase")).join(regions, "phrase").select("location", "seg", F.lit(True).alias("is_region"))
     scored = scored.join(region, ["location", "seg"], "left").where(F.col("is_region").isNull() | ~F.exists("hit", lambda h: h.sim < 1))
-    best = scored.groupBy("location", "seg").agg(F.max("score").alias("best"))
-    chosen = scored.join(best, ["location", "seg"]).where("score = best").select("location", "seg", "key")
+    chosen = scored.withColumn("best", F.max("score").over(Window.partitionBy("location", "seg"))).where("score = best").select("location", "seg", "key")
     entries = chosen.join(named.select("key", "place_id", "country_code", "admin").distinct(), "key")
     areas = segs.where("words is not null").groupBy("location").agg(F.collect_set(F.array_join("words", " ")).alias("areas"))
     entries = checkpoint(entries.join(areas, "location"))
@@ -193,8 +191,7 @@ def link_places(rows: DataFrame, places: DataFrame, threshold: float = THRESHOLD
     full = pairs.join(field_code, "country", "left").join(loc_codes, "location", "left").join(entries, "location")
     fits = (F.col("field_code").isNull() | (F.col("field_code") == F.col("country_code"))) & (F.col("loc_codes").isNull() | F.array_contains("loc_codes", F.col("country_code")))
     full = full.where(fits).withColumn("told", F.array_contains("areas", F.col("admin")).cast("int"))
-    top = full.groupBy("location", "country", "seg", "key").agg(F.max("told").alias("top"))
-    full = full.withColumn("ck", F.coalesce("country", F.lit("\0"))).join(top.withColumn("ck", F.coalesce("country", F.lit("\0"))).drop("country"), ["location", "ck", "seg", "key"]).where("told = top or top is null")
+    full = full.withColumn("ck", F.coalesce("country", F.lit("\0"))).withColumn("top", F.max("told").over(Window.partitionBy("location", "ck", "seg", "key"))).where("told = top or top is null")
     answer = full.select("location", "ck", "place_id").distinct()
     out = asked.withColumn("ck", F.coalesce("country", F.lit("\0"))).join(answer, ["location", "ck"], "left")
     return out.select("row_id", F.coalesce("place_id", F.lit(0)).cast("int").alias("place_id")).distinct()
