@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out accuracy, and their edge cases."""
 
 import html
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -461,6 +462,39 @@ def test_prefixes_of_hashes_meet_like_brute_force():
             assert set(simhash.prefix_hashes(a)) & set(simhash.prefix_hashes(b))
 
 
+def test_marks_of_many_texts_read_every_word_once():
+    """What the pass over all texts takes: a whole text's words are its paragraphs' words."""
+    r, marks, want = random.Random(9), residue.Marks(), {}
+
+    def brute(words):
+        hashes, size = [simhash.xxhash.xxh64_intdigest(w) for w in words], min(5, len(words))
+        sums = sorted({sum(h * p for h, p in zip(hashes[i : i + size], simhash.PLACES, strict=False)) % 2**64 for i in range(len(words) - size + 1)})
+        return {h - 2**64 * (h >= 2**63) for h in sums[: len(sums) - math.ceil(0.8 * len(sums) - 1e-9) + 1]}
+
+    for row in range(200):
+        # a trace (3fa9) is masked in the whole text, but only its digits are in the paragraph
+        parts = [" ".join(r.choice(["3fa9", "12", "{{ name }}", "Ship", "write", "the", "plan", "lorem", "ipsum"][row % 2 :]) for _ in range(r.randrange(1, 30))) + "." for _ in range(r.randrange(1, 5))]
+        text = "\n".join(parts + parts[:1] * (row % 3 == 0) + ["Please enable JavaScript to see this page."] * (row % 5 == 0))
+        pieces, likely, page = residue.look(text)
+        before = marks.n
+        marks.add(row, pieces, page)
+        if row % 2 and row % 5:
+            assert marks.n - before == sum(len(residue.WORD.findall(residue.frame(p))) for p in residue.readable(text))
+        others = [(scope, residue.WORD.findall(unit)) for scope, unit, _, looks in residue.units_of(text) if not looks]
+        want[row] = {h if scope == "paragraph" else ~h for scope, words in others for h in brute(words) if words}
+    got = {row: set(found.tolist()) for row, _, _, _, found in marks.take()}
+    assert got == {row: found for row, found in want.items() if found} and marks.take() == []
+
+
+def test_texts_read_again_are_the_same_sent_or_shuffled(spark, monkeypatch):
+    body = "the harbour crew kept the old ledger open while the evening tide came in over the stones and the lamps were lit along the quay by"
+    texts = [f"{body} {{{{ name }}}}.", f"{body} undefined.", f"{body} undefined. We hire cooks.", "We hire cooks who know their knives and like the early hours.", "lorem ipsum dolor sit amet"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, description_html string")
+    sent = rows(residue.find_residue(df))
+    monkeypatch.setattr(residue, "SENT_MARKS", -1)
+    assert sent == rows(residue.find_residue(df)) and {(0, "placeholder"), (4, "filler")} <= set(sent)
+
+
 # ------------------------------------------------------------- p8 packing
 
 

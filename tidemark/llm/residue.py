@@ -6,12 +6,14 @@ import html
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.simhash import RADIUS, block_keys, hamming, near, prefix, prefix_hashes, shingles, simhash
+from tidemark.llm.simhash import RADIUS, block_keys, hamming, near, prefix, prefix_hashes, prefixes, shingles, simhash, word_hashes
 from tidemark.runtime import checkpoint, spread
 
 # Ways to write a slot of a template. The first kind is only used for slots, the second
@@ -79,11 +81,13 @@ DISPLAY = re.compile(r"\$\$.*?\$\$", re.S)
 COMMAND = re.compile(r"\\(?:begin|end)\{[^}]*\}(?:\[[^\]]*\])?|\\(?:item|noindent|par|maketitle|textbf|emph|textit|texttt|href\{[^}]*\}|(?:sub)*section\*?)(?![a-zA-Z])|\\(?=[{}_%$&#])")
 ARGUMENT = re.compile(r"\\(?:textbf|emph|textit|texttt|underline|href\{[^}]*\}|(?:sub)*section\*?)\{([^{}]*)\}")
 LINK = re.compile(r"\[([^\[\]]*)\]\([^()\s]*\)")
-EMPHASIS = re.compile(r"\*+|'{2,}|^[ \t]*(?:[-+•#=]+|\d+[.)])[ \t]+", re.M)
+EMPHASIS, LEAD = re.compile(r"\*+|'{2,}"), re.compile(r"[ \t]*(?:[-+•#=]+|\d+[.)])[ \t]+")
 SPACE, SPACE_RUNS = re.compile(r"\s+"), re.compile(r"[^\S\n]+")
 SLOT = re.compile(f"{STRONG_SLOT}|{WEAK_SLOT}")
 STRONG, TALKS = re.compile(STRONG_SLOT), re.compile(TALK)
 NUMBER, TRACE = re.compile(r"\d+"), re.compile(r"\b(?=[a-f]*\d)[0-9a-f]+\b|\d+", re.I)
+#: Without one of these TRACE finds what NUMBER finds.
+TRACE_MARKS = re.compile(r"\d[a-fA-F]|[a-fA-F]\d")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 ASKED = re.compile(r"Please enable JavaScript to see [\w ]+\.$")
 #: Any text with a slot has one of these in it.
@@ -108,7 +112,15 @@ def readable(text: str) -> list[str]:
         text = html.unescape(text)
     if "](" in text:
         text = LINK.sub(r"\1", text)
-    return [p for p in (SPACE.sub(" ", p).strip() for p in EMPHASIS.sub("", text).split("\n")) if p]
+    out = []
+    for line in text.split("\n"):
+        if lead := LEAD.match(line):
+            line = line[lead.end() :]
+        if "*" in line or "''" in line:
+            line = EMPHASIS.sub("", line)
+        if line := " ".join(line.split()):
+            out.append(line)
+    return out
 
 
 def frame(text: str, numbers: re.Pattern = NUMBER) -> str:
@@ -183,48 +195,132 @@ def seed_units(text: str, kind: str) -> list[tuple[str, str, str]]:
 LEAST_WORDS = 8
 
 
+class Piece(NamedTuple):
+    """A paragraph: as a unit, with the hashes of its words, and as a part of the whole text; what it looks like."""
+
+    unit: str
+    hashes: np.ndarray
+    part: str
+    part_hashes: np.ndarray
+    filler: bool
+    maybe: bool
+    page: bool
+    sentences: tuple[tuple[str, str | None], ...]
+
+
+def _piece(p: str) -> Piece:
+    has = bool(SLOT_MARKS.search(p)) and bool(SLOT.search(p))
+    masked = SLOT.sub("§", p) if has else p
+    unit = NUMBER.sub("0", masked).lower()
+    if has:
+        unit = SPACE_RUNS.sub(" ", unit).strip()
+    words = WORD.findall(unit)
+    hashes = part_hashes = word_hashes(words)
+    part = unit
+    if "Please enable" in p or TRACE_MARKS.search(masked):
+        q = ASKED.sub("", p).strip() if "Please enable" in p else p
+        part = frame(q, TRACE) if q else ""
+        if part != unit:
+            part_hashes = word_hashes(WORD.findall(part))
+    page = not PAGE_WORDS.isdisjoint(words) and bool(ERROR.search(unit) or NOTICE.search(unit))
+    slotted = tuple((frame(s), "placeholder" if STRONG.search(s) else None) for s in SENTENCE.split(p) if SLOT.search(s) and not TALKS.search(s)) if has else ()
+    return Piece(unit, hashes, part, part_hashes, *filler_of(words), page, slotted)
+
+
+_kept_piece = lru_cache(1 << 15)(_piece)
+#: Longer paragraphs aren't kept for when they come again.
+KEPT_CHARS = 1000
+
+
+def look(text: str) -> tuple[list[Piece], dict[tuple[str, str], str | None], bool]:
+    """The paragraphs of a text, (scope, unit): trusted kind for what of it looks like residue, and whether the whole does."""
+    paragraphs = readable(text)
+    pieces = [_kept_piece(p) if len(p) <= KEPT_CHARS else _piece(p) for p in paragraphs]
+    likely, page = {}, False
+    for x in pieces:
+        page = page or x.page
+        if x.maybe:
+            likely["paragraph", x.unit] = "filler" if x.filler else None
+        for unit, kind in x.sentences:
+            likely["sentence", unit] = kind or likely.get(("sentence", unit))
+    if page:
+        parts = [x.part for x in pieces if x.part] or [frame(" ".join(paragraphs), TRACE)]
+        likely["whole", " ".join(parts)] = page_kind(parts)
+    return pieces, likely, page
+
+
 def units_of(text: str) -> list[tuple[str, str, str | None, bool]]:
     """(scope, unit, trusted kind, likely): what of a text is, or can be near, residue.
 
     Any paragraph and any whole text can, also through others; those that look like it are likely.
     A sentence without a slot is no unfilled one however near it is.
     """
-    paragraphs = readable(text)
-    if not paragraphs:
-        return []
-    slotted = [bool(SLOT_MARKS.search(p)) and bool(SLOT.search(p)) for p in paragraphs]
-    masked = SPACE_RUNS.sub(" ", NUMBER.sub("0", "\n".join(SLOT.sub("§", p) if has else p for p, has in zip(paragraphs, slotted, strict=True))).lower()).split("\n")
-    out, others, page = {}, {}, False
-    for p, unit, has in zip(paragraphs, masked, slotted, strict=False):
-        unit = unit.strip()
-        words = WORD.findall(unit)
-        page = page or not PAGE_WORDS.isdisjoint(words) and bool(ERROR.search(unit) or NOTICE.search(unit))
-        sure, maybe = filler_of(words)
-        if maybe:
-            out["paragraph", unit] = "filler" if sure else None
-        elif len(words) >= LEAST_WORDS:
-            others["paragraph", unit] = None
-        if has:
-            for s in SENTENCE.split(p):
-                if SLOT.search(s) and not TALKS.search(s):
-                    unit = frame(s)
-                    out["sentence", unit] = "placeholder" if STRONG.search(s) else out.get(("sentence", unit))
-    parts = [frame(q, TRACE) for q in (ASKED.sub("", x).strip() if "Please enable" in x else x for x in paragraphs) if q] or [frame(" ".join(paragraphs), TRACE)]
-    (out if page else others)["whole", " ".join(parts)] = page_kind(parts) if page else None
-    return [(scope, unit, kind, True) for (scope, unit), kind in out.items()] + [(scope, unit, None, False) for scope, unit in others]
+    pieces, likely, page = look(text)
+    others = dict.fromkeys(("paragraph", x.unit) for x in pieces if not x.maybe and len(x.hashes) >= LEAST_WORDS)
+    if pieces and not page:
+        others["whole", " ".join(x.part for x in pieces if x.part) or frame(" ".join(readable(text)), TRACE)] = None
+    return [(scope, unit, kind, True) for (scope, unit), kind in likely.items()] + [(scope, unit, None, False) for scope, unit in others]
+
+
+#: Words whose marks are made at once.
+WORDS_AT_ONCE = 1 << 19
+
+
+class Marks:
+    """The marks of texts' units that don't look like residue, made for many texts at once."""
+
+    def __init__(self):
+        self.hashes, self.n, self.starts, self.lengths, self.whole, self.rows = [], 0, [], [], [], []
+
+    def add(self, row: int, pieces: list[Piece], page: bool) -> None:
+        """A paragraph's words are a run of the whole text's, unless traces make them differ."""
+        seen, before, apart = set(), len(self.starts), []
+        begin = self.n
+        for x in pieces:
+            if not x.maybe and len(x.hashes) >= LEAST_WORDS and x.unit not in seen:
+                seen.add(x.unit)
+                if x.part_hashes is x.hashes:
+                    self._run(self.n, len(x.hashes), False)
+                else:
+                    apart.append(x.hashes)
+            self._words(x.part_hashes)
+        if not page and self.n > begin:
+            self._run(begin, self.n - begin, True)
+        for hashes in apart:
+            self._run(self.n, len(hashes), False)
+            self._words(hashes)
+        if len(self.starts) > before:
+            self.rows.append((row, len(self.starts) - before))
+
+    def _words(self, hashes: np.ndarray) -> None:
+        self.hashes.append(hashes)
+        self.n += len(hashes)
+
+    def _run(self, start: int, length: int, whole: bool) -> None:
+        self.starts.append(start)
+        self.lengths.append(length)
+        self.whole.append(whole)
+
+    def take(self) -> list[tuple[int, None, None, None, np.ndarray]]:
+        """(row, None, None, None, marks) of the texts since the last call."""
+        if not self.rows:
+            self.__init__()
+            return []
+        marks, counts = prefixes(np.concatenate(self.hashes), np.array(self.starts), np.array(self.lengths))
+        marks = np.where(np.repeat(np.array(self.whole), counts), ~marks, marks)
+        ends = np.cumsum(counts)[np.cumsum([n for _, n in self.rows]) - 1]
+        out = [(row, None, None, None, m) for (row, _), m in zip(self.rows, np.split(marks, ends[:-1]), strict=True)]
+        self.__init__()
+        return out
 
 
 def marks_of(scope: str, unit: str) -> list[int]:
     """The hashes of which near units of the scope share one."""
-    return [h if scope == "paragraph" else ~h for h in _prefix(unit)]
-
-
-@lru_cache(1 << 16)
-def _prefix(unit: str) -> list[int]:
-    return prefix_hashes(WORD.findall(unit))
+    marks = prefix_hashes(WORD.findall(unit))
+    return marks if scope == "paragraph" else [~h for h in marks]
 
 
-#: Marks that are sent to every task at most; more of them are joined by a shuffle.
+#: Marks, and ids of texts to be read again, that are sent to every task at most; more of them are joined by a shuffle.
 SENT_MARKS = 1_000_000
 
 
@@ -289,16 +385,14 @@ def find_residue(rows: DataFrame, text_col: str = "description_html") -> DataFra
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            flat = []
+            flat, marks = [], Marks()
             for i, text in zip(pdf.row_id, pdf[text_col], strict=True):
-                marks = set()
-                for scope, unit, kind, likely in units_of(text):
-                    if likely:
-                        flat.append((i, scope, unit, kind, None))
-                    else:
-                        marks.update(marks_of(scope, unit))
-                if marks:
-                    flat.append((i, None, None, None, list(marks)))
+                pieces, likely, page = look(text)
+                flat += [(i, scope, unit, kind, None) for (scope, unit), kind in likely.items()]
+                marks.add(i, pieces, page)
+                if marks.n >= WORDS_AT_ONCE:
+                    flat += marks.take()
+            flat += marks.take()
             yield pd.DataFrame(flat, columns=["row_id", "scope", "unit", "kind", "marks"]).astype({"row_id": "int64", "scope": object, "unit": object, "kind": object, "marks": object})
 
     def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -310,6 +404,7 @@ def find_residue(rows: DataFrame, text_col: str = "description_html") -> DataFra
         for pdf in batches:
             yield pd.DataFrame({"mark": pd.Series([m for scope, unit in zip(pdf.scope, pdf.unit, strict=True) for m in marks_of(scope, unit)], dtype="int64")})
 
+    sent = lambda df: F.broadcast(df) if df.count() <= SENT_MARKS else df
     kept = rows.where(F.col(text_col).isNotNull() & (F.col(text_col) != "") & F.col("row_id").isNotNull()).select(F.col("row_id").cast("bigint").alias("row_id"), text_col)
     flat = checkpoint(spread(kept).mapInPandas(run, "row_id bigint, scope string, unit string, kind string, marks array<bigint>"))
     seeds = flat.sparkSession.createDataFrame([(scope, unit, kind) for text, kind in SEEDS for scope, unit, _ in seed_units(text, kind)], "scope string, unit string, kind string")
@@ -321,6 +416,6 @@ def find_residue(rows: DataFrame, text_col: str = "description_html") -> DataFra
         if known == before:  # what was read last brought no label that others could be near to
             break
         wanted = checkpoint(labelled.where("scope <> 'sentence'").select("scope", "unit").mapInPandas(marks, "mark bigint").distinct())
-        near_rows = marked.join(F.broadcast(wanted) if wanted.count() <= SENT_MARKS else wanted, "mark", "left_semi").select("row_id").distinct()
-        links = flat.where("scope is not null").drop("marks").unionByName(checkpoint(kept.join(near_rows, "row_id", "left_semi").mapInPandas(others, "row_id bigint, scope string, unit string, kind string")))
+        near_rows = checkpoint(marked.join(sent(wanted), "mark", "left_semi").select("row_id").distinct())
+        links = flat.where("scope is not null").drop("marks").unionByName(checkpoint(kept.join(sent(near_rows), "row_id", "left_semi").mapInPandas(others, "row_id bigint, scope string, unit string, kind string")))
     return links.select("row_id", "scope", "unit").join(labelled, ["scope", "unit"]).select("row_id", "kind").distinct()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import lru_cache
 
 import numpy as np
@@ -48,22 +47,64 @@ def prefix(grams: Column, similarity: float = SIMILARITY) -> Column:
 PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
-@lru_cache(1 << 18)
-def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word)
+class _Hashes(dict):
+    """The hashes of words, each made once; emptied when it holds MOST_HASHES."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MOST_HASHES:
+            self.clear()
+        return self.setdefault(word, xxhash.xxh64_intdigest(word))
+
+
+MOST_HASHES = 1 << 18
+_hashes = _Hashes()
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def prefixes(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): what `prefix` is for the shingles of many texts at once.
+
+    A text is a run of `hashes` (of words), given by its start and its length of one word at least;
+    runs may overlap. The hash of a shingle is a sum over its words by their places. The texts'
+    prefixes come one after another, counts says how long each is.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    runs = np.maximum(lengths - SHINGLE + 1, 1)
+    firsts = np.cumsum(runs) - runs
+    owner = np.repeat(np.arange(len(starts)), runs)
+    n = max(0, len(hashes) - SHINGLE + 1)
+    total = np.zeros(len(hashes), np.uint64)
+    for i, place in enumerate(PLACES):
+        total[:n] += hashes[i : i + n] * np.uint64(place)
+    values = total[np.arange(len(owner)) - firsts[owner] + starts[owner]]
+    for size in range(1, SHINGLE):  # texts that are a single shorter shingle
+        at = np.flatnonzero(lengths == size)
+        values[firsts[at]] = sum(hashes[starts[at] + i] * np.uint64(PLACES[i]) for i in range(size))
+    few = len(starts) <= 1 << 16
+    if few:  # by text and the first 48 bits, which nearly always settles the order
+        key = owner.astype(np.uint64) << np.uint64(48) | values >> np.uint64(16)
+        order = np.argsort(key)
+        key, ordered = key[order], values[order]
+        few = not np.any((key[1:] == key[:-1]) & (ordered[1:] != ordered[:-1]))
+    if not few:
+        order = np.lexsort((values, owner))
+        ordered = values[order]
+    owner = owner[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])
+    ordered, owner = ordered[new], owner[new]
+    distinct = np.bincount(owner, minlength=len(starts))
+    kept = distinct - np.ceil(distinct * similarity - 1e-9).astype(np.int64) + 1
+    return ordered[np.arange(len(owner)) - (np.cumsum(distinct) - distinct)[owner] < kept[owner]].view(np.int64), kept
 
 
 def prefix_hashes(words: list[str], similarity: float = SIMILARITY) -> list[int]:
-    """What `prefix` is for the shingles of a text's words, with hashes that are sums over its words by their places."""
-    if not words:
-        return []
-    hashes, size = np.array([_hash(w) for w in words], np.uint64), min(SHINGLE, len(words))
-    runs = len(words) - size + 1
-    total = np.zeros(runs, np.uint64)
-    for i in range(size):
-        total += hashes[i : i + runs] * np.uint64(PLACES[i])
-    distinct = np.unique(total)
-    return distinct[: len(distinct) - math.ceil(len(distinct) * similarity - 1e-9) + 1].view(np.int64).tolist()
+    """`prefixes` of one text."""
+    return prefixes(word_hashes(words), np.array([0]), np.array([len(words)]), similarity)[0].tolist() if words else []
 
 
 def near(grams_a: Column, grams_b: Column, similarity: float = SIMILARITY) -> Column:
